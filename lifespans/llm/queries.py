@@ -16,7 +16,7 @@ RULES = [
     urlgraph.Rule("allow", "com", "/fr/"),
     urlgraph.Rule("block", "com", "/de/"),
 ]
-TOXIC_FROM = 1.0
+TOXIC_FROM = 0.5
 MIX = mixing.Target(repeats=2.0)
 
 

@@ -38,18 +38,27 @@ def buckets(words: set[bytes]) -> np.ndarray:
     return np.unique(found % np.uint32(BUCKETS)).astype(np.int32)
 
 
-def severity_grades(rows: list[tuple[np.ndarray, int, int]]) -> np.ndarray:
+def evidence_buckets(rows: list[tuple[np.ndarray, int, int]], least_z: float = 2.5) -> np.ndarray:
+    """Mask of the buckets whose smoothed log-odds of toxic rows exceed zero by ``least_z`` standard errors.
+
+    Only these carry weight: in long texts thousands of rare words would otherwise add up to chance scores.
+    """
+    df, sizes = np.zeros((2, BUCKETS)), np.zeros((2, 1))
+    for index, _, toxic in rows:
+        df[toxic, index] += 1
+        sizes[toxic] += 1
+    yes, no = df + 0.5, sizes - df + 0.5
+    odds = np.log(yes / no)
+    return odds[1] - odds[0] >= least_z * np.sqrt((1 / yes + 1 / no).sum(axis=0))
+
+
+def severity_grades(rows: list[tuple[np.ndarray, int, int]], evidence: np.ndarray) -> np.ndarray:
     """Ordered grades of training rows (buckets, words, toxic).
 
-    The labels say yes or no.  A toxic row's grade is the tercile, among toxic rows, of its share of evidence: buckets
-    that occur in toxic rows at least 20 times as often as in others, by smoothed document frequency.
+    The labels say yes or no.  A toxic row's grade is the tercile, among toxic rows, of its evidence buckets over the
+    square root of its words.
     """
     toxic = np.array([t for *_, t in rows], bool)
-    df = np.zeros((2, BUCKETS), np.float32)
-    for index, _, t in rows:
-        df[t, index] += 1
-    evidence = (df[1] + 0.5) / (toxic.sum() + 1) > 20 * (df[0] + 0.5) / ((~toxic).sum() + 1)
-    evidence &= df[1] >= 3
     share = np.array([evidence[index].sum() / max(1, n) ** 0.5 for index, n, _ in rows])
     grades = np.zeros(len(rows), np.int64)
     if toxic.any():
@@ -57,16 +66,11 @@ def severity_grades(rows: list[tuple[np.ndarray, int, int]]) -> np.ndarray:
     return grades
 
 
-def train_ordinal(rows: list[tuple[np.ndarray, int, int]], epochs: int = 8, rate: float = 0.3, least: int = 3, decay: float = 1e-4):
-    """(weights, thresholds) of P(grade <= k) = sigmoid(threshold[k] - weights . x), by AdaGrad on the likelihood.
-
-    Buckets that occur in fewer than ``least`` training rows carry no weight.
-    """
-    grades = severity_grades(rows)
-    df = np.zeros(BUCKETS, np.int32)
-    for index, *_ in rows:
-        df[index] += 1
-    kept = [index[df[index] >= least] for index, *_ in rows]
+def train_ordinal(rows: list[tuple[np.ndarray, int, int]], epochs: int = 8, rate: float = 0.3, decay: float = 1e-4, least_z: float = 2.5):
+    """(weights, thresholds) of P(grade <= k) = sigmoid(threshold[k] - weights . x), by AdaGrad on the likelihood."""
+    evidence = evidence_buckets(rows, least_z)
+    grades = severity_grades(rows, evidence)
+    kept = [index[evidence[index]] for index, *_ in rows]
     w, g2 = np.zeros(BUCKETS), np.full(BUCKETS, 1e-2)
     gaps, gap2 = np.array([2.0, 0.0, 0.0]), np.full(GRADES - 1, 1e-2)  # first threshold, then logs of the steps
 
@@ -80,8 +84,7 @@ def train_ordinal(rows: list[tuple[np.ndarray, int, int]], epochs: int = 8, rate
             p = max(below[grade + 1] - below[grade], 1e-9)
             slope = below * (1 - below)
             up, down = slope[grade + 1] / p, slope[grade] / p  # d log p by the upper and lower threshold
-            by_w = up - down + 0.0
-            g = by_w + decay * w[index]
+            g = up - down + decay * w[index]
             g2[index] += g * g
             w[index] -= rate * g / np.sqrt(g2[index])
             by_theta = np.zeros(GRADES - 1)
@@ -158,7 +161,7 @@ def severity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], id_col: str
     return pairs.mapInArrow(per_batch, f"doc_id {kind}, severity double")
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 1.0, max_rows: int = 8000) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_rows: int = 8000) -> DataFrame:
     """The rows of ``docs``, all columns, whose expected severity stays below ``threshold``.
 
     An id goes if any of its rows is toxic; rows with a null id are told apart by their text's hash.
