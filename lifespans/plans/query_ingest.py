@@ -1,3 +1,184 @@
-"""Queries of raw inputs and their normalizers."""
+"""Queries of raw inputs and their normalizers: JSON is built from the events table and read back by the rules."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from ..sources import health, location
+from ..streaming import files
+from ..streaming.notify import scratch_root
+from . import datasets as D
 
 QUERIES: dict = {}
+
+
+def _query(name: str, sql: str | None):
+    def add(run):
+        QUERIES[name] = (run, sql)
+        return run
+
+    return add
+
+
+def _utc(ts: Column) -> Column:
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+def _text(c: Column) -> Column:
+    return c.cast("string")
+
+
+
+
+def _interval() -> Column:
+    later = F.timestamp_add("SECOND", F.col("event_id") % 5 * 60, F.col("ts"))
+    return F.struct(_utc(F.col("ts")).alias("startTime"), _utc(later).alias("endTime"), F.lit("32400s").alias("startUtcOffset"), F.lit("32400s").alias("endUtcOffset"))
+
+
+def _sample() -> Column:
+    return F.struct(_utc(F.col("ts")).alias("physicalTime"), F.lit("32400s").alias("utcOffset"))
+
+
+def _date() -> Column:
+    day = lambda f: _text(f(F.col("ts")))
+    return F.struct(day(F.year).alias("year"), day(F.month).alias("month"), day(F.dayofmonth).alias("day"))
+
+
+def _whole(k: int) -> Column:
+    return _text(F.col("event_id") % k)
+
+
+_SPAN = "ts AS start_at, ts + to_seconds(event_id % 5 * 60) AS end_at, CAST(ts + INTERVAL 9 HOUR AS DATE) AS source_date, 32400 AS offset_seconds"
+_AT = "ts AS sample_at, CAST(ts + INTERVAL 9 HOUR AS DATE) AS source_date, 32400 AS offset_seconds"
+_DAY = "CAST(ts AS DATE) AS source_date"
+_POSITIVE = "event_id % 5 <> 0"
+
+
+def _value() -> Column:
+    return _text(F.col("value"))
+
+
+#: Per kind: payload fields (built inside a session), columns to compare, their SQL, and the SQL of what is accepted.
+_CASES = {
+    "steps": (lambda: [_interval().alias("interval"), F.when(F.col("event_id") % 3 != 0, _whole(500)).alias("count")], ["steps"],
+              f"{_SPAN}, CASE WHEN event_id % 3 = 0 THEN 0.0 ELSE CAST(event_id % 500 AS DOUBLE) END AS steps", _POSITIVE),
+    "active-zone-minutes": (lambda: [_interval().alias("interval"), _whole(90).alias("activeZoneMinutes"), F.when(F.col("event_type") == "view", "CARDIO").when(F.col("event_type") == "click", "PEAK").otherwise("mystery").alias("heartRateZone")],
+                            ["active_zone_minutes", "category"], f"{_SPAN}, CAST(event_id % 90 AS DOUBLE) AS active_zone_minutes, CASE event_type WHEN 'view' THEN 'cardio' ELSE 'peak' END AS category", f"{_POSITIVE} AND event_type IN ('view', 'click')"),
+    "sleep": (lambda: [_interval().alias("interval"), F.upper("event_type").alias("type"), F.struct(_whole(480).alias("minutesAsleep"), F.when(F.col("event_id") % 2 == 0, _whole(30)).alias("minutesAwake")).alias("summary"),
+                       F.struct(F.when(F.col("event_id") % 4 != 1, _text(F.col("event_id") % 2 == 0)).alias("mainSleep")).alias("metadata")], ["sleep_minutes", "awake_minutes", "sleep_type", "is_main_sleep"],
+              f"{_SPAN.replace('ts + INTERVAL 9 HOUR AS', 'ts + to_seconds(event_id % 5 * 60) + INTERVAL 9 HOUR AS')}, CAST(event_id % 480 AS DOUBLE) AS sleep_minutes, CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 30 AS DOUBLE) END AS awake_minutes, event_type AS sleep_type, CASE WHEN event_id % 4 <> 1 THEN event_id % 2 = 0 END AS is_main_sleep", _POSITIVE),
+    "daily-resting-heart-rate": (lambda: [_date().alias("date"), _whole(320).alias("beatsPerMinute")], ["resting_heart_rate_bpm"], f"{_DAY}, CAST(event_id % 320 AS DOUBLE) AS resting_heart_rate_bpm", "event_id % 320 BETWEEN 1 AND 300"),
+    "daily-heart-rate-variability": (lambda: [_date().alias("date"), F.when(F.col("event_id") % 2 == 0, _value()).alias("averageHeartRateVariabilityMilliseconds"), F.when(F.col("event_id") % 3 == 0, _whole(99)).alias("nonRemHeartRateBeatsPerMinute")],
+                                     ["hrv_rmssd_ms", "non_rem_heart_rate_bpm"], f"{_DAY}, CASE WHEN event_id % 2 = 0 THEN value END AS hrv_rmssd_ms, CASE WHEN event_id % 3 = 0 THEN event_id % 99 END AS non_rem_heart_rate_bpm", "event_id % 2 = 0 OR event_id % 3 = 0"),
+    "daily-respiratory-rate": (lambda: [_date().alias("date"), F.when(F.col("event_id") % 7 != 0, _value()).otherwise("NaN").alias("breathsPerMinute")], ["respiratory_rate_breaths_per_minute"], f"{_DAY}, value AS respiratory_rate_breaths_per_minute", "event_id % 7 <> 0"),
+    "daily-oxygen-saturation": (lambda: [_date().alias("date"), _value().alias("averagePercentage"), F.lit("90").alias("lowerBoundPercentage"), F.lit("99.5").alias("upperBoundPercentage")],
+                                ["spo2_average_percent", "spo2_lower_bound_percent", "spo2_upper_bound_percent"], f"{_DAY}, value AS spo2_average_percent, 90.0::DOUBLE AS spo2_lower_bound_percent, 99.5::DOUBLE AS spo2_upper_bound_percent", "value <= 100"),
+    "daily-sleep-temperature-derivations": (lambda: [_date().alias("date"), _text(-F.col("value")).alias("nightlyTemperatureCelsius"), F.when(F.col("event_id") % 2 == 0, _value()).alias("relativeNightlyStddev30dCelsius")],
+                                            ["nightly_skin_temperature_celsius", "relative_nightly_stddev_30d_celsius"], f"{_DAY}, -value AS nightly_skin_temperature_celsius, CASE WHEN event_id % 2 = 0 THEN value END AS relative_nightly_stddev_30d_celsius", "TRUE"),
+    "daily-vo2-max": (lambda: [_date().alias("date"), _value().alias("vo2Max"), _text(F.col("event_id") % 2 == 0).alias("estimated"), F.col("event_type").alias("cardioFitnessLevel")],
+                      ["vo2_max_ml_kg_min", "vo2_max_estimated", "cardio_fitness_level"], f"{_DAY}, value AS vo2_max_ml_kg_min, event_id % 2 = 0 AS vo2_max_estimated, event_type AS cardio_fitness_level", "value <= 100"),
+    "heart-rate-variability": (lambda: [_sample().alias("sampleTime"), _value().alias("rootMeanSquareOfSuccessiveDifferencesMilliseconds")], ["rmssd_ms"], f"{_AT}, value AS rmssd_ms", "TRUE"),
+    "respiratory-rate-sleep-summary": (lambda: [_sample().alias("sampleTime"), F.struct(_value().alias("breathsPerMinute"), _text(-F.col("value")).alias("signalToNoise")).alias("fullSleepStats"),
+                                                F.when(F.col("event_id") % 2 == 0, F.struct(_whole(40).alias("breathsPerMinute"))).alias("deepSleepStats")], ["full_breaths_per_minute", "full_signal_to_noise", "deep_breaths_per_minute"],
+                                       f"{_AT}, value AS full_breaths_per_minute, -value AS full_signal_to_noise, CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 40 AS DOUBLE) END AS deep_breaths_per_minute", "TRUE"),
+    "exercise": (lambda: [_interval().alias("interval"), F.upper("event_type").alias("exerciseType"), F.col("event_type").alias("displayName"), F.concat(_whole(900), F.lit(".5s")).alias("activeDuration")], ["exercise_type", "exercise_name", "active_seconds"],
+                 f"{_SPAN}, upper(event_type) AS exercise_type, event_type AS exercise_name, event_id % 900 + 0.5::DOUBLE AS active_seconds", _POSITIVE),
+    "sedentary-period": (lambda: [_interval().alias("interval")], [], _SPAN, _POSITIVE),
+    "distance": (lambda: [_interval().alias("interval"), F.when(F.col("event_id") % 3 != 0, _whole(5000)).alias("millimeters")], ["distance_meters"], f"{_SPAN}, CASE WHEN event_id % 3 = 0 THEN 0.0 ELSE event_id % 5000 / 1000.0 END AS distance_meters", _POSITIVE),
+    "time-in-heart-rate-zone": (lambda: [_interval().alias("interval"), F.col("event_type").alias("heartRateZoneType")], ["zone"], f"{_SPAN}, event_type AS zone", _POSITIVE),
+}
+
+
+def _normalized(kind: str):
+    payload, columns, sql, accepted = _CASES[kind]
+
+    def run(spark, sf_dir):
+        field = health.PAYLOADS[kind][0]
+        name = F.concat(F.lit(f"users/u/dataTypes/{kind}/dataPoints/p-"), _text(F.col("event_id")))
+        body = F.to_json(F.struct(name.alias("dataPointName"), F.struct(*payload()).alias(field)))
+        points = health.parse_points(D.table(spark, sf_dir, "events").select("event_id", body.alias("body")))
+        rows = health.normalize(points, kind).where("reject_reason is null")
+        times = [c for c in ("start_at", "end_at", "sample_at", "source_date", "offset_seconds") if c in rows.columns]
+        return rows.select("event_id", *times, *columns)
+
+    return run, f"SELECT event_id, {sql} FROM events WHERE {accepted}"
+
+
+for _kind in _CASES:
+    QUERIES[f"normalize_{_kind.replace('-', '_')}"] = _normalized(_kind)
+
+
+@_query("normalize_heart_rate_minute", """SELECT date_trunc('minute', ts) AS start_at, value AS mean_bpm, value * 0.5 AS min_bpm, value * 2 AS max_bpm FROM events WHERE event_id % 6 <> 0""")
+def normalize_minutes(spark, sf_dir):
+    minute = F.date_trunc("minute", "ts").cast("timestamp_ntz")
+    start = F.when(F.col("event_id") % 6 == 0, F.timestamp_add("SECOND", F.lit(1), minute)).otherwise(minute)
+    stats = F.struct(_value().alias("beatsPerMinuteAvg"), _text(F.col("value") * 0.5).alias("beatsPerMinuteMin"), _text(F.col("value") * 2).alias("beatsPerMinuteMax"))
+    point = F.struct(_utc(start).alias("startTime"), _utc(F.timestamp_add("MINUTE", F.lit(1), start)).alias("endTime"), stats.alias("heartRate"))
+    rows = health.normalize_minutes(D.table(spark, sf_dir, "events").select(point.alias("point")))
+    return rows.where("reject_reason is null").select("start_at", "mean_bpm", "min_bpm", "max_bpm")
+
+
+@_query("normalize_sleep_details", """SELECT event_id, k.kind, CASE k.kind WHEN 'sleep-stage' THEN 'light' ELSE 'short-awakening' END AS category, ts AS start_at,
+  ts + to_seconds(event_id % 5 * 60) AS end_at FROM events, (VALUES ('sleep-stage'), ('sleep-wake')) k(kind) WHERE event_id % 5 <> 0""")
+def normalize_sleep_details(spark, sf_dir):
+    i = _interval()
+    stage = F.struct(i["startTime"].alias("startTime"), i["endTime"].alias("endTime"), i["startUtcOffset"].alias("startUtcOffset"), i["endUtcOffset"].alias("endUtcOffset"), F.lit("LIGHT").alias("type"))
+    wake = F.struct(i["startTime"].alias("startTime"), i["endTime"].alias("endTime"))
+    sleep = F.struct(i.alias("interval"), F.array(stage).alias("stages"), F.array(wake).alias("shortAwakenings"))
+    name = F.concat(F.lit("users/u/dataTypes/sleep/dataPoints/"), _text(F.col("event_id")))
+    body = F.to_json(F.struct(name.alias("dataPointName"), sleep.alias("sleep")))
+    points = health.parse_points(D.table(spark, sf_dir, "events").select(body.alias("body")))
+    rows = health.normalize_sleep_details(points).where("reject_reason is null")
+    return rows.select(F.col("sleep_session_id").cast("bigint").alias("event_id"), "kind", "category", "start_at", "end_at")
+
+
+def _messages(spark, sf_dir):
+    """A location message an event; some lie outside the globe, some hold the same key twice."""
+    lat, lon = F.col("event_id") % 200 - 100, F.col("event_id") % 340 - 170
+    seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
+    twice = F.when(F.col("event_id") % 50 == 7, F.lit(',"lat":1')).otherwise("")
+    body = F.concat(F.lit('{"_type":"location","tst":'), _text(seconds), F.lit(',"lat":'), _text(lat), F.lit(',"lon":'), _text(lon), F.lit(',"acc":'), _text(F.col("user_id")), F.lit(',"extra":1'), twice, F.lit("}"))
+    return D.table(spark, sf_dir, "events").select(F.concat(F.lit("d"), _text(F.col("user_id"))).alias("device_key"), body.alias("body"))
+
+
+_LOCATIONS = """SELECT DISTINCT sha256('d' || CAST(user_id AS VARCHAR)) AS device_key, date_trunc('second', ts) AS observed_at, CAST(event_id % 200 - 100 AS DOUBLE) AS latitude,
+  CAST(event_id % 340 - 170 AS DOUBLE) AS longitude, CAST(user_id AS DOUBLE) AS accuracy_meters FROM events WHERE event_id % 200 - 100 BETWEEN -90 AND 90 AND event_id % 50 <> 7"""
+
+
+@_query("location_points", _LOCATIONS)
+def location_points(spark, sf_dir):
+    raw = location.raw_objects(_messages(spark, sf_dir)).where("reject_reason is null").dropDuplicates(["object_key"])
+    rows = location.location_points(raw.select("object_key", "body"))
+    return rows.where("reject_reason is null").select("device_key", "observed_at", "latitude", "longitude", "accuracy_meters")
+
+
+@_query("location_rejects", """SELECT CASE WHEN event_id % 50 = 7 THEN 'json_invalid' ELSE 'latitude_invalid' END AS reject_reason, count(*) AS n FROM events
+WHERE event_id % 50 = 7 OR event_id % 200 - 100 NOT BETWEEN -90 AND 90 GROUP BY 1""")
+def location_rejects(spark, sf_dir):
+    objects = location.raw_objects(_messages(spark, sf_dir)).where("reject_reason is not null")
+    return objects.groupBy("reject_reason").agg(F.count("*").alias("n"))
+
+
+@_query("stream_locations", _LOCATIONS)
+def stream_locations(spark, sf_dir):
+    """Messages written to the raw sink, then streamed into points."""
+    root = scratch_root(spark)
+    location.write_location_raw(location.raw_objects(_messages(spark, sf_dir)), f"{root}/raw")
+    files.run_locations(files.stream_location_objects(spark, f"{root}/raw"), root, f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/points").select("device_key", "observed_at", "latitude", "longitude", "accuracy_meters")
+
+
+@_query("stream_usage", f"""WITH {D.SLOT_RECORDS}, tops AS (SELECT *, rank() OVER (PARTITION BY segment_key, record_offset ORDER BY record_metadata_offset DESC) AS rk FROM slot_records),
+latest AS (SELECT *, count(*) OVER (PARTITION BY segment_key, record_offset) AS claims FROM tops WHERE rk = 1),
+events_ AS (SELECT *, row_number() OVER (PARTITION BY event_key ORDER BY segment_key DESC, record_offset DESC) AS n FROM latest
+  WHERE claims = 1 AND record_state = 'WRITTEN' AND crc_passed IS DISTINCT FROM FALSE AND event_at IS NOT NULL)
+SELECT event_key, device_key, bundle_id, event_at, CASE WHEN in_foreground THEN 'start' ELSE 'end' END AS state FROM events_ WHERE n = 1""")
+def stream_usage(spark, sf_dir):
+    """Slot records landed as files, streamed in several batches; the events after the last one."""
+    root = scratch_root(spark)
+    D.slot_records(spark, sf_dir).write.parquet(f"{root}/landed")
+    landed = spark.readStream.schema(spark.read.parquet(f"{root}/landed").schema).option("maxFilesPerTrigger", 1000).parquet(f"{root}/landed")
+    files.run_usage(landed, root, f"{root}/checkpoint").awaitTermination()
+    last = files.last_batch(spark, f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/events/batch={last}").drop("is_valid")
