@@ -135,7 +135,7 @@ def links(classes: DataFrame, distance: int = 3, blocks: int = 6, chunk: int = 4
 
     def per_partition(batches):
         for keys, table in whole_groups(batches, 4):
-            prints = table.column("fingerprint").to_numpy().astype(np.int64)
+            prints = table.column("fingerprint").to_numpy().astype(np.int64).view(np.uint64)  # bit counts are of magnitudes
             reps = table.column("rep").to_numpy()
             starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
             ends = np.r_[starts[1:], len(keys)]
