@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licences, media, mixing, pseudo_lm, quality, simhash, tokens, toxicity, urlgraph
+from . import decontaminate, licences, media, mixing, oracle, pseudo_lm, quality, simhash, tokens, toxicity, urlgraph
 
 RULES = [
     urlgraph.Rule("allow", "org", "/"),
@@ -92,4 +92,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_decontamination": oracle.DECONTAMINATION, "op6_urls": oracle.urls(RULES), "op7_mixing": oracle.mixing(MIX.repeats),
+    }

@@ -44,17 +44,19 @@ def matching_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
 
 
 # Absolute links in attributes, and hosts of three or more labels named anywhere in the page.
-_LINK = r"(?i)(?:href|src)\s*=\s*[\"']?[a-z][a-z0-9+.-]*://([^/?#\"'\s<>]+)"
-_NAMED = r"(?i)(?<![a-z0-9.-])((?:[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\.){2,}[a-z]{2,})(?![a-z0-9-])"
+LINK = r"(?i)(?:href|src)\s*=\s*[\"']?[a-z][a-z0-9+.-]*://([^/?#\"'\s<>]+)"
+DOTTED = r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){2,}"
+NAME = r"^(?:[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\.){2,}[a-z]{2,}$"
 
 
 def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(src, dst, weight): how many pages of host src name or link host dst; no loops, no empty host."""
     host, _ = host_and_path(F.col(url_col))
     html = F.coalesce(F.col(html_col), F.lit(""))
-    named = F.concat(F.regexp_extract_all(html, F.lit(_LINK), F.lit(1)), F.regexp_extract_all(html, F.lit(_NAMED), F.lit(1)))
-    named = F.array_distinct(F.transform(named, lambda x: F.translate(x, ascii_uppercase, ascii_lowercase)))
-    pairs = pages.select(host.alias("src"), F.explode(named).alias("dst")).where("src <> '' and dst <> '' and src <> dst")
+    low = lambda x: F.translate(x, ascii_uppercase, ascii_lowercase)
+    linked = F.transform(F.regexp_extract_all(html, F.lit(LINK), F.lit(1)), low)
+    named = F.filter(F.transform(F.regexp_extract_all(html, F.lit(DOTTED), F.lit(0)), low), lambda x: x.rlike(NAME))
+    pairs = pages.select(host.alias("src"), F.explode(F.array_union(linked, named)).alias("dst")).where("src <> '' and dst <> '' and src <> dst")
     return pairs.groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
 
 
