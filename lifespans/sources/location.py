@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import ntz
 from ..functions.values import digest_matches, finite, location_id, reject_if, strict_object
+from .tables import write_base
 
 #: The fields that are kept, and the canonical key of a raw object.
 FIELDS = "_type string, tst bigint, lat double, lon double, acc double, vel double, motionactivities array<string>"
@@ -73,3 +74,18 @@ def location_points(raw: DataFrame) -> DataFrame:
 def check_raw_keys(raw: DataFrame) -> DataFrame:
     """Objects whose key, digest, content and time disagree: object_key, reject_reason."""
     return location_points(raw).where("reject_reason is not null").select("object_key", "reject_reason")
+
+
+def rebuild(raw: DataFrame, root: str) -> DataFrame:
+    """Load an inventory of raw objects into an empty ``root``, and the rejected objects.
+
+    A point's id is the hash of its object's key, and equal ids are equal points, so the order of the objects does not
+    matter.  A root that holds the table already is refused.
+    """
+    spark = raw.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/location_point")
+    if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        raise ValueError(f"{root} already holds location points")
+    rows = location_points(raw)
+    write_base(rows.where("reject_reason is null").dropDuplicates(["location_point_id"]), root, "location_point")
+    return rows.where("reject_reason is not null").select("object_key", "reject_reason")

@@ -1,6 +1,7 @@
 """Known cases by value, and properties."""
 
 import datetime as dt
+import gzip
 import hashlib
 import hmac
 import random
@@ -14,7 +15,8 @@ from lifespans.functions import values as V
 from lifespans.operators import intervals, pairing, quality, rollup, sync
 from lifespans.plans import marts
 from lifespans.schemas import COLUMNS, KEYS, schema
-from lifespans.sources import health, tables
+from lifespans.sources import health, location, tables
+from lifespans.streaming import files, notify
 
 EVENT = "event_key string, device_key string, bundle_id string, event_at timestamp, state string, is_valid boolean"
 
@@ -219,3 +221,88 @@ def test_coverage_and_coalescing_properties(spark, spans):
     assert sum(r.observed_seconds or 0 for r in covered) == 60 * minutes(lambda o: o)
     parts = intervals.prorate_by_day(df, "v").agg(F.sum("part_value")).first()[0]
     assert abs(parts - sum(r[3] for r in rows)) < 1e-6
+
+
+def _message(lat, lon, seconds, extra=""):
+    return f'{{"_type":"location","tst":{seconds},"lat":{lat},"lon":{lon}{extra}}}'
+
+
+def test_location_objects_files_and_rebuild(spark, tmp_path):
+    body = _message(1.5, 2.5, 1767225600, ',"motionactivities":[],"secret":"x"')
+    rows = [("d", body), ("d", body), ("d", _message(91, 0, 1767225600)), ("d", "[1]"), ("d", None), ("e", _message(0, 0, 1767225660))]
+    objects = location.raw_objects(spark.createDataFrame(rows, "device_key string, body string"))
+    good = objects.where("reject_reason is null").dropDuplicates(["object_key"])
+    assert good.count() == 2 and objects.where("reject_reason is not null").count() == 3
+    assert good.where("body like '%secret%'").count() == 0
+    location.write_location_raw(objects, str(tmp_path / "sink"))
+    stored = spark.read.schema("object_key string, body string, date date").json(str(tmp_path / "sink"))
+    location.write_location_raw(objects, str(tmp_path / "sink"), stored)
+    assert spark.read.json(str(tmp_path / "sink")).count() == 2
+    for r in good.collect():  # one file an object, as devices upload them
+        path = tmp_path / "files" / (r.object_key + ".gz")
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(gzip.compress(r.body.encode()))
+    raw = location.read_location_raw(spark, str(tmp_path / "files"))
+    assert location.check_raw_keys(raw).count() == 0
+    tampered = raw.withColumn("body", F.regexp_replace("body", "1.5", "1.6"))
+    assert [r.reject_reason for r in location.check_raw_keys(tampered).collect()] == ["digest_differs"]
+    assert location.rebuild(raw, str(tmp_path / "base")).count() == 0
+    points = tables.read_base(spark, str(tmp_path / "base"), "location_point").orderBy("latitude").collect()
+    assert [(p.latitude, p.motion_activities) for p in points] == [(0.0, None), (1.5, [])]
+    with pytest.raises(ValueError):
+        location.rebuild(raw, str(tmp_path / "base"))
+
+
+def test_sync_windows_and_completed_days(spark):
+    got = rollup.sync_windows(spark, "2026-01-01 16:00:00", "2026-01-02 16:00:00", {"steps": "utc", "sleep": "civil"}).orderBy("data_type").collect()
+    assert [(r.start_at, r.end_at) for r in got] == [(at("2026-01-02 00:00:00"), at("2026-01-04 00:00:00")), (at("2026-01-01 16:00:00"), at("2026-01-02 16:00:00"))]
+    days = rollup.completed_days(spark, "2026-01-03 16:00:00").orderBy("day").collect()
+    assert [(r.day, r.start_at) for r in days] == [(dt.date(2026, 1, 2), at("2026-01-01 15:00:00")), (dt.date(2026, 1, 3), at("2026-01-02 15:00:00"))]
+
+
+def test_relations_and_inventory_keys(spark):
+    spark.range(3).createOrReplaceTempView("there")
+    assert [r.available for r in quality.check_relations(spark, ["missing_relation", "there"]).orderBy("relation").collect()] == [False, True]
+
+
+def test_deliveries_reject_what_does_not_fit(spark):
+    ok = '[{"data":{"healthUserId":"u","dataType":"heart-rate","version":"1","operation":"UPSERT","intervals":[{"physicalTimeInterval":{"startTime":"2026-01-01T00:00:30Z","endTime":"2026-01-01T00:01:10Z"}}]}}]'
+    civil = '{"civilIso8601TimeInterval":{"startTime":"2026-01-01T00:00:00","endTime":"2026-01-02T00:00:00"},"civilDateTimeInterval":{"startDateTime":{"date":{"year":2026,"month":1,"day":%d}},"endDateTime":{"date":{"year":2026,"month":1,"day":2}}}}'
+    wrap = lambda i, v="1": '[{"data":{"healthUserId":"u","dataType":"steps","version":"%s","operation":"UPSERT","intervals":[%s]}}]' % (v, i)
+    bodies = [(ok,), (wrap(civil % 1),), (wrap(civil % 2),), (wrap(civil % 1, "2"),), ("nope",)]
+    got = notify.explode_deliveries(spark.createDataFrame(bodies, "body string")).collect()
+    assert [r.reject_reason for r in got] == [None, None, "civil_forms_differ", "version_unknown", "delivery_malformed"]
+    assert (got[0].start_at, got[0].end_at) == (at("2026-01-01 00:00:00"), at("2026-01-01 00:02:00"))
+
+
+def test_drain_gives_the_same_units_in_one_batch_or_many(spark, tmp_path):
+    rows = [(k, 1, "steps", "utc", at(f"2026-01-01 {k:02d}:00:00"), at(f"2026-01-01 {k:02d}:30:00"), at("2026-01-02 00:00:00")) for k in range(6)]
+    rows.append((6, 1, "steps", "utc", at("2026-01-01 06:00:00"), at("2026-01-09 00:00:00"), at("2026-01-02 00:00:00")))
+    rows.append((7, 1, "steps", "utc", at("2026-01-03 00:00:00"), at("2026-01-03 01:00:00"), at("2026-01-02 00:00:00")))  # starts after it was received
+    frame = spark.createDataFrame(rows, notify.MESSAGE)
+    results = []
+    for files_at_once in (1, 100):
+        root = str(tmp_path / f"n{files_at_once}")
+        frame.repartition(4, "message_id").write.json(f"{root}/landed")
+        for _ in range(2):  # a second run finds nothing new
+            notify.run_drain(notify.stream_notifications(spark, f"{root}/landed", files_at_once), root, f"{root}/cp", "2026-01-05 00:00:00").awaitTermination()
+        units = spark.read.parquet(f"{root}/units").select("day", "start_at", "end_at").collect()
+        results.append(sorted(tuple(u) for u in units))
+        assert spark.read.parquet(f"{root}/rejected").count() == 1
+    assert results[0] and {u[0] for u in results[0]} == {u[0] for u in results[1]}
+
+
+def test_usage_stream_does_not_depend_on_batches(spark, tmp_path):
+    rows = [("s", i % 3, i, "WRITTEN" if i % 4 else "DELETED", f"k{i % 5}") for i in range(24)]
+    df = spark.createDataFrame(rows, "segment_key string, record_offset int, record_metadata_offset int, record_state string, event_key string").select(
+        "*", F.lit("d").alias("device_key"), F.lit("a").alias("bundle_id"), F.lit("2026-01-01").cast("timestamp_ntz").alias("event_at"), F.lit(True).alias("in_foreground"),
+        F.lit(None).cast("boolean").alias("crc_passed"), F.lit("event").alias("record_kind"))
+    out = []
+    for n in (1, 100):
+        root = str(tmp_path / str(n))
+        df.repartition(4, "record_metadata_offset").write.parquet(f"{root}/landed")
+        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", n).parquet(f"{root}/landed")
+        files.run_usage(stream, root, f"{root}/cp").awaitTermination()
+        last = files.last_batch(spark, f"{root}/cp")
+        out.append(sorted(map(tuple, spark.read.parquet(f"{root}/events/batch={last}").collect())))
+    assert out[0] == out[1] == sorted(map(tuple, sync.adopt_records(df).withColumn("is_valid", F.lit(True)).collect()))
