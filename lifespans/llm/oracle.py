@@ -71,3 +71,37 @@ r0 AS (SELECT kind, host, mass / sum(mass) OVER (PARTITION BY kind) AS rank FROM
 scores AS (SELECT host, round(sum(CASE WHEN kind = 'trust' THEN rank ELSE 0.0 END), 12) AS trust, round(sum(CASE WHEN kind = 'distrust' THEN rank ELSE 0.0 END), 12) AS distrust FROM r{rounds} GROUP BY host)
 SELECT p.page_id, p.host, p.path, p.rule, coalesce(p.action, CASE WHEN coalesce(s.distrust, 0.0) > coalesce(s.trust, 0.0) THEN 'block' ELSE 'allow' END) AS verdict,
   coalesce(s.trust, 0.0) AS trust, coalesce(s.distrust, 0.0) AS distrust FROM ruled p LEFT JOIN scores s ON s.host = p.host"""
+
+
+def licences(templates: list[tuple[str, str]], threshold: float = 0.8, file_share: float = 0.25) -> str:
+    """Every line against every template, without the filter by anchors."""
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    values = ", ".join(f"({k}, {quote(n)}, {quote(t)})" for k, (n, t) in enumerate(templates))
+
+    def terms(x: str) -> str:
+        return f"list_filter(list_transform(regexp_extract_all(lower({x}), '[a-z0-9.-]+'), lambda w: regexp_replace(w, '^[.-]+|[.-]+$', '', 'g')), lambda w: w <> '')"
+
+    return rf"""WITH files AS (SELECT row_number() OVER () AS r, doc_id, source || '/' || lang || '/' || CAST(doc_id // 100 AS VARCHAR) AS dir,
+  source || '/' || lang || '/' || CAST(doc_id // 100 AS VARCHAR) || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, coalesce(text, '') AS text FROM documents),
+tpl(template, licence, text) AS (VALUES {values}),
+tw AS (SELECT template, licence, w, count(*) AS tf FROM (SELECT template, licence, unnest({terms('text')}) AS w FROM tpl) GROUP BY ALL),
+df AS (SELECT w, count(*) AS n FROM (SELECT DISTINCT r, w FROM (SELECT r, unnest({terms('text')}) AS w FROM files)) GROUP BY w),
+idf AS (SELECT w, ln((1 + (SELECT count(*) FROM files)) / (1.0::DOUBLE + coalesce(df.n, 0))) + 1 AS idf FROM (SELECT DISTINCT w FROM tw) LEFT JOIN df USING (w)),
+tv AS (SELECT template, licence, w, tf * idf AS v, idf FROM tw JOIN idf USING (w)),
+tn AS (SELECT template, sqrt(sum(v * v)) AS norm FROM tv GROUP BY template),
+lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM files),
+lw AS (SELECT line, w, count(*) AS tf FROM (SELECT line, unnest({terms('line')}) AS w FROM (SELECT DISTINCT line FROM lines)) GROUP BY line, w),
+ln_ AS (SELECT line, sqrt(sum(v * v)) AS norm FROM (SELECT line, tf * coalesce(idf.idf, ln(1 + (SELECT count(*) FROM files)) + 1) AS v FROM lw LEFT JOIN idf USING (w)) GROUP BY line),
+dots AS (SELECT lw.line, tv.template, tv.licence, sum(lw.tf * tv.v * tv.idf / tn.norm) AS dot FROM lw JOIN tv ON tv.w = lw.w JOIN tn ON tn.template = tv.template GROUP BY 1, 2, 3),
+good AS (SELECT line, licence, round(dot / norm, 6) AS score FROM dots JOIN ln_ USING (line) WHERE round(dot / norm, 6) >= {threshold}),
+best AS (SELECT line, licence, score FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY score DESC, licence DESC) AS n FROM good) WHERE n = 1),
+hits AS (SELECT lines.r, best.licence, best.score, len({terms('lines.line')}) AS terms FROM lines JOIN best ON best.line = lines.line),
+own AS (SELECT r, licence AS own_licence, score AS own_score, total FROM (SELECT *, sum(terms) OVER (PARTITION BY r) AS total,
+  row_number() OVER (PARTITION BY r ORDER BY score DESC, licence DESC) AS n FROM hits) WHERE n = 1),
+licensed AS (SELECT dir, own_licence AS licence FROM (SELECT f.dir, own.own_licence, row_number() OVER (PARTITION BY f.dir ORDER BY own.own_score DESC, own.own_licence DESC) AS n
+  FROM own JOIN files f ON f.r = own.r WHERE own.total / greatest(1, len({terms('f.text')})) >= {file_share}) WHERE n = 1),
+above AS (SELECT d.dir, l.licence, l.dir AS from_dir, row_number() OVER (PARTITION BY d.dir ORDER BY length(l.dir) DESC) AS n FROM (SELECT DISTINCT dir FROM files) d
+  JOIN licensed l ON d.dir = l.dir OR starts_with(d.dir, l.dir || '/'))
+SELECT f.doc_id, f.path, own.own_licence, own.own_score, coalesce(own.own_licence, a.licence) AS licence, CASE WHEN own.own_licence IS NOT NULL THEN 'own'
+  WHEN a.licence IS NOT NULL THEN 'inherited' END AS origin, CASE WHEN own.own_licence IS NULL THEN a.from_dir END AS from_dir
+FROM files f LEFT JOIN own ON own.r = f.r LEFT JOIN above a ON a.dir = f.dir AND a.n = 1"""
