@@ -14,8 +14,12 @@ def ntz(ts: Column | str) -> Column:
 
 
 def local_time(ts: Column | str, zone: str | Column = DEFAULT_ZONE) -> Column:
-    """Wall time of an instant in a zone, as TIMESTAMP_NTZ."""
-    zone = F.lit(zone) if isinstance(zone, str) else zone
+    """Wall time of an instant in a zone, as TIMESTAMP_NTZ.
+
+    A fixed zone is looked up once for a query; ``convert_timezone``, for a zone per row, looks it up in every row.
+    """
+    if isinstance(zone, str):
+        return F.from_utc_timestamp(ntz(ts).cast("timestamp"), zone).cast("timestamp_ntz")
     return F.convert_timezone(F.lit("UTC"), zone, ntz(ts))
 
 
@@ -26,8 +30,9 @@ def local_date(ts: Column | str, zone: str | Column = DEFAULT_ZONE) -> Column:
 
 def local_midnight(day: Column | str, zone: str | Column = DEFAULT_ZONE) -> Column:
     """UTC wall time at which a civil date begins in a zone."""
-    zone = F.lit(zone) if isinstance(zone, str) else zone
     day = F.col(day) if isinstance(day, str) else day
+    if isinstance(zone, str):
+        return F.to_utc_timestamp(day.cast("timestamp"), zone).cast("timestamp_ntz")
     return F.convert_timezone(zone, F.lit("UTC"), day.cast("timestamp_ntz"))
 
 

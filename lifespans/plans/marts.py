@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.time import DEFAULT_ZONE, local_date, seconds_between
+from ..functions.time import DEFAULT_ZONE, local_date, micros_between
 from ..operators.intervals import coalesce_intervals, overlapping, prorate_by_day
 from ..operators.pairing import daily_usage_total, pair_events
 
@@ -63,7 +63,7 @@ def daily_sleep_detail(sessions: DataFrame, details: DataFrame, zone: str = DEFA
     by = [*(keys or []), "sleep_date", "kind", "category"]
     dates = sessions.select("sleep_session_id", *(keys or []), local_date("end_at", zone).alias("sleep_date"))
     merged = coalesce_intervals(details.join(dates, "sleep_session_id").select(*by, "start_at", "end_at"), by)
-    return merged.groupBy(*by).agg((F.sum(seconds_between("start_at", "end_at")) / 60).alias("total_minutes"))
+    return merged.groupBy(*by).agg((F.sum(micros_between("start_at", "end_at")) / 60e6).alias("total_minutes"))
 
 
 def usage_last_days(daily: DataFrame, last_day, days: int = 7, keys: list[str] | None = None) -> DataFrame:
