@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, use: Column | None = None) -> DataFrame:
-    """(doc_id, text, label): at most about ``max_rows`` labelled documents, both classes with an equal share.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, use: Column | None = None, positive: float = 0.5) -> DataFrame:
+    """(doc_id, text, label): at most about ``max_rows`` labelled documents, up to a share of ``positive`` with label 1.
 
     The labels are thinned by a hash of doc_id, at a rate for each class that follows from its count, so the texts of
     the sample alone meet the labels: the broadcast side is bounded by ``max_rows``.  Null labels and ids are left out;
@@ -20,7 +20,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
     sizes = {r["label"]: r["n"] for r in known.where("label in (0, 1)").groupBy("label").agg(F.count("*").alias("n")).collect()}
     rate = F.lit(0.0)
     for value, n in sizes.items():
-        rate = F.when(F.col("label") == value, F.lit(min(1.0, max_rows / 2 / max(n, 1)))).otherwise(rate)
+        rate = F.when(F.col("label") == value, F.lit(min(1.0, max_rows * (positive if value else 1 - positive) / max(n, 1)))).otherwise(rate)
     drawn = known.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(label)), F.lit(1_000_000)) < rate * 1_000_000)
     texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     return texts.join(F.broadcast(drawn), "doc_id")
