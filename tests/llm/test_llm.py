@@ -198,6 +198,16 @@ def test_toxicity_model():
     assert (s[y == 1] >= 0.5).mean() > 0.95 and (s[y == 0] < 0.5).mean() > 0.98
 
 
+def test_toxicity_holds_out(spark):
+    """Fitted on one half of the labels, judged on the other."""
+    sf = DATA.replace("sf0.001", "sf0.1")
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels.where("doc_id % 2 = 0"))
+    got = toxicity.severity(docs, model).join(labels.where("doc_id % 2 = 1"), "doc_id").toPandas()
+    flagged = got.severity >= queries.TOXIC_FROM
+    assert flagged[got.toxic == 1].mean() > 0.7 and (~flagged)[got.toxic == 0].mean() > 0.98  # some 220 toxic rows to learn from
+
+
 def test_toxicity_edges(spark, edge):
     weights = np.zeros(toxicity.BUCKETS, np.float32)
     weights[toxicity.buckets({b"one"})] = 50
