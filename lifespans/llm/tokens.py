@@ -6,6 +6,8 @@ import os
 import re
 import struct
 import zlib
+from itertools import accumulate
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -25,46 +27,92 @@ _CUT = re.compile(f"[^{_SPACES}](?= [^{_SPACES}])")
 SEGMENT = 1 << 20
 
 
+def byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, the rest from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+class Kept:
+    """A mapping of bounded size that drops what has not been asked for lately, half at a time."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """The keys that are not held; the held ones can then be read from ``new``."""
+        if len(self.new) > self.size // 2:
+            self.old, self.new = self.new, {}
+        absent = keys.difference(self.new)
+        unknown = absent.difference(self.old)
+        for k in absent - unknown:
+            self.new[k] = self.old[k]
+        return list(unknown)
+
+
 class Encoder:
     """A byte-level BPE of the tokenizers library, with the ids of pieces it has met kept.
 
     Its pre-tokenizer never joins characters across the borders of the pieces used here (a word with the space before
-    it, or white space), so a text's ids are those of its pieces.  Texts that name a special token go through whole.
+    it, or white space), nor letters with the punctuation after them, so a text's ids are those of its pieces.  Words of
+    letters go to the library's model, other pieces through the whole tokenizer, and so do texts that name a special
+    token and everything else if the pre-tokenizer is another one.
     """
 
-    def __init__(self, path: str, kept: int = 400_000):
+    def __init__(self, path: str, kept: int = 800_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         if not os.path.exists(path):
             import public_tokenizers
 
             path = public_tokenizers.path(path)
         self.library = Tokenizer.from_file(path)
+        self.by_piece = isinstance(self.library.pre_tokenizer, pre_tokenizers.ByteLevel) and self.library.normalizer is None
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.dtype = np.uint16 if self.library.get_vocab_size() <= 1 << 16 else np.uint32
-        self.pieces: dict[str, bytes] = {}
-        self.kept = kept
+        self.letters = byte_letters()
+        self.pieces, self.words, self.marks = Kept(kept), Kept(kept), {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode pieces that are new: a word and the punctuation after it apart, any other piece as a whole."""
+        cut, other = [], []
+        for p in pieces:
+            word = p.rstrip(punctuation)
+            (cut if word.lstrip(" ").isalpha() else other).append((p, word))
+        if other:
+            self.pieces.new.update(zip((p for p, _ in other), self._whole([p for p, _ in other])))
+        words = self.words.missing({w for _, w in cut})
+        tokenize, letters = self.library.model.tokenize, self.letters
+        found = [tokenize(w.encode().decode("latin-1").translate(letters)) for w in words]
+        ids = np.array([t.id for f in found for t in f], self.dtype).tobytes()
+        ends = list(accumulate([len(f) * self.dtype().itemsize for f in found]))
+        self.words.new.update(zip(words, [ids[a:z] for a, z in zip([0, *ends], ends)]))
+        for p, word in cut:
+            mark = p[len(word):]
+            if mark and mark not in self.marks:
+                if len(self.marks) > 10_000:
+                    self.marks.clear()
+                self.marks[mark] = self._whole([mark])[0]
+            self.pieces.new[p] = self.words.new[word] + self.marks[mark] if mark else self.words.new[word]
+
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian integers of ``dtype``."""
-        if any(s in text for s in self.special):
+        if not self.by_piece or any(s in text for s in self.special):
             return self._whole([text])[0]
         out, at = [], 0
         while at < len(text):
             found = _CUT.search(text, at + SEGMENT) if at + SEGMENT < len(text) else None
             to = found.end() if found else len(text)
             pieces = _PIECE.findall(text[at:to])
-            missing = [p for p in set(pieces) if p not in self.pieces]
+            missing = self.pieces.missing(set(pieces))
             if missing:
-                if len(self.pieces) + len(missing) > self.kept:
-                    self.pieces.clear()
-                    missing = list(set(pieces))
-                self.pieces.update(zip(missing, self._whole(missing)))
-            out += map(self.pieces.__getitem__, pieces)
+                self._learn(missing)
+            out += map(self.pieces.new.__getitem__, pieces)
             at = to
         return b"".join(out)
 
@@ -84,11 +132,12 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, bytes, bytes]:
 
     A rank takes one to four bytes; a control byte holds the lengths of four ranks, two bits each, first lowest.
     """
-    table, inverse, count = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.lexsort((table, -count))
-    rank = np.empty(len(table), np.uint32)
-    rank[order] = np.arange(len(table), dtype=np.uint32)
-    ranks = rank[inverse]
+    count = np.bincount(ids)  # as long as the vocabulary at most
+    table = np.flatnonzero(count)
+    table = table[np.argsort(-count[table], kind="stable")]
+    rank = np.zeros(len(count), np.uint32)
+    rank[table] = np.arange(len(table), dtype=np.uint32)
+    ranks = rank[ids]
     length = ((ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)).astype(np.uint8)
     four = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     four[: len(ranks)] = length
@@ -96,7 +145,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, bytes, bytes]:
     control = (four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6).astype(np.uint8)
     used = np.arange(4, dtype=np.uint8)[None, :] <= length[:, None]
     data = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[used]
-    return table[order].astype("<u4"), control.tobytes(), data.tobytes()
+    return table.astype("<u4"), control.tobytes(), data.tobytes()
 
 
 def unpack(table: np.ndarray, control: bytes, data: bytes, n: int) -> np.ndarray:
@@ -191,7 +240,8 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(keys, pa.int64()), "start": pa.array(base + ends - sizes, pa.int64()),
                                                   "n_tokens": pa.array(sizes, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
 
-    return based.repartition("path").mapInArrow(per_partition, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    files = max(1, min(10_000, manifest.count()))  # a fixed number, which adaptive execution doesn't merge
+    return based.repartition(files, "part", "file").mapInArrow(per_partition, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def token_files(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", **options) -> DataFrame:
