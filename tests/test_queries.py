@@ -14,7 +14,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 
 def _cell(x):
-    if x is None or x is pd.NaT or (isinstance(x, float) and math.isnan(x)):
+    if x is None or x is pd.NaT or x is pd.NA or (isinstance(x, float) and math.isnan(x)):
         return "null"
     if isinstance(x, float):
         return f"{x:.5f}"
