@@ -6,8 +6,10 @@ and the master is local (tests) is a temporary folder used.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +31,14 @@ def shared_base(spark: SparkSession) -> str:
 
 
 def bounded_batches(spark: SparkSession, megabytes: int = 8) -> None:
-    """Bound the Arrow batches sent to Python tasks by bytes, so that very long texts don't pile up in one batch."""
+    """Bound the Arrow batches sent to Python tasks by bytes, so that very long texts don't pile up in one batch.
+
+    Tasks also get the folder that the driver imported this package from on their path, whatever their working folder.
+    """
+    home, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, home])
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
 
