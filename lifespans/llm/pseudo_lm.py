@@ -80,11 +80,14 @@ class Vocabulary:
         within[1:] = np.log(counts[1:] / mass[group[1:]])
         return cls(ids, group, within.astype(np.float32))
 
-    def encode(self, data: bytes) -> np.ndarray:
+    def encode(self, data: bytes, rare: Counter[bytes] | None = None) -> np.ndarray:
+        """Ids of the words of a text; ``rare`` gets the counts of those that share a bucket."""
         parts = []
         for words in segments(data):
             found = list(map(self.ids.get, words))
             if None in found:
+                if rare is not None:
+                    rare.update(w for k, w in zip(found, words) if k is None)
                 found = [1 + WORDS + zlib.crc32(w) % RARE if k is None else k for k, w in zip(found, words)]
             parts.append(np.array(found, np.int32))
         return np.concatenate(parts) if parts else np.empty(0, np.int32)
@@ -227,15 +230,29 @@ def fit(docs: DataFrame, scratch: Scratch, text_col: str = "text", every: int =
     return words, Network.of(flat)
 
 
-def score(docs: DataFrame, words: Vocabulary, net: Network, id_col: str = "doc_id", text_col: str = "text", slice_size: int = 8192) -> DataFrame:
-    """doc_id, n_tokens, log_likelihood (sum over the tokens) and mean_log_likelihood (null without tokens)."""
+def rare_shares(counts: DataFrame, words: Vocabulary) -> DataFrame:
+    """(word, log_share) of every word beyond the vocabulary: the log of its share of its bucket's count."""
+    known = counts.sparkSession.createDataFrame([(bytearray(w),) for w in words.ids], "word binary")
+    rare = counts.join(F.broadcast(known), "word", "left_anti").withColumn("b", F.crc32("word") % RARE)
+    totals = rare.groupBy("b").agg(F.sum("n").alias("all"))  # one row a bucket
+    return rare.join(F.broadcast(totals), "b").select("word", F.log(F.col("n") / F.col("all")).alias("log_share"))
+
+
+def score(docs: DataFrame, words: Vocabulary, net: Network, id_col: str = "doc_id", text_col: str = "text", slice_size: int = 8192, keep_rare: bool = False) -> DataFrame:
+    """doc_id, n_tokens, log_likelihood (sum over the tokens) and mean_log_likelihood (null without tokens).
+
+    A word beyond the vocabulary scores as its bucket.  With ``keep_rare`` each row also has a number of its own (row)
+    and the counts of such words (rare, times), by which their shares of the buckets are added.
+    """
     bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast((words, net))
 
     def per_batch(batches):
         known, model = sent.value
+        row = TaskContext.get().partitionId() << 36
         for batch in batches:
-            texts = [known.encode(x or b"") for x in batch.column(1).to_pylist()]
+            rare = [Counter() for _ in range(batch.num_rows)] if keep_rare else [None] * batch.num_rows
+            texts = [known.encode(x or b"", r) for x, r in zip(batch.column(1).to_pylist(), rare)]
             sizes = np.array([len(t) for t in texts], np.int64)
             stream, _ = joined_stream(texts)
             at = np.flatnonzero(stream)
@@ -244,17 +261,33 @@ def score(docs: DataFrame, words: Vocabulary, net: Network, id_col: str = "doc_i
             running = np.r_[0.0, np.cumsum(np.concatenate(logs, dtype=np.float64))] if logs else np.zeros(1)
             sums = running[ends] - running[ends - sizes]
             mean = pa.array(sums / np.maximum(sizes, 1), mask=sizes == 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(sums), mean], ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
+            columns = {"doc_id": batch.column(0), "n_tokens": pa.array(sizes), "log_likelihood": pa.array(sums), "mean_log_likelihood": mean}
+            if keep_rare:
+                columns["row"] = pa.array(np.arange(row, row + len(texts)))
+                columns["rare"] = pa.array([list(r) for r in rare], pa.list_(pa.binary()))
+                columns["times"] = pa.array([list(r.values()) for r in rare], pa.list_(pa.int64()))
+                row += len(texts)
+            yield pa.RecordBatch.from_pydict(columns)
 
     pairs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return pairs.mapInArrow(per_batch, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")
+    schema = "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double"
+    return pairs.mapInArrow(per_batch, schema + (", row long, rare array<binary>, times array<long>" if keep_rare else ""))
 
 
 def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fit on all of ``docs`` and score every whole text of it.
 
     Null and empty texts have no token, likelihood 0 and a null mean; repeated rows get equal scores; ids may be null;
-    an empty table gives no rows; other columns are not read.
+    an empty table gives no rows; other columns are not read.  A word beyond the vocabulary has its bucket's probability
+    times its share of the bucket's count: the counts of all words are joined to the texts' rare words.
     """
-    words, net = fit(docs, Scratch(docs.sparkSession, "lm"), text_col)
-    return score(docs, words, net, id_col, text_col)
+    scratch = Scratch(docs.sparkSession, "lm")
+    words, net = fit(docs, scratch, text_col)
+    counts = docs.sparkSession.read.schema("word binary, n long").parquet(scratch.path("counts"))
+    scored = scratch.table(score(docs, words, net, id_col, text_col, keep_rare=True), "scored")
+    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("word"), F.col("w.times").alias("times"))
+    shares = rare.join(rare_shares(counts, words), "word").groupBy("row").agg(F.sum(F.round(F.col("times") * F.col("log_share"), 9).cast("decimal(28,9)")).alias("more"))
+    whole = F.col("log_likelihood") + F.coalesce(F.col("more").cast("double"), F.lit(0.0))
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_likelihood")
+    summed = scored.select("row", "doc_id", "n_tokens", "log_likelihood").join(shares, "row", "left").select("doc_id", "n_tokens", whole.alias("log_likelihood"))
+    return summed.select("doc_id", "n_tokens", "log_likelihood", mean)
