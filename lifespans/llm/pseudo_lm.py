@@ -169,10 +169,20 @@ def joined_stream(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return stream, starts
 
 
+def masks(starts: np.ndarray, texts: list[np.ndarray], every: int, phase: int = 0):
+    """Positions to mask, one array for each of ``every`` passes: each token of each text is in exactly one.
+
+    A pass masks one token in ``every`` of a text; the phase goes round the texts.
+    """
+    for turn in range(every):
+        at = [np.arange(s + (phase + 3 * k + turn) % every, s + len(t), every) for k, (s, t) in enumerate(zip(starts, texts))]
+        yield np.concatenate(at) if at else np.empty(0, np.int64)
+
+
 def fit(docs: DataFrame, scratch: Scratch, text_col: str = "text", every: int = 8, rate: float = 0.5, batch_size: int = 2048) -> tuple[Vocabulary, Network]:
     """Train on all documents: tasks train from one start on their own texts, and their weights are averaged.
 
-    In each text one token in ``every`` is masked (the phase goes round the texts) and predicted from both sides.  A
+    Every token is masked once and predicted from both sides, one in ``every`` of a text at a time.  A
     task returns its weights in blocks, times the number of tokens it trained on; the blocks are summed in Spark on two
     levels, so the driver gets one model and no task gathers all, whatever the number of tasks.
     """
@@ -184,14 +194,11 @@ def fit(docs: DataFrame, scratch: Scratch, text_col: str = "text", every: int =
         for batch in batches:
             texts = [known.encode(x or b"") for x in batch.column(0).to_pylist()]
             stream, starts = joined_stream(texts)
-            at = []
-            for s, t in zip(starts, texts):
-                at.append(np.arange(s + phase % every, s + len(t), every))
-                phase += 3
-            at = np.concatenate(at) if at else np.empty(0, np.int64)
-            for k in range(0, len(at), batch_size):
-                net.train(stream, at[k : k + batch_size], known, rate)
-            seen += len(at)
+            for at in masks(starts, texts, every, phase):
+                for k in range(0, len(at), batch_size):
+                    net.train(stream, at[k : k + batch_size], known, rate)
+                seen += len(at)
+            phase += 3 * len(texts)
         if seen:
             for k, block in enumerate(np.array_split(net.flat(), BLOCKS)):
                 yield pa.RecordBatch.from_pydict({"block": pa.array([k], pa.int32()), "task": pa.array([TaskContext.get().partitionId()], pa.int32()),

@@ -4,7 +4,9 @@ import math
 import zlib
 from collections import defaultdict
 
-from lifespans.llm import pseudo_lm
+import numpy as np
+
+from lifespans.llm import pseudo_lm, storage
 
 
 def test_rare_words_score_by_their_own_counts(spark):
@@ -18,3 +20,17 @@ def test_rare_words_score_by_their_own_counts(spark):
     got = {r.doc_id: r.log_likelihood for r in pseudo_lm.pseudo_likelihood(docs).collect()}
     assert len(got) == len(rows) + 2 and got[23] == 0
     assert abs(got[21] - got[20] - math.log(7 / 3)) < 1e-6
+
+
+def test_every_token_is_a_training_target_once(spark):
+    texts = [np.arange(1, n + 1, dtype=np.int32) for n in (1, 0, 5, 40, 3)]
+    stream, starts = pseudo_lm.joined_stream(texts)
+    for phase in range(8):
+        passes = list(pseudo_lm.masks(starts, texts, 8, phase))
+        assert len(passes) == 8 and sorted(np.concatenate(passes)) == list(np.flatnonzero(stream))
+    # a word that is only ever at the second place of short texts is learned: its class gains on the untrained model
+    docs = spark.createDataFrame([(1, "left word")], "doc_id long, text string")
+    words, net = pseudo_lm.fit(docs, storage.Scratch(spark, "t"))
+    stream, _ = pseudo_lm.joined_stream([words.encode(b"left word")])
+    before = pseudo_lm.Network.start().log_probabilities(stream, np.flatnonzero(stream), words)
+    assert (net.log_probabilities(stream, np.flatnonzero(stream), words) > before).all()
