@@ -6,8 +6,7 @@ import os
 import re
 import struct
 import zlib
-from itertools import accumulate
-from string import punctuation
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +20,23 @@ from .storage import Scratch, bounded_batches, open_fs, write_file
 END = 2
 MAGIC = b"RANKTOK1"
 _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)  # by control byte
-_SPACES = "\t-\r \x85\xa0  -     　"  # characters of Unicode white space
-_PIECE = re.compile(f" ?[^{_SPACES}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]")
-_CUT = re.compile(f"[^{_SPACES}](?= [^{_SPACES}])")
-SEGMENT = 1 << 20
+SEGMENT = 8 << 20  # bytes of text that are cut into pieces at once
+
+# Kinds of bytes.  BEYOND: of a character whose class is not looked up; nothing is cut beside it but before white space.
+LETTER, DIGIT, MARK, TICK, BEYOND, SPACE, BLANK = range(7)
+_KIND = np.full(256, MARK, np.uint8)
+_KIND[[*range(65, 91), *range(97, 123)]] = LETTER
+_KIND[48:58], _KIND[39], _KIND[128:], _KIND[32], _KIND[9:14] = DIGIT, TICK, BEYOND, SPACE, BLANK
+_WIDE = re.compile(b"|".join(chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+_BORDER = np.zeros((7, 7), bool)  # neighbours that the pre-tokenizer parts whatever stands around them
+for _a in (LETTER, DIGIT, MARK):
+    for _b in (LETTER, DIGIT, MARK):
+        _BORDER[_a, _b] = _a != _b
+_BORDER[LETTER, TICK] = _BORDER[DIGIT, TICK] = _BORDER[TICK, DIGIT] = True
+_BORDER[:SPACE, SPACE:] = _BORDER[BLANK, :SPACE] = True
+_BORDER = _BORDER.ravel()
+_CUT = re.compile(rb"[!-~](?= [!-~])")
+_PLAIN = re.compile(rb" ?(?:(?:[A-Za-z]|\xc3[^\x97\xb7]|[\xc4-\xc9].)+|[0-9]+)", re.S)  # one word or number
 
 
 def byte_letters() -> dict[int, str]:
@@ -34,30 +46,61 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
+def piece_starts(data: bytes, starts: np.ndarray) -> np.ndarray:
+    """Where the pieces of joined texts begin; ``starts`` are the texts' own beginnings.
+
+    Every piece begins and ends where the byte-level pre-tokenizer has a border too, so a text's ids are those of its
+    pieces: words, numbers and punctuation part from each other, a space stays with what follows, the last character of
+    other white space stands apart from the run before it.  An apostrophe stays with the letters after it, and
+    characters beyond Latin letters with their neighbours.
+    """
+    a = np.frombuffer(data, np.uint8)
+    kind = _KIND[a]
+    if not data.isascii():
+        lead = np.flatnonzero((a >= 0xC3) & (a <= 0xC9))  # U+00C0 to U+027F: letters but for two signs
+        lead = lead[lead + 1 < len(a)]
+        lead = lead[(a[lead] != 0xC3) | ((a[lead + 1] != 0x97) & (a[lead + 1] != 0xB7))]
+        kind[lead] = kind[lead + 1] = LETTER
+        for m in _WIDE.finditer(data):
+            kind[m.start() : m.end()] = BLANK
+    cut = np.zeros(len(a), bool)
+    cut[1:] = _BORDER[kind[:-1] * np.uint8(7) + kind[1:]]
+    cut[starts] = True
+    blank = kind >= SPACE
+    run = np.flatnonzero(blank[1:] & blank[:-1]) + 1  # white space after white space
+    run = run[~cut[run] & ((a[run] & 0xC0) != 0x80)]
+    after = run + 1 + (a[run] >= 0x80) + (a[run] >= 0xE0)
+    run, after = run[after < len(a)], after[after < len(a)]
+    first = np.zeros(len(a), bool)
+    first[starts] = True
+    cut[run[~blank[after] & ~first[after]]] = True
+    return np.flatnonzero(cut)
+
+
 class Kept:
     """A mapping of bounded size that drops what has not been asked for lately, half at a time."""
 
     def __init__(self, size: int):
         self.size, self.new, self.old = size, {}, {}
 
-    def missing(self, keys: set) -> list:
+    def missing(self, keys: list) -> list:
         """The keys that are not held; the held ones can then be read from ``new``."""
         if len(self.new) > self.size // 2:
             self.old, self.new = self.new, {}
-        absent = keys.difference(self.new)
-        unknown = absent.difference(self.old)
-        for k in absent - unknown:
-            self.new[k] = self.old[k]
-        return list(unknown)
+        absent = [k for k in keys if k not in self.new]
+        unknown = [k for k in absent if k not in self.old]
+        for k in absent:
+            if k in self.old:
+                self.new[k] = self.old[k]
+        return unknown
 
 
 class Encoder:
     """A byte-level BPE of the tokenizers library, with the ids of pieces it has met kept.
 
-    Its pre-tokenizer never joins characters across the borders of the pieces used here (a word with the space before
-    it, or white space), nor letters with the punctuation after them, so a text's ids are those of its pieces.  Words of
-    letters go to the library's model, other pieces through the whole tokenizer, and so do texts that name a special
-    token and everything else if the pre-tokenizer is another one.
+    Texts are cut into pieces with numpy, Arrow finds the different ones, and the library encodes those that are new:
+    single words and numbers through its model, other pieces whole.  Texts that name a special token go to the library
+    whole, and so does every text if the tokenizer's preparation is another one.
     """
 
     def __init__(self, path: str, kept: int = 800_000):
@@ -69,52 +112,82 @@ class Encoder:
 
             path = public_tokenizers.path(path)
         self.library = Tokenizer.from_file(path)
-        self.by_piece = isinstance(self.library.pre_tokenizer, pre_tokenizers.ByteLevel) and self.library.normalizer is None
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        before = self.library.pre_tokenizer
+        self.by_piece = (
+            isinstance(before, pre_tokenizers.ByteLevel) and not before.add_prefix_space and before.use_regex and self.library.normalizer is None
+        )
+        self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.dtype = np.uint16 if self.library.get_vocab_size() <= 1 << 16 else np.uint32
-        self.letters = byte_letters()
-        self.pieces, self.words, self.marks = Kept(kept), Kept(kept), {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces that are new: a word and the punctuation after it apart, any other piece as a whole."""
-        cut, other = [], []
-        for p in pieces:
-            word = p.rstrip(punctuation)
-            (cut if word.lstrip(" ").isalpha() else other).append((p, word))
-        if other:
-            self.pieces.new.update(zip((p for p, _ in other), self._whole([p for p, _ in other])))
-        words = self.words.missing({w for _, w in cut})
+        self.letters, self.pieces = byte_letters(), Kept(kept)
+
+    def _whole(self, texts: list[bytes]) -> list[bytes]:
+        decoded = [t.decode(errors="replace") for t in texts]
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.library.encode_batch_fast(decoded, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        plain = [p for p in pieces if _PLAIN.fullmatch(p)]
         tokenize, letters = self.library.model.tokenize, self.letters
-        found = [tokenize(w.encode().decode("latin-1").translate(letters)) for w in words]
-        ids = np.array([t.id for f in found for t in f], self.dtype).tobytes()
+        found = [[t.id for t in tokenize(p.decode("latin-1").translate(letters))] for p in plain]
+        ids = np.array(list(chain.from_iterable(found)), self.dtype).tobytes()
         ends = list(accumulate([len(f) * self.dtype().itemsize for f in found]))
-        self.words.new.update(zip(words, [ids[a:z] for a, z in zip([0, *ends], ends)]))
-        for p, word in cut:
-            mark = p[len(word):]
-            if mark and mark not in self.marks:
-                if len(self.marks) > 10_000:
-                    self.marks.clear()
-                self.marks[mark] = self._whole([mark])[0]
-            self.pieces.new[p] = self.words.new[word] + self.marks[mark] if mark else self.words.new[word]
-
-    def encode(self, text: str) -> bytes:
-        """The ids of a text as little-endian integers of ``dtype``."""
-        if not self.by_piece or any(s in text for s in self.special):
-            return self._whole([text])[0]
-        out, at = [], 0
-        while at < len(text):
-            found = _CUT.search(text, at + SEGMENT) if at + SEGMENT < len(text) else None
-            to = found.end() if found else len(text)
-            pieces = _PIECE.findall(text[at:to])
-            missing = self.pieces.missing(set(pieces))
-            if missing:
-                self._learn(missing)
-            out += map(self.pieces.new.__getitem__, pieces)
-            at = to
-        return b"".join(out)
+        self.pieces.new.update(zip(plain, [ids[a:z] for a, z in zip([0, *ends], ends)]))
+        other = [p for p in pieces if p not in self.pieces.new]
+        self.pieces.new.update(zip(other, self._whole(other)))
+
+    def _joined(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of texts that are not empty, by their pieces."""
+        data = b"".join(texts)
+        starts = np.cumsum([0] + [len(t) for t in texts[:-1]])
+        at = piece_starts(data, starts)
+        offsets = np.append(at, len(data)).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        different = pieces.dictionary.to_pylist()
+        missing = self.pieces.missing(different)
+        if missing:
+            self._learn(missing)
+        values = list(map(self.pieces.new.__getitem__, different))
+        size = np.fromiter(map(len, values), np.int32, len(values)) // np.int32(self.dtype().itemsize)
+        begin = np.cumsum(size, dtype=np.int32) - size
+        code = pieces.indices.to_numpy()
+        long = size[code]
+        ends = np.cumsum(long, dtype=np.int32)  # a text of 2 GB, the most that a column holds, has fewer ids
+        place = np.repeat(begin[code] - (ends - long), long)
+        place += np.arange(len(place), dtype=np.int32)
+        ids = np.frombuffer(b"".join(values), self.dtype)[place]
+        edge = np.append(np.r_[0, ends][np.searchsorted(at, starts)], len(ids))
+        raw, width = ids.tobytes(), self.dtype().itemsize
+        return [raw[x * width : y * width] for x, y in zip(edge.tolist(), edge[1:].tolist())]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of every text as little-endian integers of ``dtype``; long texts are cut where pieces part."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        held: list[bytes] = []
+        owner: list[int] = []
+        size = 0
+
+        def done() -> None:
+            for k, ids in zip(owner, self._joined(held) if held else []):
+                out[k].append(ids)
+            held.clear()
+            owner.clear()
+
+        for k, text in enumerate(texts):
+            if not self.by_piece or any(s in text for s in self.special):
+                out[k] += self._whole([text])
+                continue
+            at = 0
+            while at < len(text):
+                found = _CUT.search(text, at + SEGMENT) if at + SEGMENT < len(text) else None
+                to = found.end() if found else len(text)
+                held.append(text[at:to])
+                owner.append(k)
+                size += to - at
+                at = to
+                if size >= SEGMENT:
+                    done()
+                    size = 0
+        done()
+        return [p[0] if len(p) == 1 else b"".join(p) for p in out]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -186,48 +259,84 @@ def load(blob: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [int(k) if f else None for k, f in zip(keys, known)], sizes, ids
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", file_tokens: int = 4_000_000, end: int = END) -> DataFrame:
-    """Encode every whole text, append ``end`` and write the ids in ascending doc_id order; the manifest of the files.
+def larger_batches(batches, size: int):
+    """Arrow batches put together until they hold about ``size`` bytes: the more text, the fewer words come again."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.nbytes
+        if n >= size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+    if held and sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-    One range shuffle puts the documents in order; then each task encodes its range and writes a file for every
-    ``file_tokens`` ids, so memory is bounded by that and the longest text.  A file ranks its own ids by frequency and
-    carries the table, so files are read alone.  Manifest: part, file, path, n_docs, n_tokens.
+
+def encoded(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, tie, row, n, ids) of every row: a hash of the text, a number of the row, and its whole text's ids.
+
+    ``ids`` holds ``n`` bytes compressed by zstandard, so that less is stored and shuffled.
     """
     bounded_batches(docs.sparkSession)
 
+    def per_partition(batches):
+        coder, row, codec = encoder(tokenizer), TaskContext.get().partitionId() << 36, pa.Codec("zstd", 1)
+        for rows in larger_batches(batches, SEGMENT):
+            ids = coder.encode([t or b"" for t in rows.column(2).to_pylist()])
+            number = pa.array(np.arange(row, row + rows.num_rows))
+            row += rows.num_rows
+            size = pa.array([len(x) for x in ids], pa.int64())
+            packed = pa.array([codec.compress(x, asbytes=True) for x in ids], pa.binary())
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), number, size, packed], ["doc_id", "tie", "row", "n", "ids"])
+
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).cast("binary").alias("text"))
+    return texts.mapInArrow(per_partition, "doc_id long, tie long, row long, n long, ids binary")
+
+
+def write_tokens(rows: DataFrame, folder: str, dtype: str, file_tokens: int = 4_000_000, end: int = END) -> DataFrame:
+    """Write encoded rows with ``end`` after each, in ascending doc_id order; the manifest of the files.
+
+    ``rows`` is a stored table of ``encoded``, so texts are read and encoded once and the range shuffle moves ids only.
+    Rows of one id are in the order of the texts' hash and then of their numbers, so that no key is too large for a
+    range.  Each task writes a file for every ``file_tokens`` ids: memory is bounded by that and the longest text.  A
+    file ranks its own ids by frequency and carries the table, so files are read alone.  Manifest: part, file, path,
+    n_docs, n_tokens.
+    """
+
     def per_partition(batches):
         part, file, held, keys, n = TaskContext.get().partitionId(), 0, [], [], 0
-        coder = encoder(tokenizer)
+        tail, codec = np.array([end], dtype), pa.Codec("zstd")
 
         def flush():
             path = f"{folder}/part-{part:06d}-{file:05d}.tok"
-            write_file(path, [dump(keys, [np.frombuffer(x, coder.dtype) for x in held])])
+            write_file(path, [dump(keys, held)])
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "file": pa.array([file], pa.int32()), "path": [path],
                                                "n_docs": pa.array([len(keys)], pa.int64()), "n_tokens": pa.array([n], pa.int64())})
 
-        tail = np.array([end], coder.dtype).tobytes()
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                coded = coder.encode(text or "") + tail
-                held.append(coded)
+            for key, size, ids in zip(*(c.to_pylist() for c in batch.columns)):
+                held.append(np.append(np.frombuffer(codec.decompress(ids, size, asbytes=True), dtype), tail))
                 keys.append(key)
-                n += len(coded) // coder.dtype().itemsize
+                n += len(held[-1])
                 if n >= file_tokens:
                     yield flush()
                     file, held, keys, n = file + 1, [], [], 0
         if keys:
             yield flush()
 
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    tie = F.xxhash64("text")  # rows of one id are in the order of a hash of their texts
-    ordered = texts.repartitionByRange(F.asc_nulls_first("doc_id"), tie).sortWithinPartitions(F.asc_nulls_first("doc_id"), tie)
+    order = [F.asc_nulls_first("doc_id"), "tie", "row"]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "n", "ids")
     return ordered.mapInArrow(per_partition, "part int, file int, path string, n_docs bigint, n_tokens bigint")
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files of a manifest."""
-    w = Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)
-    based = manifest.select("part", "path", F.coalesce(F.sum("n_tokens").over(w), F.lit(0)).alias("base"), "file")  # a row a file
+    parts = manifest.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # a row a task of the writer
+    before = parts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    based = manifest.withColumn("inside", F.coalesce(inside, F.lit(0))).join(before, "part").select(
+        "part", "path", (F.col("before") + F.col("inside")).alias("base"), "file"
+    )
 
     def per_partition(batches):
         for batch in batches:
@@ -236,7 +345,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                 with system.open_input_file(inner) as f:
                     keys, sizes, ids = load(f.read())
                 ends = np.cumsum(sizes)
-                crc = [zlib.crc32(ids[e - s : e].astype("<u4").tobytes()) for s, e in zip(sizes, ends)]
+                crc = [zlib.crc32(ids[a:z]) for a, z in zip((ends - sizes).tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(keys, pa.int64()), "start": pa.array(base + ends - sizes, pa.int64()),
                                                   "n_tokens": pa.array(sizes, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
 
@@ -244,11 +353,13 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
     return based.repartition(files, "part", "file").mapInArrow(per_partition, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
-def token_files(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", **options) -> DataFrame:
+def token_files(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Write the token files of ``docs`` and read them back: doc_id, start, n_tokens, ids_crc32 of every row.
 
-    Null and empty texts are the end id alone; null ids come first; rows of one id each have their own entry; an empty
-    table writes no file and gives no rows; other columns are not read.
+    Null and empty texts are the end id alone; texts of any length are encoded whole; null ids come first; rows of one
+    id (also repeated rows) each have their own entry; an empty table writes no file and gives no rows; other columns
+    are not read, whatever their names.
     """
     scratch = Scratch(docs.sparkSession, "tokens")
-    return read_tokens(scratch.table(write_tokens(docs, scratch.path("files"), tokenizer, **options), "manifest"))
+    rows = scratch.table(encoded(docs, tokenizer, id_col, text_col), "ids")
+    return read_tokens(scratch.table(write_tokens(rows, scratch.path("files"), encoder(tokenizer).dtype.__name__, **options), "manifest"))
