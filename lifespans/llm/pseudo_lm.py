@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,7 @@ from .storage import SEGMENT_ROWS, Scratch, bounded_batches
 from .textual import SEGMENT, spaced_words
 
 WORDS, RARE, CLASSES, WIDTH, SIDE = 4096, 1024, 64, 16, 2
+SLOTS = (WORDS + RARE) // CLASSES  # tokens of a class
 OFFSETS = [d for d in range(-SIDE, SIDE + 1) if d]
 BLOCKS = 64
 
@@ -57,11 +59,15 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """Ids of words: 0 is a border, then the most frequent words, then buckets shared by the others."""
+    """Ids of words: 0 is a border, then the most frequent words, then buckets shared by the others.
+
+    The ids in the order of their counts fill the classes one after another, ``SLOTS`` to a class.
+    """
 
     ids: dict[bytes, int]
     group: np.ndarray  # class of each id
-    within: np.ndarray  # log-probability of each id within its class
+    slot: np.ndarray  # place of each id within its class
+    counts: np.ndarray
 
     @classmethod
     def build(cls, top: list[tuple[bytes, int]], rare: dict[int, int]) -> Vocabulary:
@@ -70,15 +76,10 @@ class Vocabulary:
         counts[1 : len(top) + 1] = [n for _, n in top]
         for bucket, n in rare.items():
             counts[1 + WORDS + bucket] = n
-        counts[1:] += 0.5  # every id keeps some mass
-        order = 1 + np.argsort(-counts[1:], kind="stable")
-        share = np.cumsum(counts[order]) - counts[order] / 2
-        group = np.zeros(len(counts), np.int64)
-        group[order] = np.minimum(CLASSES - 1, share * CLASSES // counts[1:].sum()).astype(np.int64)
-        mass = np.bincount(group[1:], counts[1:], CLASSES)
-        within = np.zeros(len(counts))
-        within[1:] = np.log(counts[1:] / mass[group[1:]])
-        return cls(ids, group, within.astype(np.float32))
+        counts[1 + WORDS :] += 0.5  # a word that is not in the corpus keeps some mass
+        rank = np.zeros(len(counts), np.int64)
+        rank[1 + np.argsort(-counts[1:], kind="stable")] = np.arange(len(counts) - 1)
+        return cls(ids, (rank // SLOTS).astype(np.int16), rank % SLOTS, counts)
 
     def encode(self, data: bytes, rare: Counter[bytes] | None = None) -> np.ndarray:
         """Ids of the words of a text; ``rare`` gets the counts of those that share a bucket."""
@@ -104,28 +105,57 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary.build(top, {r["b"]: r["n"] for r in rare})
 
 
+def _log_softmax(logits: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Log-probabilities of the column ``own`` of each row; ``logits`` then holds the probabilities."""
+    row = np.arange(len(own))
+    logits -= logits.max(axis=1, keepdims=True)
+    mine = logits[row, own].copy()
+    np.exp(logits, out=logits)
+    total = logits.sum(axis=1, keepdims=True)
+    logits /= total
+    return mine - np.log(total[:, 0])
+
+
 @dataclass
 class Network:
-    """logits of a token's class = bias + output . sum over both sides' positions of embedding[position][id]."""
+    """A softmax over classes and one over the tokens of the class, both from the sum of both sides' embeddings.
+
+    logits of the class = class_bias + hidden . to_class; logits within class c = word_bias[c] + hidden . to_word[c].  The
+    biases start at the corpus counts and the outputs at zero, so an untrained network is the unigram model.  Steps are
+    AdaGrad's; the sums of squares (squares_*) belong to the state that tasks hand on.
+    """
 
     embedding: np.ndarray  # positions x ids x width
-    output: np.ndarray  # width x classes
-    bias: np.ndarray
+    to_class: np.ndarray  # width x classes
+    class_bias: np.ndarray
+    to_word: np.ndarray  # classes x width x slots
+    word_bias: np.ndarray  # classes x slots
+    squares_embedding: np.ndarray  # positions x ids
+    squares_class: np.ndarray
+    squares_word: np.ndarray
 
     @classmethod
-    def start(cls, seed: int = 7) -> Network:
-        rng = np.random.default_rng(seed)
-        shape = (len(OFFSETS), 1 + WORDS + RARE, WIDTH)
-        return cls(rng.normal(0, 0.1, shape).astype(np.float32), rng.normal(0, 0.1, (WIDTH, CLASSES)).astype(np.float32), np.zeros(CLASSES, np.float32))
+    def start(cls, words: Vocabulary, seed: int = 7) -> Network:
+        ids = len(words.counts)
+        mass = np.bincount(words.group[1:], words.counts[1:], CLASSES)
+        within = np.full((CLASSES, SLOTS), -30.0)  # ids without a word
+        here = 1 + np.flatnonzero(words.counts[1:])
+        within[words.group[here], words.slot[here]] = np.log(words.counts[here] / mass[words.group[here]])
+        arrays = (
+            np.random.default_rng(seed).normal(0, 0.1, (len(OFFSETS), ids, WIDTH)), np.zeros((WIDTH, CLASSES)),
+            np.log(np.maximum(mass, 1e-12) / mass.sum()), np.zeros((CLASSES, WIDTH, SLOTS)), within,
+            np.full((len(OFFSETS), ids), 1e-6), np.full((WIDTH, CLASSES), 1e-6), np.full((CLASSES, WIDTH, SLOTS), 1e-6),
+        )
+        return cls(*(a.astype(np.float32) for a in arrays))
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([self.embedding.ravel(), self.output.ravel(), self.bias])
+        return np.concatenate([getattr(self, f.name).ravel() for f in fields(self)])
 
-    @classmethod
-    def of(cls, flat: np.ndarray) -> Network:
-        shape = (len(OFFSETS), 1 + WORDS + RARE, WIDTH)
-        n = int(np.prod(shape))
-        return cls(flat[:n].reshape(shape).copy(), flat[n : n + WIDTH * CLASSES].reshape(WIDTH, CLASSES).copy(), flat[n + WIDTH * CLASSES :].copy())
+    def filled(self, flat: np.ndarray) -> Network:
+        """A network of this one's shapes with the numbers of ``flat``."""
+        parts = [getattr(self, f.name) for f in fields(self)]
+        ends = np.cumsum([p.size for p in parts])
+        return Network(*(flat[z - p.size : z].reshape(p.shape).astype(np.float32) for p, z in zip(parts, ends)))
 
     def hidden(self, stream: np.ndarray, at: np.ndarray) -> np.ndarray:
         h = self.embedding[0][stream[at + OFFSETS[0]]]
@@ -133,30 +163,45 @@ class Network:
             h += self.embedding[k][stream[at + d]]
         return h
 
-    def log_probabilities(self, stream: np.ndarray, at: np.ndarray, words: Vocabulary) -> np.ndarray:
-        """log P(token | both sides) at positions ``at``: its class from the network, the token within the class."""
-        logits = self.hidden(stream, at) @ self.output
-        logits += self.bias
-        logits -= logits.max(axis=1, keepdims=True)
-        token = stream[at]
-        own = logits[np.arange(len(at)), words.group[token]]
-        return own - np.log(np.exp(logits).sum(axis=1)) + words.within[token]
-
-    def train(self, stream: np.ndarray, at: np.ndarray, words: Vocabulary, rate: float) -> None:
-        """One gradient step on the masked positions ``at``."""
+    def log_probabilities(self, stream: np.ndarray, at: np.ndarray, words: Vocabulary, rate: float = 0.0) -> np.ndarray:
+        """log P(token | both sides) at the masked positions ``at``; a ``rate`` above 0 also takes a gradient step."""
+        group = words.group[stream[at]]
+        order = np.argsort(group, kind="stable")  # a class's positions together
+        at, group = at[order], group[order]
+        slot = words.slot[stream[at]]
         h = self.hidden(stream, at)
-        logits = h @ self.output + self.bias
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(at)), words.group[stream[at]]] -= 1
-        back = p @ self.output.T
-        scale = np.float32(rate / len(at))
-        self.output -= scale * (h.T @ p)
-        self.bias -= scale * p.sum(axis=0)
-        step = np.float32(rate / len(at) ** 0.5)
-        for k, d in enumerate(OFFSETS):
-            np.subtract.at(self.embedding[k], stream[at + d], step * back)
+        p = h @ self.to_class
+        p += self.class_bias
+        logs = _log_softmax(p, group)
+        if rate:
+            p[np.arange(len(at)), group] -= 1
+            back, slope = p @ self.to_class.T, h.T @ p
+            self.squares_class += slope * slope
+            self.to_class -= rate * slope / np.sqrt(self.squares_class)
+        edges = np.flatnonzero(np.diff(group)) + 1
+        for a, z in zip([0, *edges.tolist()], [*edges.tolist(), len(at)] if len(at) else []):
+            c, mine = group[a], h[a:z]
+            p = mine @ self.to_word[c]
+            p += self.word_bias[c]
+            logs[a:z] += _log_softmax(p, slot[a:z])
+            if rate:
+                p[np.arange(z - a), slot[a:z]] -= 1
+                back[a:z] += p @ self.to_word[c].T
+                slope = mine.T @ p
+                self.squares_word[c] += slope * slope
+                self.to_word[c] -= rate * slope / np.sqrt(self.squares_word[c])
+        if rate:
+            square = np.einsum("ij,ij->i", back, back) / WIDTH
+            for k, d in enumerate(OFFSETS):
+                near = stream[at + d]
+                by = np.argsort(near, kind="stable")
+                first = np.r_[0, np.flatnonzero(np.diff(near[by])) + 1]
+                ids = near[by[first]]
+                self.squares_embedding[k, ids] += np.add.reduceat(square[by], first)
+                self.embedding[k, ids] -= np.add.reduceat(back[by], first, axis=0) * (rate / np.sqrt(self.squares_embedding[k, ids]))[:, None]
+        out = np.empty(len(at), np.float32)
+        out[order] = logs
+        return out
 
 
 def joined_stream(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -179,24 +224,44 @@ def masks(starts: np.ndarray, texts: list[np.ndarray], every: int, phase: int =
         yield np.concatenate(at) if at else np.empty(0, np.int64)
 
 
-def fit(docs: DataFrame, scratch: Scratch, text_col: str = "text", every: int = 8, rate: float = 0.5, batch_size: int = 2048) -> tuple[Vocabulary, Network]:
-    """Train on all documents: tasks train from one start on their own texts, and their weights are averaged.
+def fit(
+    docs: DataFrame, scratch: Scratch, text_col: str = "text", every: int = 8, rate: float = 0.15, batch_size: int = 4096, rounds: int = 4, task_tokens: int = 2_000_000
+) -> tuple[Vocabulary, Network]:
+    """Train on all documents in ``rounds`` synchronous rounds, each over the texts of one residue of a text hash.
 
-    Every token is masked once and predicted from both sides, one in ``every`` of a text at a time.  A
-    task returns its weights in blocks, times the number of tokens it trained on; the blocks are summed in Spark on two
-    levels, so the driver gets one model and no task gathers all, whatever the number of tasks.
+    In a round every task goes on from the same network over its own texts; then the networks are averaged by the number
+    of tokens and sent out again.  Every token is masked once and predicted from both sides, one in ``every`` of a text
+    at a time.  Input partitions are put together until a task has about ``task_tokens`` in all, so that what a task
+    learns does not shrink as partitions multiply.  A task returns its numbers in blocks, times the number of tokens it
+    trained on; the blocks are summed in Spark on two levels, so the driver gets one network a round and no task gathers
+    all, whatever the number of tasks.
     """
-    words = vocabulary(scratch.table(word_counts(docs, text_col), "counts"))
-    sent = docs.sparkSession.sparkContext.broadcast(words)
+    counts = scratch.table(word_counts(docs, text_col), "counts")
+    words = vocabulary(counts)
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    tasks = max(1, min(16_384, math.ceil(total / task_tokens)))
+    net = Network.start(words)
+    text = F.col(text_col)
+    for turn in range(rounds if total else 0):
+        mine = docs.where(F.pmod(F.xxhash64(text), F.lit(rounds)) == turn) if rounds > 1 else docs
+        net = _round(mine.select(text.cast("binary").alias("text")).coalesce(tasks), words, net, every, rate, batch_size)
+    return words, net
+
+
+def _round(texts: DataFrame, words: Vocabulary, net: Network, every: int, rate: float, batch_size: int) -> Network:
+    """The mean of the networks that tasks train from ``net``, each on its partition of ``texts``."""
+    bounded_batches(texts.sparkSession)
+    sent = texts.sparkSession.sparkContext.broadcast((words, net))
 
     def trained(batches):
-        known, net, seen, phase = sent.value, Network.start(), 0, 0
+        known, start = sent.value
+        net, seen, phase = start.filled(start.flat()), 0, 0
         for batch in batches:
             texts = [known.encode(x or b"") for x in batch.column(0).to_pylist()]
             stream, starts = joined_stream(texts)
             for at in masks(starts, texts, every, phase):
                 for k in range(0, len(at), batch_size):
-                    net.train(stream, at[k : k + batch_size], known, rate)
+                    net.log_probabilities(stream, at[k : k + batch_size], known, rate)
                 seen += len(at)
             phase += 3 * len(texts)
         if seen:
@@ -227,14 +292,13 @@ def fit(docs: DataFrame, scratch: Scratch, text_col: str = "text", every: int =
     def gathered(rows: DataFrame) -> DataFrame:
         return rows.repartition("block", "part").sortWithinPartitions("block", "part", "task").mapInArrow(summed, "block int, part int, seen bigint, weights binary")
 
-    texts = docs.select(F.col(text_col).cast("binary").alias("text"))
     rows = texts.mapInArrow(trained, "block int, task int, seen bigint, weights binary")
     # two levels: no task of the first meets more than a few hundred others, whatever their number
     parts = gathered(rows.withColumn("part", F.floor(F.col("task") / 256).cast("int")))
     mean = gathered(parts.select("block", F.lit(0).alias("part"), "seen", "weights", F.col("part").alias("task")))
     total = {r["block"]: np.frombuffer(bytes(r["weights"]), np.float64) / r["seen"] for r in mean.collect()}
-    flat = np.concatenate([total[k] for k in sorted(total)]).astype(np.float32) if total else Network.start().flat()
-    return words, Network.of(flat)
+    sent.destroy()
+    return net.filled(np.concatenate([total[k] for k in sorted(total)])) if total else net
 
 
 def rare_shares(counts: DataFrame, words: Vocabulary) -> DataFrame:
