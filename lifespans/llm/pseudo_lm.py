@@ -18,6 +18,7 @@ from .textual import SEGMENT, spaced_words
 
 WORDS, RARE, CLASSES, WIDTH, SIDE = 4096, 1024, 64, 16, 2
 SLOTS = (WORDS + RARE) // CLASSES  # tokens of a class
+MORE = 1 << 17  # words after the first WORDS whose shares of their buckets are sent to the tasks
 OFFSETS = [d for d in range(-SIDE, SIDE + 1) if d]
 BLOCKS = 64
 
@@ -61,89 +62,111 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 class Vocabulary:
     """Ids of words: 0 is a border, then the most frequent words, then buckets shared by the others.
 
-    The ids in the order of their counts fill the classes one after another, ``SLOTS`` to a class.
+    The ids in the order of their counts fill the classes one after another, ``SLOTS`` to a class.  Of the words that
+    share buckets the most frequent, ``MORE`` at most, are known here with their shares; those of the rest are joined.
     """
 
-    ids: dict[bytes, int]
+    known: dict[bytes, int]  # number of a known word, from 1
+    ids: np.ndarray  # id of each known word
+    share: np.ndarray  # log of its share of its id's count
     group: np.ndarray  # class of each id
     slot: np.ndarray  # place of each id within its class
     counts: np.ndarray
+    last: tuple[bytes, int] | None  # the last known word and its count
 
     @classmethod
     def build(cls, top: list[tuple[bytes, int]], rare: dict[int, int]) -> Vocabulary:
-        ids = {w: k + 1 for k, (w, _) in enumerate(top)}
+        """From the most frequent words in order, WORDS + MORE at most, and the counts of all others by bucket."""
         counts = np.zeros(1 + WORDS + RARE)
-        counts[1 : len(top) + 1] = [n for _, n in top]
-        for bucket, n in rare.items():
-            counts[1 + WORDS + bucket] = n
+        ids = np.array([0, *range(1, min(len(top), WORDS) + 1), *(1 + WORDS + zlib.crc32(w) % RARE for w, _ in top[WORDS:])], np.int16)
+        n = np.array([1, *(n for _, n in top)], np.float64)
+        np.add.at(counts, ids[1:], n[1:])
+        for bucket, more in rare.items():
+            counts[1 + WORDS + bucket] += more
+        share = np.log(n / np.maximum(counts[ids], 1))
         counts[1 + WORDS :] += 0.5  # a word that is not in the corpus keeps some mass
         rank = np.zeros(len(counts), np.int64)
         rank[1 + np.argsort(-counts[1:], kind="stable")] = np.arange(len(counts) - 1)
-        return cls(ids, (rank // SLOTS).astype(np.int16), rank % SLOTS, counts)
+        return cls({w: k for k, (w, _) in enumerate(top, 1)}, ids, share, (rank // SLOTS).astype(np.int16), rank % SLOTS, counts, top[-1] if top else None)
 
-    def encode(self, data: bytes, rare: Counter[bytes] | None = None) -> np.ndarray:
-        """Ids of the words of a text; ``rare`` gets the counts of those that share a bucket."""
-        parts = []
+    def encode(self, data: bytes) -> np.ndarray:
+        """Ids of the words of a text."""
+        return self.encode_shares(data, {})[0]
+
+    def encode_shares(self, data: bytes, rare: dict[bytes, int]) -> tuple[np.ndarray, float]:
+        """Ids of the words of a text and the sum of the known words' log-shares; ``rare`` counts the words not known."""
+        parts, total = [], 0.0
         for words in segments(data):
-            found = list(map(self.ids.get, words))
+            found = list(map(self.known.get, words))
             if None in found:
-                if rare is not None:
-                    rare.update(w for k, w in zip(found, words) if k is None)
-                found = [1 + WORDS + zlib.crc32(w) % RARE if k is None else k for k, w in zip(found, words)]
-            parts.append(np.array(found, np.int32))
-        return np.concatenate(parts) if parts else np.empty(0, np.int32)
+                unknown = [w for k, w in zip(found, words) if k is None]
+                buckets = iter([1 + WORDS + zlib.crc32(w) % RARE for w in unknown])
+                for w in unknown:
+                    rare[w] = rare.get(w, 0) + 1
+                number = np.array([0 if k is None else k for k in found], np.int32)
+                ids = self.ids[number]
+                ids[number == 0] = list(buckets)
+            else:
+                number = np.array(found, np.int32)
+                ids = self.ids[number]
+            total += float(self.share[number].sum())  # number 0 has share 0
+            parts.append(ids)
+        return (np.concatenate(parts) if parts else np.empty(0, np.int16)), total
+
+
+def _beyond(words: Vocabulary):
+    """The condition for rows of a count table whose word is not known to ``words``."""
+    word, least = words.last
+    return (F.col("n") < least) | ((F.col("n") == least) & (F.col("word") > F.lit(word)))
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """The vocabulary from the counts of all words; the driver gets the top words and one row a bucket."""
-    top = [(bytes(r["word"]), r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
+    """The vocabulary from the counts of all words; the driver gets WORDS + MORE rows at most and one row a bucket."""
+    top = [(bytes(r["word"]), r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(WORDS + MORE).collect()]
+    words = Vocabulary.build(top, {})
     if not top:
-        return Vocabulary.build([], {})
-    word, least = top[-1]
-    beyond = counts.where((F.col("n") < least) | ((F.col("n") == least) & (F.col("word") > F.lit(word))))
-    rare = beyond.groupBy((F.crc32("word") % RARE).cast("int").alias("b")).agg(F.sum("n").alias("n")).collect()
-    return Vocabulary.build(top, {r["b"]: r["n"] for r in rare})
-
-
-def _log_softmax(logits: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Log-probabilities of the column ``own`` of each row; ``logits`` then holds the probabilities."""
-    row = np.arange(len(own))
-    logits -= logits.max(axis=1, keepdims=True)
-    mine = logits[row, own].copy()
+        return words
+    rare = counts.where(_beyond(words)).groupBy((F.crc32("word") % RARE).cast("int").alias("b")).agg(F.sum("n").alias("n")).collect()
+    return Vocabulary.build(top, {r["b"]: r["n"] for r in rare}) if rare else words
+
+
+def _exponentials(logits: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log-probabilities of the column ``own`` of each row, row sums); ``logits`` then holds its exponentials."""
+    if len(logits) and logits.max() > 60:  # beyond float32's range only after a shift
+        logits -= logits.max(axis=1, keepdims=True)
+    mine = logits[np.arange(len(own)), own]
     np.exp(logits, out=logits)
-    total = logits.sum(axis=1, keepdims=True)
-    logits /= total
-    return mine - np.log(total[:, 0])
+    total = np.maximum(logits @ np.ones(logits.shape[1], np.float32), np.float32(1e-30))
+    return mine - np.log(total), total
 
 
 @dataclass
 class Network:
     """A softmax over classes and one over the tokens of the class, both from the sum of both sides' embeddings.
 
-    logits of the class = class_bias + hidden . to_class; logits within class c = word_bias[c] + hidden . to_word[c].  The
-    biases start at the corpus counts and the outputs at zero, so an untrained network is the unigram model.  Steps are
-    AdaGrad's; the sums of squares (squares_*) belong to the state that tasks hand on.
+    The last row of an output holds the biases, which stay at the corpus counts; the other rows start at zero, so an
+    untrained network is the unigram model.  Steps are AdaGrad's; the sums of squares (squares_*) belong to the state
+    that tasks hand on.
     """
 
     embedding: np.ndarray  # positions x ids x width
-    to_class: np.ndarray  # width x classes
-    class_bias: np.ndarray
-    to_word: np.ndarray  # classes x width x slots
-    word_bias: np.ndarray  # classes x slots
+    to_class: np.ndarray  # (width and bias) x classes
+    to_word: np.ndarray  # classes x (width and bias) x slots
     squares_embedding: np.ndarray  # positions x ids
-    squares_class: np.ndarray
-    squares_word: np.ndarray
+    squares_class: np.ndarray  # width x classes
+    squares_word: np.ndarray  # classes x width x slots
 
     @classmethod
     def start(cls, words: Vocabulary, seed: int = 7) -> Network:
         ids = len(words.counts)
         mass = np.bincount(words.group[1:], words.counts[1:], CLASSES)
-        within = np.full((CLASSES, SLOTS), -30.0)  # ids without a word
         here = 1 + np.flatnonzero(words.counts[1:])
-        within[words.group[here], words.slot[here]] = np.log(words.counts[here] / mass[words.group[here]])
+        to_class, to_word = np.zeros((WIDTH + 1, CLASSES)), np.zeros((CLASSES, WIDTH + 1, SLOTS))
+        to_class[-1] = np.log(np.maximum(mass, 1e-12) / mass.sum())
+        to_word[:, -1] = -30  # ids without a word
+        to_word[words.group[here], -1, words.slot[here]] = np.log(words.counts[here] / mass[words.group[here]])
         arrays = (
-            np.random.default_rng(seed).normal(0, 0.1, (len(OFFSETS), ids, WIDTH)), np.zeros((WIDTH, CLASSES)),
-            np.log(np.maximum(mass, 1e-12) / mass.sum()), np.zeros((CLASSES, WIDTH, SLOTS)), within,
+            np.random.default_rng(seed).normal(0, 0.1, (len(OFFSETS), ids, WIDTH)), to_class, to_word,
             np.full((len(OFFSETS), ids), 1e-6), np.full((WIDTH, CLASSES), 1e-6), np.full((CLASSES, WIDTH, SLOTS), 1e-6),
         )
         return cls(*(a.astype(np.float32) for a in arrays))
@@ -158,10 +181,13 @@ class Network:
         return Network(*(flat[z - p.size : z].reshape(p.shape).astype(np.float32) for p, z in zip(parts, ends)))
 
     def hidden(self, stream: np.ndarray, at: np.ndarray) -> np.ndarray:
-        h = self.embedding[0][stream[at + OFFSETS[0]]]
+        """The summed embeddings of both sides, and a last column of ones for the biases."""
+        out = np.ones((len(at), WIDTH + 1), np.float32)
+        h = out[:, :-1]
+        h[:] = self.embedding[0][stream[at + OFFSETS[0]]]
         for k, d in enumerate(OFFSETS[1:], 1):
             h += self.embedding[k][stream[at + d]]
-        return h
+        return out
 
     def log_probabilities(self, stream: np.ndarray, at: np.ndarray, words: Vocabulary, rate: float = 0.0) -> np.ndarray:
         """log P(token | both sides) at the masked positions ``at``; a ``rate`` above 0 also takes a gradient step."""
@@ -171,32 +197,33 @@ class Network:
         slot = words.slot[stream[at]]
         h = self.hidden(stream, at)
         p = h @ self.to_class
-        p += self.class_bias
-        logs = _log_softmax(p, group)
+        logs, total = _exponentials(p, group)
         if rate:
-            p[np.arange(len(at)), group] -= 1
-            back, slope = p @ self.to_class.T, h.T @ p
+            p[np.arange(len(at)), group] -= total
+            back = (p @ self.to_class[:-1].T) / total[:, None]
+            slope = (h[:, :-1] / total[:, None]).T @ p
             self.squares_class += slope * slope
-            self.to_class -= rate * slope / np.sqrt(self.squares_class)
+            self.to_class[:-1] -= rate * slope / np.sqrt(self.squares_class)
         edges = np.flatnonzero(np.diff(group)) + 1
         for a, z in zip([0, *edges.tolist()], [*edges.tolist(), len(at)] if len(at) else []):
             c, mine = group[a], h[a:z]
             p = mine @ self.to_word[c]
-            p += self.word_bias[c]
-            logs[a:z] += _log_softmax(p, slot[a:z])
+            some, total = _exponentials(p, slot[a:z])
+            logs[a:z] += some
             if rate:
-                p[np.arange(z - a), slot[a:z]] -= 1
-                back[a:z] += p @ self.to_word[c].T
-                slope = mine.T @ p
+                p[np.arange(z - a), slot[a:z]] -= total
+                back[a:z] += (p @ self.to_word[c, :-1].T) / total[:, None]
+                slope = (mine[:, :-1] / total[:, None]).T @ p
                 self.squares_word[c] += slope * slope
-                self.to_word[c] -= rate * slope / np.sqrt(self.squares_word[c])
+                self.to_word[c, :-1] -= rate * slope / np.sqrt(self.squares_word[c])
         if rate:
-            square = np.einsum("ij,ij->i", back, back) / WIDTH
+            square = np.einsum("ij,ij->i", back, back) / np.float32(WIDTH)
             for k, d in enumerate(OFFSETS):
                 near = stream[at + d]
                 by = np.argsort(near, kind="stable")
-                first = np.r_[0, np.flatnonzero(np.diff(near[by])) + 1]
-                ids = near[by[first]]
+                near = near[by]
+                first = np.r_[0, np.flatnonzero(near[1:] != near[:-1]) + 1]
+                ids = near[first]
                 self.squares_embedding[k, ids] += np.add.reduceat(square[by], first)
                 self.embedding[k, ids] -= np.add.reduceat(back[by], first, axis=0) * (rate / np.sqrt(self.squares_embedding[k, ids]))[:, None]
         out = np.empty(len(at), np.float32)
@@ -208,7 +235,7 @@ def joined_stream(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Texts one after another with borders between them, and where each text starts."""
     sizes = np.array([len(t) for t in texts], np.int64)
     starts = SIDE + np.r_[0, np.cumsum(sizes + SIDE)[:-1]] if len(sizes) else np.empty(0, np.int64)
-    stream = np.zeros(int(sizes.sum()) + SIDE * (len(sizes) + 1), np.int32)
+    stream = np.zeros(int(sizes.sum()) + SIDE * (len(sizes) + 1), np.int16)  # sorted by radix
     for s, t in zip(starts, texts):
         stream[s : s + len(t)] = t
     return stream, starts
@@ -225,7 +252,7 @@ def masks(starts: np.ndarray, texts: list[np.ndarray], every: int, phase: int =
 
 
 def fit(
-    docs: DataFrame, scratch: Scratch, text_col: str = "text", every: int = 8, rate: float = 0.15, batch_size: int = 4096, rounds: int = 4, task_tokens: int = 2_000_000
+    docs: DataFrame, scratch: Scratch, text_col: str = "text", every: int = 8, rate: float = 0.2, batch_size: int = 8192, rounds: int = 4, task_tokens: int = 2_000_000
 ) -> tuple[Vocabulary, Network]:
     """Train on all documents in ``rounds`` synchronous rounds, each over the texts of one residue of a text hash.
 
@@ -302,18 +329,18 @@ def _round(texts: DataFrame, words: Vocabulary, net: Network, every: int, rate:
 
 
 def rare_shares(counts: DataFrame, words: Vocabulary) -> DataFrame:
-    """(word, log_share) of every word beyond the vocabulary: the log of its share of its bucket's count."""
-    known = counts.sparkSession.createDataFrame([(bytearray(w),) for w in words.ids], "word binary")
-    rare = counts.join(F.broadcast(known), "word", "left_anti").withColumn("b", F.crc32("word") % RARE)
-    totals = rare.groupBy("b").agg(F.sum("n").alias("all"))  # one row a bucket
-    return rare.join(F.broadcast(totals), "b").select("word", F.log(F.col("n") / F.col("all")).alias("log_share"))
+    """(word, log_share) of every word that ``words`` doesn't know: the log of its share of its bucket's count."""
+    totals = [(b, float(n) - 0.5) for b, n in enumerate(words.counts[1 + WORDS :])]  # one row a bucket
+    rare = counts.where(_beyond(words) if words.last else F.lit(False)).withColumn("b", (F.crc32("word") % RARE).cast("int"))
+    every = F.broadcast(counts.sparkSession.createDataFrame(totals, "b int, all double"))
+    return rare.join(every, "b").select("word", F.log(F.col("n") / F.col("all")).alias("log_share"))
 
 
 def score(docs: DataFrame, words: Vocabulary, net: Network, id_col: str = "doc_id", text_col: str = "text", slice_size: int = 8192, keep_rare: bool = False) -> DataFrame:
     """doc_id, n_tokens, log_likelihood (sum over the tokens) and mean_log_likelihood (null without tokens).
 
-    A word beyond the vocabulary scores as its bucket.  With ``keep_rare`` each row also has a number of its own (row)
-    and the counts of such words (rare, times), by which their shares of the buckets are added.
+    A word that the vocabulary doesn't know scores as its bucket.  With ``keep_rare`` each row also has a number of its
+    own (row) and the counts of such words (rare, times), by which their shares of the buckets are added.
     """
     bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast((words, net))
@@ -322,15 +349,16 @@ def score(docs: DataFrame, words: Vocabulary, net: Network, id_col: str = "doc_i
         known, model = sent.value
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
-            rare = [Counter() for _ in range(batch.num_rows)] if keep_rare else [None] * batch.num_rows
-            texts = [known.encode(x or b"", r) for x, r in zip(batch.column(1).to_pylist(), rare)]
+            rare: list[dict[bytes, int]] = [{} for _ in range(batch.num_rows)]
+            coded = [known.encode_shares(x or b"", r) for x, r in zip(batch.column(1).to_pylist(), rare)]
+            texts = [t for t, _ in coded]
             sizes = np.array([len(t) for t in texts], np.int64)
             stream, _ = joined_stream(texts)
             at = np.flatnonzero(stream)
             logs = [model.log_probabilities(stream, at[k : k + slice_size], known) for k in range(0, len(at), slice_size)]
             ends = np.cumsum(sizes)
             running = np.r_[0.0, np.cumsum(np.concatenate(logs, dtype=np.float64))] if logs else np.zeros(1)
-            sums = running[ends] - running[ends - sizes]
+            sums = running[ends] - running[ends - sizes] + np.array([x for _, x in coded])
             mean = pa.array(sums / np.maximum(sizes, 1), mask=sizes == 0)
             columns = {"doc_id": batch.column(0), "n_tokens": pa.array(sizes), "log_likelihood": pa.array(sums), "mean_log_likelihood": mean}
             if keep_rare:
@@ -349,8 +377,9 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """Fit on all of ``docs`` and score every whole text of it.
 
     Null and empty texts have no token, likelihood 0 and a null mean; repeated rows get equal scores; ids may be null;
-    an empty table gives no rows; other columns are not read.  A word beyond the vocabulary has its bucket's probability
-    times its share of the bucket's count: the counts of all words are joined to the texts' rare words.
+    texts of any length are scored whole; an empty table gives no rows; other columns are not read, whatever their names.
+    A word beyond the first ``WORDS`` has its bucket's probability times its share of the bucket's count.  The shares of
+    the next ``MORE`` words go to the tasks, those of all others are joined to the texts' rare words.
     """
     scratch = Scratch(docs.sparkSession, "lm")
     words, net = fit(docs, scratch, text_col)

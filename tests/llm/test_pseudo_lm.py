@@ -6,13 +6,16 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from lifespans.llm import pseudo_lm, storage
 
 from ..conftest import DATA
 
 
-def test_rare_words_score_by_their_own_counts(spark):
+@pytest.mark.parametrize("more", [0, 1500, 1 << 17])
+def test_rare_words_score_by_their_own_counts(spark, monkeypatch, more):
+    monkeypatch.setattr(pseudo_lm, "MORE", more)
     buckets = defaultdict(list)
     for k in range(3000):
         buckets[zlib.crc32(b"rare%d" % k) % pseudo_lm.RARE].append(f"rare{k}")
@@ -44,9 +47,9 @@ def plain_scores(net, words, ids):
     padded, out = [0, 0, *ids, 0, 0], []
     for i, token in enumerate(ids):
         h = sum(net.embedding[k][padded[i + 2 + d]].astype(np.float64) for k, d in enumerate(pseudo_lm.OFFSETS))
-        of_class = h @ net.to_class + net.class_bias
+        of_class = h @ net.to_class[:-1] + net.to_class[-1]
         c = words.group[token]
-        of_word = h @ net.to_word[c] + net.word_bias[c]
+        of_word = h @ net.to_word[c, :-1] + net.to_word[c, -1]
         out.append(of_class[c] - np.log(np.exp(of_class).sum()) + of_word[words.slot[token]] - np.log(np.exp(of_word).sum()))
     return np.array(out)
 
@@ -55,8 +58,8 @@ def random_model(seed):
     r = np.random.default_rng(seed)
     words = pseudo_lm.Vocabulary.build([(b"w%d" % k, 500 - k) for k in range(400)], {3: 7, 9: 2})
     net = pseudo_lm.Network.start(words)
-    net.to_class[:] = r.normal(0, 0.3, net.to_class.shape)
-    net.to_word[:] = r.normal(0, 0.3, net.to_word.shape)
+    net.to_class[:-1] = r.normal(0, 0.3, net.to_class[:-1].shape)
+    net.to_word[:, :-1] = r.normal(0, 0.3, net.to_word[:, :-1].shape)
     return words, net, [1 + int(k) for k in r.integers(0, 400, 30)]
 
 
