@@ -1,97 +1,132 @@
-"""Licence scans: sparse TF-IDF cosine of lines to templates, then inheritance from the nearest ancestor directory."""
+"""Licence scans: sparse TF-IDF cosine of headers and licence files to templates, then the nearest ancestor directory's."""
 
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .storage import Scratch
 
-# Licence names and the sentences by which files declare them.
+# Licence names, and the words by which headers declare them (header) and long licence files begin (text).
 TEMPLATES = [
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
-    ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("MIT", "header", "Released under the MIT License."),
+    ("MIT", "header", "Licensed under the MIT License."),
+    ("MIT", "header", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, "
+     "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+     "subject to the following conditions:"),
+    ("Apache-2.0", "header", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "header", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+     "http://www.apache.org/licenses/LICENSE-2.0"),
+    ("Apache-2.0", "text", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions. \"License\" shall mean the terms and "
+     "conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document."),
+    ("GPL-3.0", "header", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-3.0", "header", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of "
+     "the License, or (at your option) any later version."),
+    ("GPL-3.0", "text", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this license document, but "
+     "changing it is not allowed. Preamble The GNU General Public License is a free, copyleft license for software and other kinds of works."),
+    ("GPL-2.0", "header", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of "
+     "the License, or (at your option) any later version."),
+    ("LGPL-3.0", "header", "This library is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "text", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this license "
+     "document, but changing it is not allowed. This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License"),
+    ("AGPL-3.0", "text", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this license "
+     "document, but changing it is not allowed. Preamble The GNU Affero General Public License is a free, copyleft license for software and other kinds of works"),
+    ("MPL-2.0", "header", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "header", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("MPL-2.0", "text", "Mozilla Public License Version 2.0 1. Definitions 1.1. \"Contributor\" means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software."),
+    ("BSD-3-Clause", "header", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-3-Clause", "header", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the "
+     "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+     "in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+     "from this software without specific prior written permission."),
+    ("BSD-2-Clause", "header", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the "
+     "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+     "in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES"),
+    ("ISC", "header", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in "
+     "all copies."),
+    ("Unlicense", "header", "This is free and unencumbered software released into the public domain."),
+    ("CC-BY-4.0", "header", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-4.0", "header", "Licensed under CC BY 4.0."),
+    ("CC-BY-SA-4.0", "header", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-NC-4.0", "header", "Licensed under CC BY-NC 4.0."),
 ]
 
-_SPLIT = r"[^a-z0-9.-]+"
-_TRIM = r"(?:^[.-]+|[.-]+$)"
+WORD_BREAK = "[^a-z0-9]+"
+PART_BREAK = "\n|[.!?:;][ \t\r\n]"  # lines, and sentences within them
+RUN = 256  # parts that are looked at together
+LEAD = 20  # terms that may stand before a licence file's text: a title and copyright lines
 
 
 def terms(text: Column) -> Column:
-    """Lower-case terms of a text: runs of letters, digits, dots and hyphens, without those at the ends."""
-    words = F.transform(F.split(F.lower(text), _SPLIT), lambda w: F.regexp_replace(w, _TRIM, ""))
-    return F.filter(words, lambda w: w != "")
+    """Terms of a lower-cased text: runs of a-z and digits, so comment marks and punctuation drop out."""
+    return F.filter(F.split(text, WORD_BREAK), lambda w: w != "")
 
 
 def _python_terms(text: str) -> list[str]:
-    import re
-
-    return [w for w in (re.sub(_TRIM, "", x) for x in re.split(_SPLIT, text.lower())) if w]
+    return [w for w in re.split(WORD_BREAK, text.lower()) if w]
 
 
 def _in(vocabulary: list[str]) -> Column:
     return F.array(*map(F.lit, vocabulary))
 
 
-def anchor_terms(templates: list[tuple[str, str]], idf: dict[str, float], threshold: float) -> list[str]:
-    """Terms without which no text reaches the threshold.
+def anchor_terms(templates: list[tuple[str, str, str]], idf: dict[str, float], threshold: float) -> list[list[str]]:
+    """For each template terms without which no text reaches the threshold.
 
     A template's rarest terms are taken until the rest holds less than ``threshold`` of its norm; by Cauchy's
     inequality a text that shares only that rest stays below the threshold, so filtering by anchors loses nothing.
     """
-    anchors: set[str] = set()
-    for _, text in templates:
+    found = []
+    for _, _, text in templates:
         words = _python_terms(text)
         square = {w: (words.count(w) * idf[w]) ** 2 for w in set(words)}
-        rest, total = sum(square.values()), sum(square.values())
+        rest = total = sum(square.values())
+        anchors = []
         for w in sorted(square, key=lambda w: (-square[w], w)):
             if rest < threshold**2 * total * 0.999:
                 break
-            anchors.add(w)
+            anchors.append(w)
             rest -= square[w]
-    return sorted(anchors)
+        found.append(anchors)
+    return found
 
 
 def inverse_frequencies(texts: DataFrame, vocabulary: list[str]) -> tuple[dict[str, float], float]:
     """idf of the templates' terms from their document frequency over all texts, and of a term that no text has."""
-    present = texts.select(F.array_intersect(terms(F.col("text")), _in(vocabulary)).alias("w"))
-    counts = present.select(F.explode("w").alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-    df = {r["w"]: r["n"] for r in counts.collect()}  # at most one row for each template term
-    n = texts.count()
+    present = texts.select(F.array_intersect(F.split(F.lower("text"), WORD_BREAK), _in(vocabulary)).alias("w"))
+    counts = present.select(F.explode(F.array_union("w", F.array(F.lit("")))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    df = {r["w"]: r["n"] for r in counts.collect()}  # at most one row for each template term, and one that counts texts
+    n = df.get("", 0)
     return {w: math.log((1 + n) / (1 + df.get(w, 0))) + 1 for w in vocabulary}, math.log(1 + n) + 1
 
 
-def score_lines(lines: DataFrame, templates: list[tuple[str, str]], idf: dict[str, float], unseen: float, threshold: float) -> DataFrame:
-    """(line, licence, score) of the best template of every distinct line that reaches the threshold."""
-    spark = lines.sparkSession
-    rows = []
-    for k, (name, text) in enumerate(templates):
+def score_windows(windows: DataFrame, templates: list[tuple[str, str, str]], idf: dict[str, float], unseen: float, threshold: float) -> DataFrame:
+    """(window, licence, kind, length, score) of every template that a window (window id, words) reaches.
+
+    Of a window as many terms count as the template has.  Pairs come from an equality join on the templates' anchors.
+    """
+    spark = windows.sparkSession
+    rows, near = [], []
+    for k, ((name, kind, text), anchors) in enumerate(zip(templates, anchor_terms(templates, idf, threshold))):
         words = _python_terms(text)
         norm = math.sqrt(sum((words.count(w) * idf[w]) ** 2 for w in set(words)))
-        rows += [(k, name, w, words.count(w) * idf[w] * idf[w] / norm) for w in sorted(set(words))]
-    weights = F.broadcast(spark.createDataFrame(rows, "template int, licence string, w string, x double"))  # the templates' terms
+        rows += [(k, w, words.count(w) * idf[w] * idf[w] / norm) for w in sorted(set(words))]
+        near += [(w, k, name, kind, len(words)) for w in anchors]
+    weights = F.broadcast(spark.createDataFrame(rows, "template int, w string, x double"))  # the templates' terms
     known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "w string, idf double"))
-    counted = lines.select("line", F.explode(terms(F.col("line"))).alias("w")).groupBy("line", "w").agg(F.count("*").alias("tf"))
-    counted = counted.join(known, "w", "left").withColumn("v", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
-    norms = counted.groupBy("line").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
-    dots = counted.join(weights, "w").groupBy("line", "template", "licence").agg(F.sum(F.col("tf") * F.col("x")).alias("dot"))
-    scored = dots.join(norms, "line").withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= threshold)
-    best = scored.groupBy("line").agg(F.max(F.struct("score", "licence")).alias("m"))
-    return best.select("line", "m.licence", "m.score")
+    anchors = F.broadcast(spark.createDataFrame(near, "w string, template int, licence string, kind string, length int"))
+    words = windows.select("window", F.split("words", " ").alias("words"))
+    pairs = words.select("window", "words", F.explode(F.array_distinct("words")).alias("w")).join(anchors, "w").groupBy("window", "template", "licence", "kind", "length").agg(F.first("words").alias("words"))
+    each = pairs.select("window", "template", "licence", "kind", "length", F.explode(F.slice("words", F.lit(1), F.col("length"))).alias("w"))
+    counted = each.groupBy("window", "template", "licence", "kind", "length", "w").agg(F.count("*").alias("tf"))
+    valued = counted.join(known, "w", "left").join(weights, ["template", "w"], "left").withColumn("v", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
+    sums = valued.groupBy("window", "template", "licence", "kind", "length").agg(
+        F.sum(F.coalesce(F.col("tf") * F.col("x"), F.lit(0.0))).alias("dot"), F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm")
+    )
+    return sums.select("window", "licence", "kind", "length", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= threshold)
 
 
 def inherit(directories: DataFrame, licensed: DataFrame) -> DataFrame:
@@ -111,50 +146,57 @@ def scan(
     id_col: str = "doc_id",
     path_col: str = "path",
     text_col: str = "text",
-    templates: list[tuple[str, str]] | None = None,
+    templates: list[tuple[str, str, str]] | None = None,
     threshold: float = 0.8,
     file_share: float = 0.25,
 ) -> DataFrame:
-    """The licence of every file: its own header's, else that of the nearest directory above with a licence file.
-
-    Every line of a whole text is compared to the templates.  A file's own licence is that of its best line (ties: the
-    later name).  A file is a licence file of its directory if the lines that reach ``threshold`` hold at least
-    ``file_share`` of its terms; of several in a directory the best score counts.  Returns, for each (doc_id, path):
-    own_licence, own_score, licence, origin (own, inherited or null) and from_dir.  Null and empty texts have no lines, a
-    null path lies in the root directory ''; repeated rows of an id and path are one file; an empty table gives no rows.
+    """The licence of every file: its own header's or text's, else that of the nearest directory above with a licence file.
+
+    A whole text is cut into lines and sentences.  At each of them a window begins that runs on over the following ones,
+    as long as a template, and is compared to it by TF-IDF cosine; so wrapped headers and commented ones are found.  A
+    file's own licence is that of its best window (ties: the later name).  A file is a licence file of its directory if a
+    long licence begins within its first ``LEAD`` terms, or if a window that reaches ``threshold`` holds at least
+    ``file_share`` of its terms; of several in a directory the best score counts (ties: the later name).
+
+    Returns, for each (doc_id, path): own_licence, own_score, licence, origin (own, inherited or null) and from_dir.
+    Null and empty texts have no windows; texts of any length are read whole, in time that grows with their length; a
+    null path lies in the root directory ''; repeated rows of an id and path are one file; an empty table gives no rows;
+    other columns are not read, whatever their names.
     """
     scratch = Scratch(files.sparkSession, "licences")
     templates = templates or TEMPLATES
-    vocabulary = sorted({w for _, text in templates for w in _python_terms(text)})
+    vocabulary = sorted({w for _, _, text in templates for w in _python_terms(text)})
+    longest = max(len(_python_terms(text)) for _, _, text in templates)
     rows = files.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(path_col), F.lit("")).alias("path"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     idf, unseen = inverse_frequencies(rows.select("text"), vocabulary)
-    anchors = anchor_terms(templates, idf, threshold)
-    low = F.lower("text")
-    may = low.contains(anchors[0])
-    for w in anchors[1:]:
-        may = may | low.contains(w)
-    lines = F.filter(F.split("text", "\n"), lambda x: F.arrays_overlap(terms(x), _in(anchors)))
-    held = rows.where(may).select("doc_id", "path", F.size(terms(F.col("text"))).alias("n"), lines.alias("lines"))
-    held = held.select("doc_id", "path", "n", F.posexplode("lines").alias("at", "line"))
-    held = scratch.table(held, "lines")
-    scored = scratch.table(score_lines(held.select("line").distinct(), templates, idf, unseen, threshold), "scored")
-    hits = held.join(scored, "line")
-    own = hits.groupBy("doc_id", "path").agg(
-        F.max(F.struct("score", "licence")).alias("m"),
-        (F.sum(F.size(terms(F.col("line")))) / F.greatest(F.lit(1), F.max("n"))).alias("share"),
-    )
-    own = own.select("doc_id", "path", F.col("m.licence").alias("own_licence"), F.col("m.score").alias("own_score"), "share")
-    own = scratch.table(own, "own")
+    anchors = sorted({w for some in anchor_terms(templates, idf, threshold) for w in some})
+    low = rows.select("doc_id", "path", F.lower("text").alias("low")).where(F.arrays_overlap(F.split("low", WORD_BREAK), _in(anchors)))
+    parts = F.filter(F.transform(F.split("low", PART_BREAK), terms), lambda p: F.size(p) > 0)
+    cut = low.select("doc_id", "path", parts.alias("parts")).where(F.size("parts") > 0)
+    # runs of parts with what the last windows run on over, so that no row holds all windows of a long text
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size("parts") - 1) / RUN).cast("int")), lambda k: F.struct(
+        k.alias("k"), F.slice("parts", k * RUN + 1, F.lit(RUN + longest - 1)).alias("parts"), F.least(F.lit(RUN), F.size("parts") - k * RUN).alias("begins")))
+    n = F.aggregate("parts", F.lit(0), lambda total, p: total + F.size(p))
+    run = cut.select("doc_id", "path", n.alias("n"), F.explode(runs).alias("run")).select("doc_id", "path", "n", "run.*")
+    window = F.transform(F.sequence(F.lit(1), F.col("begins")), lambda at: F.struct(
+        F.slice(F.flatten(F.slice("parts", at, F.lit(longest))), 1, longest).alias("words"),
+        F.when((F.col("k") == 0) & (at <= LEAD + 1), F.size(F.flatten(F.slice("parts", F.lit(1), at - 1))) <= LEAD).otherwise(False).alias("first")))
+    begun = run.select("doc_id", "path", "n", F.explode(F.filter(window, lambda w: F.arrays_overlap(w["words"], _in(anchors)))).alias("w"))
+    held = scratch.table(begun.select("doc_id", "path", F.concat_ws(" ", "w.words").alias("words"), "w.first", "n"), "held")
+    windows = scratch.table(held.select("words").distinct().withColumn("window", F.monotonically_increasing_id()), "windows")
+    scored = scratch.table(score_windows(windows, templates, idf, unseen, threshold).join(windows, "window"), "scored")
+    hits = held.join(scored, "words")
+    file = (F.col("first") & (F.col("kind") == "text")) | (F.least(F.col("length"), F.col("n")) >= file_share * F.col("n"))
+    own = hits.groupBy("doc_id", "path").agg(F.max(F.struct("score", "licence")).alias("m"), F.max(F.when(file, F.struct("score", "licence"))).alias("f"))
+    own = scratch.table(own.select("doc_id", "path", F.col("m.licence").alias("own_licence"), F.col("m.score").alias("own_score"), "f"), "own")
 
     def folder(path: Column) -> Column:
         return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
 
-    licensed = own.where(F.col("share") >= file_share).groupBy(folder(F.col("path")).alias("dir")).agg(
-        F.max(F.struct("own_score", "own_licence")).alias("m")
-    ).select("dir", F.col("m.own_licence").alias("licence"))
+    licensed = own.where("f is not null").groupBy(folder(F.col("path")).alias("dir")).agg(F.max("f").alias("m")).select("dir", F.col("m.licence").alias("licence"))
     every = rows.select("doc_id", "path").distinct().withColumn("dir", folder(F.col("path")))
     above = inherit(every.select("dir").distinct(), licensed)
-    placed = every.join(own.drop("share"), every.doc_id.eqNullSafe(own.doc_id) & (every.path == own.path), "left").select(
+    placed = every.join(own.drop("f"), every.doc_id.eqNullSafe(own.doc_id) & (every.path == own.path), "left").select(
         every.doc_id, every.path, every.dir, "own_licence", "own_score"
     ).join(above, "dir", "left")
     origin = F.when(F.col("own_licence").isNotNull(), "own").when(F.col("licence").isNotNull(), "inherited")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from string import ascii_lowercase, ascii_uppercase
 
 from . import urlgraph
@@ -73,33 +74,36 @@ SELECT p.page_id, p.host, p.path, p.rule, coalesce(p.action, CASE WHEN coalesce(
   coalesce(s.trust, 0.0) AS trust, coalesce(s.distrust, 0.0) AS distrust FROM ruled p LEFT JOIN scores s ON s.host = p.host"""
 
 
-def licences(templates: list[tuple[str, str]], threshold: float = 0.8, file_share: float = 0.25) -> str:
-    """Every line against every template, without the filter by anchors."""
+def licences(templates: list[tuple[str, str, str]], threshold: float = 0.8, file_share: float = 0.25, lead: int = 20) -> str:
+    """Every window of every text against the templates whose anchors it holds."""
     quote = lambda x: "'" + x.replace("'", "''") + "'"
-    values = ", ".join(f"({k}, {quote(n)}, {quote(t)})" for k, (n, t) in enumerate(templates))
-
-    def terms(x: str) -> str:
-        return f"list_filter(list_transform(regexp_extract_all(lower({x}), '[a-z0-9.-]+'), lambda w: regexp_replace(w, '^[.-]+|[.-]+$', '', 'g')), lambda w: w <> '')"
-
+    values = ", ".join(f"({k}, {quote(n)}, {quote(kind)}, {quote(t)})" for k, (n, kind, t) in enumerate(templates))
+    longest = max(len([w for w in re.split(r"[^a-z0-9]+", t.lower()) if w]) for _, _, t in templates)
+    terms = lambda x: f"regexp_extract_all(lower({x}), '[a-z0-9]+')"
     return rf"""WITH files AS (SELECT row_number() OVER () AS r, doc_id, source || '/' || lang || '/' || CAST(doc_id // 100 AS VARCHAR) AS dir,
   source || '/' || lang || '/' || CAST(doc_id // 100 AS VARCHAR) || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, coalesce(text, '') AS text FROM documents),
-tpl(template, licence, text) AS (VALUES {values}),
-tw AS (SELECT template, licence, w, count(*) AS tf FROM (SELECT template, licence, unnest({terms('text')}) AS w FROM tpl) GROUP BY ALL),
+tpl(template, licence, kind, text) AS (VALUES {values}),
+tw AS (SELECT template, licence, kind, length, w, count(*) AS tf FROM (SELECT template, licence, kind, CAST(len({terms('text')}) AS INTEGER) AS length, unnest({terms('text')}) AS w FROM tpl) GROUP BY ALL),
 df AS (SELECT w, count(*) AS n FROM (SELECT DISTINCT r, w FROM (SELECT r, unnest({terms('text')}) AS w FROM files)) GROUP BY w),
 idf AS (SELECT w, ln((1 + (SELECT count(*) FROM files)) / (1.0::DOUBLE + coalesce(df.n, 0))) + 1 AS idf FROM (SELECT DISTINCT w FROM tw) LEFT JOIN df USING (w)),
-tv AS (SELECT template, licence, w, tf * idf AS v, idf FROM tw JOIN idf USING (w)),
+tv AS (SELECT *, tf * idf AS v FROM tw JOIN idf USING (w)),
 tn AS (SELECT template, sqrt(sum(v * v)) AS norm FROM tv GROUP BY template),
-lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM files),
-lw AS (SELECT line, w, count(*) AS tf FROM (SELECT line, unnest({terms('line')}) AS w FROM (SELECT DISTINCT line FROM lines)) GROUP BY line, w),
-ln_ AS (SELECT line, sqrt(sum(v * v)) AS norm FROM (SELECT line, tf * coalesce(idf.idf, ln(1 + (SELECT count(*) FROM files)) + 1) AS v FROM lw LEFT JOIN idf USING (w)) GROUP BY line),
-dots AS (SELECT lw.line, tv.template, tv.licence, sum(lw.tf * tv.v * tv.idf / tn.norm) AS dot FROM lw JOIN tv ON tv.w = lw.w JOIN tn ON tn.template = tv.template GROUP BY 1, 2, 3),
-good AS (SELECT line, licence, round(dot / norm, 6) AS score FROM dots JOIN ln_ USING (line) WHERE round(dot / norm, 6) >= {threshold}),
-best AS (SELECT line, licence, score FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY score DESC, licence DESC) AS n FROM good) WHERE n = 1),
-hits AS (SELECT lines.r, best.licence, best.score, len({terms('lines.line')}) AS terms FROM lines JOIN best ON best.line = lines.line),
-own AS (SELECT r, licence AS own_licence, score AS own_score, total FROM (SELECT *, sum(terms) OVER (PARTITION BY r) AS total,
-  row_number() OVER (PARTITION BY r ORDER BY score DESC, licence DESC) AS n FROM hits) WHERE n = 1),
-licensed AS (SELECT dir, own_licence AS licence FROM (SELECT f.dir, own.own_licence, row_number() OVER (PARTITION BY f.dir ORDER BY own.own_score DESC, own.own_licence DESC) AS n
-  FROM own JOIN files f ON f.r = own.r WHERE own.total / greatest(1, len({terms('f.text')})) >= {file_share}) WHERE n = 1),
+ranked AS (SELECT *, sum(v * v) OVER (PARTITION BY template) AS total, coalesce(sum(v * v) OVER (PARTITION BY template ORDER BY v DESC, w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM tv),
+anchors AS (SELECT * FROM ranked WHERE total - before >= {threshold} * {threshold} * total * 0.999),
+cut AS (SELECT r, list_filter(list_transform(regexp_split_to_array(lower(text), '
+|[.!?:;][ 	
+]'), lambda p: regexp_extract_all(p, '[a-z0-9]+')), lambda p: len(p) > 0) AS parts FROM files),
+begun AS (SELECT r, parts, pos, list_slice(flatten(list_slice(parts, pos, pos + {longest} - 1)), 1, {longest}) AS words, len(flatten(parts)) AS n FROM (SELECT r, parts, unnest(generate_series(1, len(parts))) AS pos FROM cut)),
+held AS (SELECT r, pos, words, n, pos <= {lead + 1} AND len(flatten(list_slice(parts, 1, pos - 1))) <= {lead} AS first FROM begun WHERE list_has_any(words, (SELECT list(DISTINCT w) FROM anchors))),
+distinct_ AS (SELECT words, row_number() OVER () AS window_ FROM (SELECT DISTINCT words FROM held)),
+pairs AS (SELECT DISTINCT d.window_, a.template, a.licence, a.kind, a.length, d.words FROM (SELECT window_, words, unnest(list_distinct(words)) AS w FROM distinct_) d JOIN anchors a ON a.w = d.w),
+counted AS (SELECT window_, template, licence, kind, length, w, count(*) AS tf FROM (SELECT window_, template, licence, kind, length, unnest(list_slice(words, 1, length)) AS w FROM pairs) GROUP BY ALL),
+sums AS (SELECT c.window_, c.template, c.licence, c.kind, c.length, sum(coalesce(c.tf * tv.v * tv.idf / tn.norm, 0)) AS dot, sqrt(sum(power(c.tf * coalesce(idf.idf, ln(1 + (SELECT count(*) FROM files)) + 1), 2))) AS norm
+  FROM counted c LEFT JOIN idf ON idf.w = c.w LEFT JOIN tv ON tv.template = c.template AND tv.w = c.w JOIN tn ON tn.template = c.template GROUP BY 1, 2, 3, 4, 5),
+good AS (SELECT d.words, s.licence, s.kind, s.length, round(s.dot / s.norm, 6) AS score FROM sums s JOIN distinct_ d USING (window_) WHERE round(s.dot / s.norm, 6) >= {threshold}),
+hits AS (SELECT h.r, g.licence, g.score, (h.first AND g.kind = 'text') OR least(g.length, h.n) >= {file_share} * h.n AS whole FROM held h JOIN good g ON g.words = h.words),
+own AS (SELECT r, licence AS own_licence, score AS own_score FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, licence DESC) AS n FROM hits) WHERE n = 1),
+licensed AS (SELECT dir, licence FROM (SELECT f.dir, h.licence, row_number() OVER (PARTITION BY f.dir ORDER BY h.score DESC, h.licence DESC) AS n FROM hits h JOIN files f ON f.r = h.r WHERE h.whole) WHERE n = 1),
 above AS (SELECT d.dir, l.licence, l.dir AS from_dir, row_number() OVER (PARTITION BY d.dir ORDER BY length(l.dir) DESC) AS n FROM (SELECT DISTINCT dir FROM files) d
   JOIN licensed l ON d.dir = l.dir OR starts_with(d.dir, l.dir || '/'))
 SELECT f.doc_id, f.path, own.own_licence, own.own_score, coalesce(own.own_licence, a.licence) AS licence, CASE WHEN own.own_licence IS NOT NULL THEN 'own'
