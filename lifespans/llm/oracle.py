@@ -43,8 +43,8 @@ SELECT doc_id, source, tokens AS n_tokens, CAST(block AS INTEGER) AS block, roun
   round(weight, 9) AS weight, round(epochs, 9) AS epochs FROM run WHERE block < blocks OR running <= rest"""
 
 
-def urls(rules: list[urlgraph.Rule], rounds: int = 12, damping: float = 0.85) -> str:
-    """Rules by length, then the power steps written out one after another."""
+def urls(rules: list[urlgraph.Rule], steps: int = 200, damping: float = 0.85) -> str:
+    """Rules by length, then as many power steps as any graph needs to settle."""
     quote = lambda x: "'" + x.replace("'", "''") + "'"
     fits = [
         (r, f"(host = {quote(r.host)} OR ends_with(host, {quote('.' + r.host)})) AND starts_with(path, {quote(r.path)})")
@@ -52,26 +52,23 @@ def urls(rules: list[urlgraph.Rule], rounds: int = 12, damping: float = 0.85) ->
     ]
     rule = "CASE " + " ".join(f"WHEN {f} THEN {quote(r.text)}" for r, f in fits) + " END"
     action = "CASE " + " ".join(f"WHEN {f} THEN {quote(r.action)}" for r, f in fits) + " END"
-    steps = ",\n".join(
-        f"r{k} AS (SELECT kind, host, sum(rank) AS rank FROM (SELECT kind, host, rank * {1 - damping!r} AS rank FROM r0 UNION ALL "
-        f"SELECT s.kind, s.dst, r.rank * s.share * {damping!r} FROM r{k - 1} r JOIN steps s ON s.kind = r.kind AND s.src = r.host) GROUP BY kind, host)"
-        for k in range(1, rounds + 1)
-    )
-    return rf"""WITH cut AS (SELECT page_id, html, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    return rf"""WITH RECURSIVE cut AS (SELECT page_id, html, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 parts AS (SELECT page_id, html, translate(regexp_extract(rest, '^[^/?#]*'), {_LOW}) AS host, regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM cut),
 ruled AS (SELECT *, {rule} AS rule, {action} AS action FROM parts),
 links AS (SELECT page_id, host AS src, translate(unnest(regexp_extract_all(html, {quote(urlgraph.LINK)}, 1)), {_LOW}) AS dst FROM parts WHERE html IS NOT NULL),
-dotted AS (SELECT page_id, host AS src, translate(unnest(regexp_extract_all(html, {quote(urlgraph.DOTTED)})), {_LOW}) AS dst FROM parts WHERE html IS NOT NULL),
-named AS (SELECT * FROM links UNION SELECT * FROM dotted WHERE regexp_matches(dst, {quote(urlgraph.NAME)})),
+dotted AS (SELECT page_id, host AS src, translate(trim(unnest(regexp_split_to_array(html, {quote(urlgraph.BREAK)})), '.-'), {_LOW}) AS dst FROM parts WHERE html IS NOT NULL),
+named AS (SELECT * FROM links UNION SELECT * FROM dotted WHERE length(dst) <= {urlgraph.LONGEST} AND regexp_matches(dst, {quote(urlgraph.NAME)})),
 edges AS (SELECT src, dst, CAST(count(*) AS DOUBLE) AS weight FROM named WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
 both_ AS (SELECT 'trust' AS kind, src, dst, weight FROM edges UNION ALL SELECT 'distrust', dst, src, weight FROM edges),
 steps AS (SELECT kind, src, dst, weight / sum(weight) OVER (PARTITION BY kind, src) AS share FROM both_),
 seeds AS (SELECT CASE action WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, CAST(count(*) AS DOUBLE) AS mass FROM ruled WHERE action IS NOT NULL AND host <> '' GROUP BY 1, 2),
 r0 AS (SELECT kind, host, mass / sum(mass) OVER (PARTITION BY kind) AS rank FROM seeds),
-{steps},
-scores AS (SELECT host, round(sum(CASE WHEN kind = 'trust' THEN rank ELSE 0.0 END), 12) AS trust, round(sum(CASE WHEN kind = 'distrust' THEN rank ELSE 0.0 END), 12) AS distrust FROM r{rounds} GROUP BY host)
-SELECT p.page_id, p.host, p.path, p.rule, coalesce(p.action, CASE WHEN coalesce(s.distrust, 0.0) > coalesce(s.trust, 0.0) THEN 'block' ELSE 'allow' END) AS verdict,
-  coalesce(s.trust, 0.0) AS trust, coalesce(s.distrust, 0.0) AS distrust FROM ruled p LEFT JOIN scores s ON s.host = p.host"""
+ranks(step, kind, host, rank) AS (SELECT 0, kind, host, rank FROM r0 UNION ALL SELECT step, kind, host, sum(rank) FROM (
+  SELECT q.step + 1 AS step, r0.kind, r0.host, r0.rank * {1 - damping!r} AS rank FROM r0 CROSS JOIN (SELECT DISTINCT step FROM ranks) q UNION ALL
+  SELECT r.step + 1, s.kind, s.dst, r.rank * s.share * {damping!r} FROM ranks r JOIN steps s ON s.kind = r.kind AND s.src = r.host) WHERE step <= {steps} GROUP BY step, kind, host),
+scores AS (SELECT host, sum(CASE WHEN kind = 'trust' THEN rank ELSE 0.0 END) AS trust, sum(CASE WHEN kind = 'distrust' THEN rank ELSE 0.0 END) AS distrust FROM ranks WHERE step = {steps} GROUP BY host)
+SELECT p.page_id, p.host, p.path, p.rule, coalesce(p.action, CASE WHEN coalesce(s.distrust, 0.0) > coalesce(s.trust, 0.0) * (1 + 1e-9) THEN 'block' ELSE 'allow' END) AS verdict,
+  round(coalesce(s.trust, 0.0), 9) AS trust, round(coalesce(s.distrust, 0.0), 9) AS distrust FROM ruled p LEFT JOIN scores s ON s.host = p.host"""
 
 
 def licences(templates: list[tuple[str, str, str]], threshold: float = 0.8, file_share: float = 0.25, lead: int = 20) -> str:

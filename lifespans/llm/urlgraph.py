@@ -43,30 +43,39 @@ def matching_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return found
 
 
-# Absolute links in attributes, and hosts of three or more labels named anywhere in the page.
-LINK = r"(?i)(?:href|src)\s*=\s*[\"']?[a-z][a-z0-9+.-]*://([^/?#\"'\s<>]+)"
-DOTTED = r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){2,}"
+# Links in attributes that name a host (also without a scheme), and names of three or more labels anywhere in the page.
+LINK = r"(?i)(?:href|src)\s*=\s*[\"']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#\"'\s<>]+)"
+BREAK = r"[^A-Za-z0-9.-]+|\.\.+"
 NAME = r"^(?:[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\.){2,}[a-z]{2,}$"
+LONGEST = 253  # characters of a host name, by the domain name system
 
 
 def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(src, dst, weight): how many pages of host src name or link host dst; no loops, no empty host."""
+    """(src, dst, weight): how many pages of host src name or link host dst; no loops, no empty host.
+
+    A page is cut once where no host name goes on, and only short pieces meet the pattern of names, so the time grows
+    with a page's length whatever it holds.
+    """
     host, _ = host_and_path(F.col(url_col))
     html = F.coalesce(F.col(html_col), F.lit(""))
     low = lambda x: F.translate(x, ascii_uppercase, ascii_lowercase)
     linked = F.transform(F.regexp_extract_all(html, F.lit(LINK), F.lit(1)), low)
-    named = F.filter(F.transform(F.regexp_extract_all(html, F.lit(DOTTED), F.lit(0)), low), lambda x: x.rlike(NAME))
+    dotted = F.filter(F.split(html, BREAK), lambda x: x.contains("."))
+    trimmed = F.transform(dotted, lambda x: low(F.btrim(x, F.lit(".-"))))
+    named = F.filter(trimmed, lambda x: (F.length(x) <= LONGEST) & x.rlike(NAME))
     pairs = pages.select(host.alias("src"), F.explode(F.array_union(linked, named)).alias("dst")).where("src <> '' and dst <> '' and src <> dst")
     return pairs.groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, scratch: Scratch, damping: float = 0.85, rounds: int = 12, save_every: int = 4) -> DataFrame:
-    """(host, trust, distrust) by personalised PageRank, ``rounds`` power steps.
+def propagate(edges: DataFrame, seeds: DataFrame, scratch: Scratch, damping: float = 0.85, settled: float = 1e-12, save_every: int = 8, most: int = 400) -> DataFrame:
+    """(host, trust, distrust) by personalised PageRank, stepped until the ranks have settled.
 
     ``seeds`` has host, trust and distrust masses.  Trust follows the links from trusted seeds; distrust follows them
     backwards from blocked seeds, to hosts that point at them.  Mass on a host without a way out leaves the graph.
     Each step is a join on the host and a sum that is combined before its shuffle; every ``save_every`` steps the ranks
-    go through a shared table, which cuts the lineage.
+    go through a shared table, which cuts the lineage, and one number goes to the driver: the summed change of the last
+    step.  Steps end when it is at most ``settled`` of a mass of 1 and no host is new; as each step shrinks the change by
+    ``damping``, ``most`` steps are never reached with the given numbers.
     """
     steps = edges.select(F.lit("trust").alias("kind"), "src", "dst", "weight").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
@@ -76,19 +85,29 @@ def propagate(edges: DataFrame, seeds: DataFrame, scratch: Scratch, damping: flo
     steps = scratch.table(steps, "steps")
     start = seeds.select("host", F.explode(F.create_map(F.lit("trust"), F.col("trust"), F.lit("distrust"), F.col("distrust"))).alias("kind", "mass"))
     totals = start.groupBy("kind").agg(F.sum("mass").alias("all")).where("all > 0")
-    start = start.where("mass > 0").join(totals, "kind").select("kind", "host", (F.col("mass") / F.col("all")).alias("rank"))
+    start = start.where("mass > 0").join(totals, "kind").select("kind", "host", (F.col("mass") / F.col("all")).alias("rank"), F.lit(0.0).alias("before"))
     start = scratch.table(start, "start")
-    base = start.select("kind", "host", (F.col("rank") * (1 - damping)).alias("rank"))
-    ranks = start
-    for step in range(1, rounds + 1):
-        here = ranks.withColumnRenamed("host", "src")
-        moved = here.join(steps, ["kind", "src"]).select(
-            "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank")
-        )
-        ranks = base.unionByName(moved).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        if step % save_every == 0 or step == rounds:
-            ranks = scratch.table(ranks, f"ranks-{step}")
-    of = lambda kind: F.round(F.sum(F.when(F.col("kind") == kind, F.col("rank")).otherwise(0.0)), 12)
+    base = start.select("kind", "host", (F.col("rank") * (1 - damping)).alias("rank"), F.lit(0.0).alias("before"))
+    ranks, step = start, 0
+    while True:
+        for k in range(save_every):
+            here = ranks.select("kind", F.col("host").alias("src"), "rank")
+            moved = here.join(steps, ["kind", "src"]).select(
+                "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"), F.lit(0.0).alias("before")
+            )
+            sums = base.unionByName(moved)
+            if k == save_every - 1:  # only the last step is compared, so that the plan doesn't read ranks twice at each
+                sums = sums.unionByName(ranks.select("kind", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("before")))
+            ranks = sums.groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("before").alias("before"))
+        step += save_every
+        ranks = scratch.table(ranks, f"ranks-{step}")
+        change, new = ranks.agg(F.sum(F.abs(F.col("rank") - F.col("before"))), F.count(F.when((F.col("before") == 0) & (F.col("rank") > 0), 1))).first()
+        scratch.drop(f"ranks-{step - save_every}")
+        if (change or 0.0) <= settled and not new:
+            break
+        if step >= most:
+            raise RuntimeError(f"the ranks have not settled after {step} steps")
+    of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("rank")).otherwise(0.0))
     return ranks.groupBy("host").agg(of("trust").alias("trust"), of("distrust").alias("distrust"))
 
 
@@ -99,14 +118,15 @@ def judge_urls(
     url_col: str = "url",
     html_col: str = "html",
     tolerance: float = 1.0,
-    rounds: int = 12,
 ) -> DataFrame:
     """A verdict on every page's url: the longest fitting rule's, else the host's by propagation.
 
     Returns page_id, host, path, rule, verdict, trust, distrust.  A host's trusted and blocked seed masses are the
     numbers of its pages that rules allow and block.  A host is blocked if its distrust exceeds ``tolerance`` times its
-    trust; a host that neither reaches (also the empty host of null and malformed urls) is allowed.  Repeated rows get
-    equal verdicts; null html has no links; an empty table gives no rows; other columns are not read.
+    trust (unrounded, by more than rounding errors); where both are equal and where neither reaches (also the empty host
+    of null and malformed urls) it is allowed.  Shown ranks have 9 places.  Repeated rows get equal verdicts; null html
+    has no links; pages of any length are read whole; an empty table gives no rows; other columns are not read, whatever
+    their names.
     """
     scratch = Scratch(pages.sparkSession, "urls")
     host, path = host_and_path(F.col(url_col))
@@ -118,7 +138,8 @@ def judge_urls(
         F.sum(F.when(action == "block", 1.0).otherwise(0.0)).alias("distrust"),
     )
     edges = scratch.table(host_edges(pages, url_col, html_col), "edges")
-    scores = propagate(edges, seeds.where("host <> ''"), scratch, rounds=rounds)
+    scores = propagate(edges, seeds.where("host <> ''"), scratch)
     judged = split.join(scores, "host", "left").na.fill(0.0, ["trust", "distrust"])
-    by_host = F.when(F.col("distrust") > F.col("trust") * tolerance, "block").otherwise("allow")
-    return judged.select("page_id", "host", "path", F.col("_rule.rule").alias("rule"), F.coalesce(action, by_host).alias("verdict"), "trust", "distrust")
+    by_host = F.when(F.col("distrust") > F.col("trust") * (tolerance * (1 + 1e-9)), "block").otherwise("allow")
+    shown = [F.round(c, 9).alias(c) for c in ("trust", "distrust")]
+    return judged.select("page_id", "host", "path", F.col("_rule.rule").alias("rule"), F.coalesce(action, by_host).alias("verdict"), *shown)
