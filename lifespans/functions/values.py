@@ -35,8 +35,9 @@ def strict_number(text: Column, least: float | None = None, most: float | None =
 
 
 def utc_offset(text: Column) -> Column:
-    """Whole seconds of an offset like ``32400s``, up to 18 hours either way."""
-    value = F.when(text.rlike(r"^-?\d+s$"), F.regexp_extract(text, r"^(-?\d+)s$", 1).try_cast("int"))
+    """Whole seconds of an offset like ``32400s`` or ``32400.0s``, up to 18 hours either way."""
+    shape = r"^(-?\d+)(?:\.0+)?s$"
+    value = F.when(text.rlike(shape), F.regexp_extract(text, shape, 1).try_cast("int"))
     return F.when(F.abs(value) <= MAX_OFFSET, value)
 
 
@@ -67,9 +68,15 @@ def alias_conflict(primary: Column, other: Column) -> Column:
     return primary.isNotNull() & other.isNotNull() & (primary != other)
 
 
-def point_id(name: Column) -> Column:
-    """Id at the end of a resource name; a bare collection stem has none."""
-    return F.nullif(F.regexp_extract(name, r"/dataPoints/([^/]+)$", 1), F.lit(""))
+def point_id(name: Column, kind: str) -> Column:
+    """Id at the end of a resource name of this kind; null for any other name."""
+    return F.nullif(F.regexp_extract(name, rf"^users/[^/]+/dataTypes/{kind}/dataPoints/([^/]+)$", 1), F.lit(""))
+
+
+def point_id_malformed(name: Column, kind: str, stem_allowed: bool = False) -> Column:
+    """True for a name that is given but is no resource name of this kind; with ``stem_allowed`` its collection's stem passes."""
+    fits = name.rlike(rf"^users/[^/]+/dataTypes/{kind}/dataPoints/[^/]{'*' if stem_allowed else '+'}$")
+    return name.isNotNull() & (name != "") & ~fits
 
 
 def identity(*parts: Column) -> Column:

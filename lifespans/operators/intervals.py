@@ -78,9 +78,35 @@ def coalesce_intervals(df: DataFrame, keys: list[str], start: str = "start_at",
     return island.groupBy(*keys, "_island").agg(*out).drop("_island")
 
 
+def coalesce_spread(df: DataFrame, keys: list[str], start: str = "start_at", end: str = "end_at", collect: str | None = None) -> DataFrame:
+    """The rows of ``coalesce_intervals`` for keys of few, large groups: no window is wider than a day of a group.
+
+    What reaches into a day from earlier ones, and the island that is open when it begins, come from one row for each
+    group and day.
+    """
+    by = [*keys, "_day"]
+    rows = df.withColumn("_day", F.date_trunc("day", F.col(start)))
+    earlier = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)  # over a row a day
+
+    def carried(rows: DataFrame, value: Column, name: str) -> DataFrame:
+        """``rows`` with the greatest ``value`` of all earlier days of their group."""
+        days = rows.groupBy(*by).agg(F.max(value).alias("_most")).select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)], F.max("_most").over(earlier).alias(name))
+        same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)]
+        return rows.join(days, same).drop(*[f"_k{i}" for i in range(len(by))])
+
+    inside = Window.partitionBy(*by).orderBy(start, end)
+    reached = carried(rows, F.col(end), "_before").withColumn("_reach", F.greatest("_before", F.max(end).over(inside.rowsBetween(Window.unboundedPreceding, -1))))
+    opened = reached.withColumn("_opens", F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach")), F.col(start)))
+    island = carried(opened, F.col("_opens"), "_open").withColumn("_island", F.greatest("_open", F.max("_opens").over(inside.rowsBetween(Window.unboundedPreceding, 0))))
+    out = [F.min(start).alias(start), F.max(end).alias(end)]
+    if collect:
+        out.append(F.array_sort(F.collect_set(collect)).alias("sources"))
+    return island.groupBy(*keys, "_island").agg(*out).drop("_island")
+
+
 def merge_windows(windows: DataFrame, keys: tuple[str, ...] = ("data_type", "time_basis"), collect: str | None = None) -> DataFrame:
     """Request windows merged per type and time basis; UTC and civil windows never merge."""
-    return coalesce_intervals(windows, list(keys), "start_at", "end_at", collect)
+    return coalesce_spread(windows, list(keys), "start_at", "end_at", collect)
 
 
 def split_windows(windows: DataFrame, zone: str = DEFAULT_ZONE, cap: int | None = None, received: str | None = None) -> DataFrame:

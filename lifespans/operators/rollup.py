@@ -71,6 +71,17 @@ def all_done(units: DataFrame, message: str, committed: str) -> DataFrame:
     return units.groupBy(message).agg(F.bool_and(committed).alias("acknowledged"), F.count("*").alias("units"))
 
 
+def oldest_pending(df: DataFrame, pending: Column, order: list[str]) -> DataFrame:
+    """The row that may be acknowledged next: the first pending one in ``order``; none if nothing is pending."""
+    return df.where(pending).orderBy(*order).limit(1)  # each task keeps its first row
+
+
+def earliest_incomplete(windows: DataFrame, incomplete: Column, keys: list[str]) -> DataFrame:
+    """(keys, start_at, data_type) of the earliest incomplete window of each group; ties by data type."""
+    first = F.min(F.struct("start_at", "data_type"))
+    return windows.where(incomplete).groupBy(*keys).agg(first.alias("_w")).select(*keys, "_w.start_at", "_w.data_type")
+
+
 def upper_fence(values: DataFrame, value: str, keys: list[str] | None = None) -> DataFrame:
     """Greatest positive value within Q3 + 1.5 IQR (linear quantiles); with fewer than four values the plain greatest."""
     keys = keys or []

@@ -118,3 +118,9 @@ def explode_deliveries(spark, sf_dir):
 def stream_drain(spark, sf_dir):
     """The notifications as a stream of files: every unit that is complete by then, once, from the result table."""
     return notify.drained_units(spark, D.windows(spark, sf_dir), _NOW)
+
+
+@_query("stream_redelivery", f"{_GROUPED} SELECT subject_key, data_type, time_basis, day, start_at, end_at FROM g WHERE end_at <= TIMESTAMP '{_NOW}'")
+def stream_redelivery(spark, sf_dir):
+    """Every message lands twice, in two drains; the units are those of one delivery."""
+    return notify.drained_units(spark, D.windows(spark, sf_dir), _NOW, again=True)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import ntz, provider_date
-from ..functions.values import alias_conflict, alias_value, date_parts, duration_seconds, identity, json_identity, only_payload, point_id, reject_if, strict_integer, strict_number, timestamp_text, utc_offset
+from ..functions.values import alias_conflict, alias_value, date_parts, duration_seconds, identity, json_identity, only_payload, point_id, point_id_malformed, reject_if, strict_integer, strict_number, timestamp_text, utc_offset
 
 _DATE = "struct<year:string,month:string,day:string>"
 _CIVIL = f"struct<date:{_DATE}>"
@@ -155,9 +155,17 @@ def _sleep(p: Column) -> _Reading:
     main = alias_value(m["mainSleep"], m["main"])
     _take(r, "is_main_sleep", main, F.when(main.isin("true", "false"), main == "true"))
     r.rules.append(("main_conflict", alias_conflict(m["mainSleep"], m["main"])))
+    r.rules.append(("stages_overlap", _overlap(p["stages"])))
     return r
 
 
+def _overlap(children: Column) -> Column:
+    """True where one of the intervals begins before an earlier one has ended."""
+    spans = F.array_sort(F.transform(children, lambda c: F.struct(timestamp_text(c["startTime"]).alias("a"), timestamp_text(c["endTime"]).alias("z"))))
+    following = F.zip_with(F.slice(spans, F.lit(2), F.greatest(F.size(spans) - 1, F.lit(0))), spans, lambda later, earlier: earlier["z"] > later["a"])
+    return F.coalesce(F.exists(following, lambda x: F.coalesce(x, F.lit(False))), F.lit(False))
+
+
 def _resting(p: Column) -> _Reading:
     return _integers(_daily(p), p, {"resting_heart_rate_bpm": "beatsPerMinute"}, 1, 300, True)
 
@@ -260,10 +268,11 @@ def normalize(points: DataFrame, kind: str, subject: str = "owner") -> DataFrame
     payload = point[field]
     r = reader(payload)
     name = alias_value(point["dataPointName"], point["name"])
-    given = point_id(name)
+    given = point_id(name, kind)
+    stem = kind == "respiratory-rate-sleep-summary"  # such summaries can come with their collection's name alone
     rules = [
         ("payload_missing", payload.isNull()), ("payload_conflict", ~only_payload(*[point[f] for f, _ in PAYLOADS.values()], point["heartRate"])),
-        ("name_conflict", alias_conflict(point["dataPointName"], point["name"])), *([("id_missing", given.isNull())] if named else []), *r.rules,
+        ("name_conflict", alias_conflict(point["dataPointName"], point["name"])), ("id_malformed", point_id_malformed(name, kind, stem)), *([("id_missing", given.isNull())] if named else []), *r.rules,
     ]
     out = points.select("*", *[c.alias(n) for n, c in (r.times | r.columns).items()], reject_if(*rules).alias("reject_reason"))
     if key:
@@ -286,7 +295,7 @@ def normalize_sleep_details(points: DataFrame) -> DataFrame:
         )
 
     every = F.concat(children("stages", "sleep-stage", None), children("shortAwakenings", "sleep-wake", "short-awakening"), children("outOfBedSegments", "sleep-wake", "out-of-bed"))
-    session = point_id(alias_value(F.col("point.dataPointName"), F.col("point.name")))
+    session = point_id(alias_value(F.col("point.dataPointName"), F.col("point.name")), "sleep")
     rows = points.select(session.alias("sleep_session_id"), start.alias("_from"), end.alias("_to"), F.explode(every).alias("e"))
     rows = rows.select("sleep_session_id", "_from", "_to", "e.kind", "e.category", "e.strict", timestamp_text(F.col("e.c.startTime")).alias("start_at"),
                        timestamp_text(F.col("e.c.endTime")).alias("end_at"), utc_offset(F.col("e.c.startUtcOffset")).alias("offset_seconds"), utc_offset(F.col("e.c.endUtcOffset")).alias("end_offset_seconds"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,9 @@ _DELIVERY = (
     "endDateTime:struct<date:struct<year:int,month:int,day:int>,time:struct<hours:int,minutes:int,seconds:int>>>>>>>>"
 )
 MINUTE_TYPES = ("heart-rate",)
+_KEYS = ("subject_key", "data_type", "time_basis")
+_UNIT = "subject_key bigint, data_type string, time_basis string, start_at timestamp_ntz, end_at timestamp_ntz, messages array<bigint>, day date"
+_PIECE = "message_id bigint, subject_key bigint, data_type string, time_basis string, start_at timestamp_ntz, end_at timestamp_ntz, batch int, day date"
 
 
 def explode_deliveries(df: DataFrame, body: str = "body") -> DataFrame:
@@ -87,32 +91,58 @@ def stream_notifications(spark: SparkSession, path: str, max_files: int = 1000)
     return spark.readStream.schema(MESSAGE + ", _corrupt_record string").option("maxFilesPerTrigger", max_files).json(path)
 
 
-def run_drain(stream: DataFrame, root: str, checkpoint: str, now: str) -> StreamingQuery:
+def run_drain(stream: DataFrame, root: str, checkpoint: str, now: str, zone: str = DEFAULT_ZONE) -> StreamingQuery:
     """Drain the available notifications into units below ``root``.
 
-    A batch is grouped, complete units are committed and the rest wait in a pending table, which the next batch reads
-    again with its own messages.  Every batch writes folders named after its id, so a batch that runs again replaces
-    what it wrote: redelivery changes nothing.  The checkpoint is the acknowledgement.
+    A batch cuts its messages by day into ``pieces``/batch and then makes the units of the days that it or a waiting
+    unit touches anew, from all pieces of those days: complete ones replace ``units``/day, days with units that wait are
+    noted in ``pending``/batch.  So units do not depend on how messages fall into batches; a message that lands again
+    gives the same pieces and changes nothing, and so does a batch that runs again.  Messages that are malformed, lack
+    a field or start after their receipt go to ``rejected``/batch with a reason.  The checkpoint is the acknowledgement.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         columns = [c for c in batch.columns if c != "_corrupt_record"]
-        usable, rejected = reject_future(batch.where("_corrupt_record is null").select(columns).dropDuplicates(["message_id"]))
-        windows = usable
+        lacks = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+        late = (F.col("time_basis") == "utc") & (ntz("start_at") > ntz("received_at"))
+        malformed = F.col("_corrupt_record").isNotNull()
+        reason = reject_if(("message_malformed", malformed), ("message_incomplete", lacks), ("interval_not_positive", F.col("end_at") <= F.col("start_at")), ("starts_after_receipt", late))
+        judged = batch.withColumn("reject_reason", reason)
+        judged.where("reject_reason is not null").write.mode("overwrite").parquet(f"{root}/rejected/batch={batch_id}")
+        windows = judged.where("reject_reason is null").select(columns)
+        own = split_windows(windows, zone).select("message_id", "subject_key", "data_type", "time_basis", F.col("piece_start").alias("start_at"), F.col("piece_end").alias("end_at"), "day")
+        own.write.mode("overwrite").partitionBy("day").parquet(f"{root}/pieces/batch={batch_id}")
+        pieces = spark.read.schema(_PIECE).parquet(f"{root}/pieces")
+        touched = pieces.where(F.col("batch") == batch_id).select("day")
         if batch_id and _exists(spark, f"{root}/pending/batch={batch_id - 1}"):
-            windows = usable.unionByName(spark.read.schema(MESSAGE).parquet(f"{root}/pending/batch={batch_id - 1}"))
-        ready, waiting = split_ready(group_notifications(windows), F.lit(now))
+            touched = touched.unionByName(spark.read.schema("day date").parquet(f"{root}/pending/batch={batch_id - 1}"))
+        days = [r["day"] for r in touched.distinct().collect()]  # calendar days
+        of_days = pieces.where((F.col("batch") <= batch_id) & F.col("day").isin(days)) if days else pieces.where("false")
+        once = of_days.select(*_KEYS, "day", "message_id", "start_at", "end_at").distinct()
+        units = coalesce_intervals(once, [*_KEYS, "day"], collect="message_id").withColumnRenamed("sources", "messages")
+        ready, waiting = split_ready(units, F.lit(now))
+        ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{root}/units")
+        complete = {r["day"] for r in ready.select("day").distinct().collect()}
+        for day in set(days) - complete:
+            _delete(spark, f"{root}/units/day={day}")
+        waiting.select("day").distinct().write.mode("overwrite").parquet(f"{root}/pending/batch={batch_id}")
         delay = F.timestamp_diff("MICROSECOND", F.min("received_at"), F.lit(now).cast("timestamp_ntz"))
-        ready.write.mode("overwrite").parquet(f"{root}/units/batch={batch_id}")
-        held = waiting.select(F.explode("messages").alias("message_id")).distinct()
-        windows.join(held, "message_id", "left_semi").select(columns).write.mode("overwrite").parquet(f"{root}/pending/batch={batch_id}")
-        rejected.write.mode("overwrite").parquet(f"{root}/rejected/batch={batch_id}")
         windows.agg((delay / 1e6).alias("oldest_lag_seconds"), F.count("*").alias("messages")).write.mode("overwrite").parquet(f"{root}/metrics/batch={batch_id}")
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def read_units(spark: SparkSession, root: str) -> DataFrame:
+    """The committed units: subject_key, data_type, time_basis, start_at, end_at, messages, day."""
+    return spark.read.schema(_UNIT).parquet(f"{root}/units")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
@@ -121,15 +151,19 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def scratch_root(spark: SparkSession) -> str:
     """A new folder in the cluster's shared one; a temporary folder only on a local master without that setting."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base and not spark.sparkContext.master.startswith("local"):
+    if not base and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{(base or 'file://' + tempfile.mkdtemp(prefix='lifespans-')).rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
-def drained_units(spark: SparkSession, windows: DataFrame, now: str) -> DataFrame:
-    """Land ``windows`` as message files, drain them as a stream, and read the committed units back."""
+def drained_units(spark: SparkSession, windows: DataFrame, now: str, again: bool = False, max_files: int = 1000) -> DataFrame:
+    """Land ``windows`` as message files, drain them as a stream, and read the committed units back.
+
+    With ``again`` every message lands a second time after the first drain, as a redelivery does.
+    """
     root = scratch_root(spark)
-    windows.select([F.col(c) for c in ("message_id", "subject_key", "data_type", "time_basis", "start_at", "end_at", "received_at")]).write.json(f"{root}/landed")
-    query = run_drain(stream_notifications(spark, f"{root}/landed"), root, f"{root}/checkpoint", now)
-    query.awaitTermination()
-    return spark.read.parquet(f"{root}/units").select("subject_key", "data_type", "time_basis", "day", "start_at", "end_at")
+    messages = windows.select([F.col(c) for c in ("message_id", "subject_key", "data_type", "time_basis", "start_at", "end_at", "received_at")])
+    for _ in range(2 if again else 1):
+        messages.write.mode("append").json(f"{root}/landed")
+        run_drain(stream_notifications(spark, f"{root}/landed", max_files), root, f"{root}/checkpoint", now).awaitTermination()
+    return read_units(spark, root).select("subject_key", "data_type", "time_basis", "day", "start_at", "end_at")

@@ -286,10 +286,58 @@ def test_drain_gives_the_same_units_in_one_batch_or_many(spark, tmp_path):
         frame.repartition(4, "message_id").write.json(f"{root}/landed")
         for _ in range(2):  # a second run finds nothing new
             notify.run_drain(notify.stream_notifications(spark, f"{root}/landed", files_at_once), root, f"{root}/cp", "2026-01-05 00:00:00").awaitTermination()
-        units = spark.read.parquet(f"{root}/units").select("day", "start_at", "end_at").collect()
-        results.append(sorted(tuple(u) for u in units))
+        units = notify.read_units(spark, root).collect()
+        results.append(sorted((u.day, u.start_at, u.end_at, tuple(u.messages)) for u in units))
         assert spark.read.parquet(f"{root}/rejected").count() == 1
-    assert results[0] and {u[0] for u in results[0]} == {u[0] for u in results[1]}
+    assert results[0] and results[0] == results[1]
+    # the same messages in other files, one of them with a neighbour that lands later
+    frame.repartition(2).write.mode("append").json(f"{root}/landed")
+    notify.run_drain(notify.stream_notifications(spark, f"{root}/landed", 1), root, f"{root}/cp", "2026-01-05 00:00:00").awaitTermination()
+    assert sorted((u.day, u.start_at, u.end_at, tuple(u.messages)) for u in notify.read_units(spark, root).collect()) == results[0]
+
+
+def test_no_message_is_lost(spark, tmp_path):
+    """Malformed and incomplete messages are kept with a reason, and a neighbour that lands later joins its unit."""
+    root = str(tmp_path)
+    (tmp_path / "landed").mkdir()
+    good = '{"message_id": %d, "subject_key": 1, "data_type": "steps", "time_basis": "utc", "start_at": "2026-01-01T0%d:00:00", "end_at": "2026-01-01T0%d:00:00", "received_at": "2026-01-02T00:00:00"}'
+    lands = [[good % (1, 1, 2), "{not json", '{"message_id": 5}'], [good % (2, 2, 3), good % (3, 7, 6)]]
+    for k, lines in enumerate(lands):
+        (tmp_path / "landed" / f"{k}.json").write_text("\n".join(lines))
+        notify.run_drain(notify.stream_notifications(spark, f"{root}/landed"), root, f"{root}/cp", "2026-01-05 00:00:00").awaitTermination()
+    reasons = sorted(r.reject_reason for r in spark.read.parquet(f"{root}/rejected").collect())
+    assert reasons == ["interval_not_positive", "message_incomplete", "message_malformed"]
+    assert [(u.start_at, u.end_at, u.messages) for u in notify.read_units(spark, root).collect()] == [(at("2026-01-01 01:00:00"), at("2026-01-01 03:00:00"), [1, 2])]
+
+
+def test_names_offsets_and_stages_are_strict(spark):
+    steps = '{"dataPointName": "%s", "steps": {"interval": {"startTime": "2026-01-01T00:00:00Z", "endTime": "2026-01-01T00:01:00Z", "startUtcOffset": "%s", "endUtcOffset": "%s"}, "count": "5"}}'
+    name = "users/u/dataTypes/steps/dataPoints/p1"
+    bodies = [steps % (name, "32400.0s", "32400s"), steps % ("users/u/dataTypes/sleep/dataPoints/p1", "0s", "0s"), steps % ("x/dataPoints/p", "0s", "0s"), steps % ("", "0s", "0s"), steps % (name, "1.5s", "0s")]
+    got = health.normalize(health.parse_points(spark.createDataFrame([(b,) for b in bodies], "body string")), "steps").collect()
+    assert [r.reject_reason for r in got] == [None, "id_malformed", "id_malformed", None, "offset_malformed"]
+    assert got[0].steps_interval_id == "p1" and len(got[3].steps_interval_id) == 64 and got[0].offset_seconds == 32400
+    stage = lambda a, z: '{"startTime": "2026-01-01T0%d:00:00Z", "endTime": "2026-01-01T0%d:00:00Z", "startUtcOffset": "0s", "endUtcOffset": "0s", "type": "LIGHT"}' % (a, z)
+    sleep = '{"name": "users/u/dataTypes/sleep/dataPoints/s", "sleep": {"interval": {"startTime": "2026-01-01T00:00:00Z", "endTime": "2026-01-01T08:00:00Z", "startUtcOffset": "0s", "endUtcOffset": "0s"}, "stages": [%s]}}'
+    bodies = [sleep % ",".join(x) for x in ([stage(3, 4), stage(1, 3)], [stage(1, 3), stage(2, 4)], [stage(1, 2)], [])]
+    got = health.normalize(health.parse_points(spark.createDataFrame([(b,) for b in bodies], "body string")), "sleep").collect()
+    assert [r.reject_reason for r in got] == [None, "stages_overlap", None, None]
+
+
+def test_spread_merging_gives_the_rows_of_plain_merging(spark):
+    """Long windows over many days, null keys, touching and equal ones."""
+    r = random.Random(9)
+    base = dt.datetime(2026, 1, 1)
+    rows = []
+    for k in range(400):
+        start = base + dt.timedelta(minutes=r.randrange(60 * 24 * 40))
+        length = r.choice([0, 5, 30, 60, 1440, 1440 * 6]) if k % 20 == 0 else r.choice([0, 5, 20])
+        rows.append((k, r.choice(["a", "b", None]), start, start + dt.timedelta(minutes=length)))
+    df = spark.createDataFrame(rows, "message_id long, data_type string, start_at timestamp_ntz, end_at timestamp_ntz")
+    want = intervals.coalesce_intervals(df, ["data_type"], collect="message_id").collect()
+    got = intervals.coalesce_spread(df, ["data_type"], collect="message_id").collect()
+    key = lambda x: (x.data_type or "", x.start_at, x.end_at, tuple(x.sources))
+    assert sorted(map(key, got)) == sorted(map(key, want))
 
 
 def test_usage_stream_does_not_depend_on_batches(spark, tmp_path):
