@@ -31,22 +31,27 @@ def ngram_buckets(data: bytes) -> tuple[list[np.ndarray], int]:
     """Hash buckets of a text's word n-grams and its number of words.
 
     N-grams are single words, pairs of words, word shapes and pairs of shapes; a shape is the classes of a word's first
-    two and last two bytes and whether the word repeats the one before.  They don't cross segments of about 1 MB.
+    two and last two bytes and whether the word repeats the one before.  A long text is read in parts of about 1 MB; the
+    last word of a part goes on into the next, so the n-grams are those of the whole text.
     """
     out, n = [], 0
+    word = shape = np.empty(0, np.uint64)
     for words in runs_of_words(data):
         if not words:
             continue
         n += len(words)
+        words_before, shape_before = word[-1:], shape[-1:]
         word = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
         ends = np.frombuffer(b"".join([(w[:2] + w[-2:])[:4].ljust(4, b"~") for w in words]), np.uint8).reshape(-1, 4)
         c = _CLASS[ends]
-        repeats = np.r_[False, word[1:] == word[:-1]].astype(np.uint64)
+        run = np.r_[words_before, word]
+        repeats = np.r_[np.zeros(1 - len(words_before), bool), run[1:] == run[:-1]].astype(np.uint64)
         shape = (((c[:, 0] * np.uint64(128) + c[:, 1]) * np.uint64(128) + c[:, 2]) * np.uint64(128) + c[:, 3]) * np.uint64(2) + repeats
         shape = shape * _MIX[1] + np.uint64(1)
+        shapes = np.r_[shape_before, shape]
         out += [_bucket(word), _bucket(shape)]
-        if len(words) > 1:
-            out += [_bucket(word[:-1] * _MIX[1] ^ word[1:] * _MIX[2]), _bucket(shape[:-1] * _MIX[2] ^ shape[1:])]
+        if len(run) > 1:
+            out += [_bucket(run[:-1] * _MIX[1] ^ run[1:] * _MIX[2]), _bucket(shapes[:-1] * _MIX[2] ^ shapes[1:])]
     return out, n
 
 
