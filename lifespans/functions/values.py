@@ -1,7 +1,8 @@
 """Strict parsing, identities and small value rules as column expressions.
 
-Raw numbers are read as strings, so that these rules, not the reader, decide what is valid.  A parser returns null for
-what it rejects; ``reject_if`` turns rules into a reason.
+Integers, times and names are read as strings, numbers and booleans as variants that keep their JSON type, so that these
+rules, not the reader, decide what is valid.  A parser returns null for what it rejects; ``reject_if`` turns rules into a
+reason.
 """
 
 from __future__ import annotations
@@ -26,14 +27,25 @@ def strict_integer(text: Column, least: int | None = None, most: int | None = No
     return value if most is None else F.when(value <= most, value)
 
 
-def strict_number(text: Column, least: float | None = None, most: float | None = None) -> Column:
-    value = F.when(text.rlike(r"^-?\d+(\.\d+)?([eE][-+]?\d+)?$"), text.try_cast("double"))
+def json_given(value: Column) -> Column:
+    """True for a variant that is there and is not JSON null."""
+    return value.isNotNull() & ~F.is_variant_null(value)
+
+
+def json_number(value: Column, least: float | None = None, most: float | None = None) -> Column:
+    """A finite JSON number within the bounds; texts and booleans are none."""
+    value = F.when(F.schema_of_variant(value).rlike("^(BIGINT|DOUBLE|DECIMAL)"), F.try_variant_get(value, "$", "double"))
     value = F.when(finite(value), value)
     if least is not None:
         value = F.when(value >= least, value)
     return value if most is None else F.when(value <= most, value)
 
 
+def json_boolean(value: Column) -> Column:
+    """A JSON boolean; the texts "true" and "false" are none."""
+    return F.when(F.schema_of_variant(value) == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
+
+
 def utc_offset(text: Column) -> Column:
     """Whole seconds of an offset like ``32400s`` or ``32400.0s``, up to 18 hours either way."""
     shape = r"^(-?\d+)(?:\.0+)?s$"

@@ -47,20 +47,29 @@ def daily_coverage(pieces: DataFrame, keys: list[str] | None = None, day: str =
     tells which stretches are covered.  Nothing is compared pairwise.
     """
     by = [*(keys or []), day]
+    return covered_seconds(pieces.select(*by, F.explode(F.array(*coverage_marks(start, end, observed))).alias("m")).select(*by, "m.*"), by).where("total_seconds is not null")
+
+
+def coverage_marks(start: str = "piece_start", end: str = "piece_end", observed: str = "observed") -> list[Column]:
+    """The two marks of a piece: instant t, change d of the pieces that cover it and change o of the observed ones."""
     seen = F.col(observed).cast("long")
-    marks = pieces.select(
-        *by,
-        F.explode(F.array(F.struct(ntz(start).alias("t"), F.lit(1).alias("d"), seen.alias("o")), F.struct(ntz(end).alias("t"), F.lit(-1).alias("d"), (-seen).alias("o")))).alias("m"),
-    )
-    marks = marks.groupBy(*by, F.col("m.t").alias("t")).agg(F.sum("m.d").alias("d"), F.sum("m.o").alias("o"))
+    return [F.struct(ntz(at).alias("t"), F.lit(sign).cast("long").alias("d"), (seen * sign).alias("o")) for at, sign in ((start, 1), (end, -1))]
+
+
+def covered_seconds(marks: DataFrame, by: list[str], **sums: str) -> DataFrame:
+    """observed_seconds and total_seconds that the marks of each group cover, null where none do.
+
+    ``sums`` adds the sums of other columns of ``marks``; rows that carry nothing else have a null t.
+    """
+    marks = marks.groupBy(*by, "t").agg(F.sum("d").alias("d"), F.sum("o").alias("o"), *[F.sum(c).alias(n) for n, c in sums.items()])
     w = Window.partitionBy(*by).orderBy("t")
     run = marks.select(
-        *by, micros_between("t", F.lead("t").over(w)).alias("us"), F.sum("d").over(w).alias("active"), F.sum("o").over(w).alias("seen")
+        *by, *sums, micros_between("t", F.lead("t").over(w)).alias("us"), F.sum("d").over(w).alias("active"), F.sum("o").over(w).alias("seen")
     )
     return run.groupBy(*by).agg(
         (F.sum(F.when(F.col("seen") > 0, F.col("us"))) / 1e6).alias("observed_seconds"),
-        (F.sum(F.when(F.col("active") > 0, F.col("us"))) / 1e6).alias("total_seconds"),
-    ).where("total_seconds is not null")
+        (F.sum(F.when(F.col("active") > 0, F.col("us"))) / 1e6).alias("total_seconds"), *[F.sum(n).alias(n) for n in sums],
+    )
 
 
 def coalesce_intervals(df: DataFrame, keys: list[str], start: str = "start_at", end: str = "end_at", collect: str | None = None) -> DataFrame:

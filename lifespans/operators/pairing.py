@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.time import DEFAULT_ZONE, local_date, ntz, seconds_between
-from .intervals import daily_coverage, split_by_day
+from .intervals import coverage_marks, covered_seconds, split_by_day
 
 
 def pair_events(events: DataFrame, device: str = "device_key", app: str = "bundle_id", at: str = "event_at", state: str = "state", key: str = "event_key", valid: str | None = "is_valid") -> DataFrame:
@@ -39,30 +39,43 @@ def pair_events(events: DataFrame, device: str = "device_key", app: str = "bundl
 def unresolved_events(events: DataFrame, intervals: DataFrame, zone: str = DEFAULT_ZONE, keys: list[str] | None = None) -> DataFrame:
     """Valid starts without an interval and valid ends that close no observed one, counted per local day.
 
-    Two equality anti-joins, one for each state; a single NOT EXISTS with OR would compare all with all.
+    ``intervals`` are those of ``events``.  A start has one interval at most and an end closes one observed interval at
+    most (the one of the device's last start before it), so the events are counted and the resolved ones taken off; no
+    event meets another.
     """
-    live = events.where("is_valid")
-    starts = live.where("state = 'start'").join(intervals.select(F.col("start_event_key").alias("event_key")), "event_key", "left_anti")
-    closers = intervals.where(~F.col("is_inferred")).select(F.col("boundary_event_key").alias("event_key"))
-    ends = live.where("state = 'end'").join(closers, "event_key", "left_anti")
     by = [*(keys or []), "activity_date"]
-    return starts.unionByName(ends).withColumn("activity_date", local_date("event_at", zone)).groupBy(*by).agg(F.count("*").alias("unresolved_event_count"))
+    ended = F.when(~F.col("is_inferred"), F.array(local_date("ended_at", zone))).otherwise(F.array().cast("array<date>"))
+    resolved = intervals.select(*(keys or []), F.explode(F.concat(F.array(local_date("started_at", zone)), ended)).alias("activity_date"), F.lit(-1).alias("n"))
+    both = _counted(events, zone, keys).unionByName(resolved).groupBy(*by).agg(F.sum("n").alias("unresolved_event_count"))
+    return both.where("unresolved_event_count > 0")
+
+
+def _counted(events: DataFrame, zone: str, keys: list[str] | None) -> DataFrame:
+    return events.where("is_valid").where("state in ('start', 'end')").select(*(keys or []), local_date("event_at", zone).alias("activity_date"), F.lit(1).alias("n"))
 
 
 def daily_usage_total(intervals: DataFrame, events: DataFrame, zone: str = DEFAULT_ZONE, keys: list[str] | None = None, date_from=None, date_to=None) -> DataFrame:
     """Observed, inferred and total seconds per local day, and unresolved events; observed time wins where both overlap.
 
-    Days with unresolved events only have null seconds; other days without events have no row.
+    ``intervals`` are those of ``events``.  Days with unresolved events only have null seconds; other days without
+    events have no row.  Marks of coverage and counts of events go through one aggregate, so pairing is run once.
     """
     by = [*(keys or []), "activity_date"]
     pieces = split_by_day(intervals, "started_at", "ended_at", zone).withColumn("observed", ~F.col("is_inferred"))
-    covered = daily_coverage(pieces, keys)
-    both = covered.join(unresolved_events(events, intervals, zone, keys), by, "full_outer")
+    first = F.col("activity_date") == local_date("started_at", zone)
+    marks = [F.struct(F.col("activity_date").alias("day"), m["t"].alias("t"), m["d"].alias("d"), m["o"].alias("o"), n.alias("n"))
+             for m, n in zip(coverage_marks(), (F.when(first, -1).otherwise(0), F.lit(0)))]
+    nothing = [F.lit(None).cast("timestamp_ntz").alias("t"), F.lit(0).cast("long").alias("d"), F.lit(0).cast("long").alias("o")]
+    closing = F.struct(local_date("ended_at", zone).alias("day"), *nothing, F.lit(-1).alias("n"))
+    last = F.col("observed") & (F.col("piece_end") == F.col("ended_at"))
+    marks = pieces.select(*(keys or []), F.explode(F.array_compact(F.array(*marks, F.when(last, closing)))).alias("m"))
+    marks = marks.select(*(keys or []), F.col("m.day").alias("activity_date"), "m.t", "m.d", "m.o", "m.n")
+    both = covered_seconds(marks.unionByName(_counted(events, zone, keys).select(*by, *nothing, "n")), by, unresolved_event_count="n")
     seen = F.coalesce("observed_seconds", F.lit(0.0))
     known = F.col("total_seconds").isNotNull()
-    out = both.select(
+    out = both.where(known | (F.col("unresolved_event_count") > 0)).select(
         *by, F.when(known, seen).alias("observed_seconds"), F.when(known, F.col("total_seconds") - seen).alias("inferred_seconds"),
-        "total_seconds", F.coalesce("unresolved_event_count", F.lit(0)).cast("long").alias("unresolved_event_count"),
+        "total_seconds", "unresolved_event_count",
     )
     if date_from is not None:
         out = out.where(F.col("activity_date") >= F.lit(date_from).cast("date"))

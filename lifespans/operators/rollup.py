@@ -48,9 +48,12 @@ def completed_segments(df: DataFrame, directory: str, number: str) -> DataFrame:
     return df.withColumn("_last", F.max(number).over(Window.partitionBy(directory))).where(F.col(number) < F.col("_last")).drop("_last")
 
 
-def allowed(df: DataFrame, allow: DataFrame, key: str) -> DataFrame:
-    """Rows of allowed keys."""
-    return df.join(allow.select(key).distinct(), key, "left_semi")
+def allowed(df: DataFrame, allow: DataFrame, key: str, required: bool = False) -> DataFrame:
+    """Rows of allowed keys; with ``required`` a ValueError, after a look for one row, if no row's key is allowed."""
+    rows = df.join(allow.select(key).distinct(), key, "left_semi")
+    if required and rows.isEmpty():
+        raise ValueError(f"no row has an allowed {key}")
+    return rows
 
 
 def app_counters(events: DataFrame, keys: list[str]) -> DataFrame:

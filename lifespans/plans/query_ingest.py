@@ -56,7 +56,12 @@ _POSITIVE = "event_id % 5 <> 0"
 
 
 def _value() -> Column:
-    return _text(F.col("value"))
+    return F.col("value")
+
+
+def _either(good: Column, value: Column, bad) -> Column:
+    """``value`` where ``good``, else ``bad``, whatever their JSON types."""
+    return F.when(good, value.cast("variant")).otherwise(F.lit(bad).cast("variant"))
 
 
 #: Per kind: payload fields (built inside a session), columns to compare, their SQL, and the SQL of what is accepted.
@@ -66,21 +71,21 @@ _CASES = {
     "active-zone-minutes": (lambda: [_interval().alias("interval"), _whole(90).alias("activeZoneMinutes"), F.when(F.col("event_type") == "view", "CARDIO").when(F.col("event_type") == "click", "PEAK").otherwise("mystery").alias("heartRateZone")],
                             ["active_zone_minutes", "category"], f"{_SPAN}, CAST(event_id % 90 AS DOUBLE) AS active_zone_minutes, CASE event_type WHEN 'view' THEN 'cardio' ELSE 'peak' END AS category", f"{_POSITIVE} AND event_type IN ('view', 'click')"),
     "sleep": (lambda: [_interval().alias("interval"), F.upper("event_type").alias("type"), F.struct(_whole(480).alias("minutesAsleep"), F.when(F.col("event_id") % 2 == 0, _whole(30)).alias("minutesAwake")).alias("summary"),
-                       F.struct(F.when(F.col("event_id") % 4 != 1, _text(F.col("event_id") % 2 == 0)).alias("mainSleep")).alias("metadata")], ["sleep_minutes", "awake_minutes", "sleep_type", "is_main_sleep"],
-              f"{_SPAN.replace('ts + INTERVAL 9 HOUR AS', 'ts + to_seconds(event_id % 5 * 60) + INTERVAL 9 HOUR AS')}, CAST(event_id % 480 AS DOUBLE) AS sleep_minutes, CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 30 AS DOUBLE) END AS awake_minutes, event_type AS sleep_type, CASE WHEN event_id % 4 <> 1 THEN event_id % 2 = 0 END AS is_main_sleep", _POSITIVE),
+                       F.struct(F.when(F.col("event_id") % 4 != 1, _either(F.col("event_id") % 11 != 0, F.col("event_id") % 2 == 0, "true")).alias("mainSleep")).alias("metadata")], ["sleep_minutes", "awake_minutes", "sleep_type", "is_main_sleep"],
+              f"{_SPAN.replace('ts + INTERVAL 9 HOUR AS', 'ts + to_seconds(event_id % 5 * 60) + INTERVAL 9 HOUR AS')}, CAST(event_id % 480 AS DOUBLE) AS sleep_minutes, CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 30 AS DOUBLE) END AS awake_minutes, event_type AS sleep_type, CASE WHEN event_id % 4 <> 1 THEN event_id % 2 = 0 END AS is_main_sleep", f"{_POSITIVE} AND (event_id % 4 = 1 OR event_id % 11 <> 0)"),
     "daily-resting-heart-rate": (lambda: [_date().alias("date"), _whole(320).alias("beatsPerMinute")], ["resting_heart_rate_bpm"], f"{_DAY}, CAST(event_id % 320 AS DOUBLE) AS resting_heart_rate_bpm", "event_id % 320 BETWEEN 1 AND 300"),
     "daily-heart-rate-variability": (lambda: [_date().alias("date"), F.when(F.col("event_id") % 2 == 0, _value()).alias("averageHeartRateVariabilityMilliseconds"), F.when(F.col("event_id") % 3 == 0, _whole(99)).alias("nonRemHeartRateBeatsPerMinute")],
                                      ["hrv_rmssd_ms", "non_rem_heart_rate_bpm"], f"{_DAY}, CASE WHEN event_id % 2 = 0 THEN value END AS hrv_rmssd_ms, CASE WHEN event_id % 3 = 0 THEN event_id % 99 END AS non_rem_heart_rate_bpm", "event_id % 2 = 0 OR event_id % 3 = 0"),
-    "daily-respiratory-rate": (lambda: [_date().alias("date"), F.when(F.col("event_id") % 7 != 0, _value()).otherwise("NaN").alias("breathsPerMinute")], ["respiratory_rate_breaths_per_minute"], f"{_DAY}, value AS respiratory_rate_breaths_per_minute", "event_id % 7 <> 0"),
-    "daily-oxygen-saturation": (lambda: [_date().alias("date"), _value().alias("averagePercentage"), F.lit("90").alias("lowerBoundPercentage"), F.lit("99.5").alias("upperBoundPercentage")],
+    "daily-respiratory-rate": (lambda: [_date().alias("date"), _either(F.col("event_id") % 7 != 0, _value(), "12.5").alias("breathsPerMinute")], ["respiratory_rate_breaths_per_minute"], f"{_DAY}, value AS respiratory_rate_breaths_per_minute", "event_id % 7 <> 0"),
+    "daily-oxygen-saturation": (lambda: [_date().alias("date"), _value().alias("averagePercentage"), F.lit(90).alias("lowerBoundPercentage"), F.lit(99.5).alias("upperBoundPercentage")],
                                 ["spo2_average_percent", "spo2_lower_bound_percent", "spo2_upper_bound_percent"], f"{_DAY}, value AS spo2_average_percent, 90.0::DOUBLE AS spo2_lower_bound_percent, 99.5::DOUBLE AS spo2_upper_bound_percent", "value <= 100"),
-    "daily-sleep-temperature-derivations": (lambda: [_date().alias("date"), _text(-F.col("value")).alias("nightlyTemperatureCelsius"), F.when(F.col("event_id") % 2 == 0, _value()).alias("relativeNightlyStddev30dCelsius")],
+    "daily-sleep-temperature-derivations": (lambda: [_date().alias("date"), (-F.col("value")).alias("nightlyTemperatureCelsius"), F.when(F.col("event_id") % 2 == 0, _value()).alias("relativeNightlyStddev30dCelsius")],
                                             ["nightly_skin_temperature_celsius", "relative_nightly_stddev_30d_celsius"], f"{_DAY}, -value AS nightly_skin_temperature_celsius, CASE WHEN event_id % 2 = 0 THEN value END AS relative_nightly_stddev_30d_celsius", "TRUE"),
-    "daily-vo2-max": (lambda: [_date().alias("date"), _value().alias("vo2Max"), _text(F.col("event_id") % 2 == 0).alias("estimated"), F.col("event_type").alias("cardioFitnessLevel")],
-                      ["vo2_max_ml_kg_min", "vo2_max_estimated", "cardio_fitness_level"], f"{_DAY}, value AS vo2_max_ml_kg_min, event_id % 2 = 0 AS vo2_max_estimated, event_type AS cardio_fitness_level", "value <= 100"),
+    "daily-vo2-max": (lambda: [_date().alias("date"), _value().alias("vo2Max"), _either(F.col("event_id") % 13 != 0, F.col("event_id") % 2 == 0, "true").alias("estimated"), F.col("event_type").alias("cardioFitnessLevel")],
+                      ["vo2_max_ml_kg_min", "vo2_max_estimated", "cardio_fitness_level"], f"{_DAY}, value AS vo2_max_ml_kg_min, event_id % 2 = 0 AS vo2_max_estimated, event_type AS cardio_fitness_level", "value <= 100 AND event_id % 13 <> 0"),
     "heart-rate-variability": (lambda: [_sample().alias("sampleTime"), _value().alias("rootMeanSquareOfSuccessiveDifferencesMilliseconds")], ["rmssd_ms"], f"{_AT}, value AS rmssd_ms", "TRUE"),
-    "respiratory-rate-sleep-summary": (lambda: [_sample().alias("sampleTime"), F.struct(_value().alias("breathsPerMinute"), _text(-F.col("value")).alias("signalToNoise")).alias("fullSleepStats"),
-                                                F.when(F.col("event_id") % 2 == 0, F.struct(_whole(40).alias("breathsPerMinute"))).alias("deepSleepStats")], ["full_breaths_per_minute", "full_signal_to_noise", "deep_breaths_per_minute"],
+    "respiratory-rate-sleep-summary": (lambda: [_sample().alias("sampleTime"), F.struct(_value().alias("breathsPerMinute"), (-F.col("value")).alias("signalToNoise")).alias("fullSleepStats"),
+                                                F.when(F.col("event_id") % 2 == 0, F.struct((F.col("event_id") % 40).alias("breathsPerMinute"))).alias("deepSleepStats")], ["full_breaths_per_minute", "full_signal_to_noise", "deep_breaths_per_minute"],
                                        f"{_AT}, value AS full_breaths_per_minute, -value AS full_signal_to_noise, CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 40 AS DOUBLE) END AS deep_breaths_per_minute", "TRUE"),
     "exercise": (lambda: [_interval().alias("interval"), F.upper("event_type").alias("exerciseType"), F.col("event_type").alias("displayName"), F.concat(_whole(900), F.lit(".5s")).alias("activeDuration")], ["exercise_type", "exercise_name", "active_seconds"],
                  f"{_SPAN}, upper(event_type) AS exercise_type, event_type AS exercise_name, event_id % 900 + 0.5::DOUBLE AS active_seconds", _POSITIVE),
@@ -109,13 +114,16 @@ for _kind in _CASES:
     QUERIES[f"normalize_{_kind.replace('-', '_')}"] = _normalized(_kind)
 
 
-@_query("normalize_heart_rate_minute", """SELECT date_trunc('minute', ts) AS start_at, value AS mean_bpm, value * 0.5 AS min_bpm, value * 2 AS max_bpm FROM events WHERE event_id % 6 <> 0""")
+@_query("normalize_heart_rate_minute", """SELECT date_trunc('minute', ts) AS start_at, value AS mean_bpm, value * 0.5 AS min_bpm, value * 2 AS max_bpm FROM events
+WHERE event_id % 6 <> 0 AND event_id % 10 <> 0 AND event_id % 25 <> 1""")
 def normalize_minutes(spark, sf_dir):
     minute = F.date_trunc("minute", "ts").cast("timestamp_ntz")
     start = F.when(F.col("event_id") % 6 == 0, F.timestamp_add("SECOND", F.lit(1), minute)).otherwise(minute)
-    stats = F.struct(_value().alias("beatsPerMinuteAvg"), _text(F.col("value") * 0.5).alias("beatsPerMinuteMin"), _text(F.col("value") * 2).alias("beatsPerMinuteMax"))
-    point = F.struct(_utc(start).alias("startTime"), _utc(F.timestamp_add("MINUTE", F.lit(1), start)).alias("endTime"), stats.alias("heartRate"))
-    rows = health.normalize_minutes(D.table(spark, sf_dir, "events").select(point.alias("point")))
+    lowest = _either(F.col("event_id") % 25 != 1, F.col("value") * 0.5, "0")
+    stats = F.struct(_value().alias("beatsPerMinuteAvg"), lowest.alias("beatsPerMinuteMin"), (F.col("value") * 2).alias("beatsPerMinuteMax"))
+    other = F.when(F.col("event_id") % 10 == 0, F.struct(F.lit("1").alias("countSum")))
+    point = F.struct(_utc(start).alias("startTime"), _utc(F.timestamp_add("MINUTE", F.lit(1), start)).alias("endTime"), stats.alias("heartRate"), other.alias("steps"))
+    rows = health.normalize_minutes(health.parse_rollups(D.table(spark, sf_dir, "events").select(F.to_json(point).alias("body"))))
     return rows.where("reject_reason is null").select("start_at", "mean_bpm", "min_bpm", "max_bpm")
 
 

@@ -107,20 +107,23 @@ def duplicate_slots(spark, sf_dir):
     return latest.where("duplicate_slot").groupBy("segment_key", "record_offset").agg(F.count("*").alias("claims"))
 
 
-_REFS = "refs AS (SELECT DISTINCT CAST(user_id % 40 AS VARCHAR) AS segment_key, 'k' || CAST(event_id % 4000 AS VARCHAR) AS event_key FROM events)"
+_REFS = """refs AS (SELECT DISTINCT CAST((user_id + s) * 1000 + dayofyear(ts) AS VARCHAR) AS segment_key, 'k' || CAST(event_id AS VARCHAR) AS event_key
+FROM events, (VALUES (0), (1)) v(s) WHERE s = 0 OR event_id % 4 = 0)"""
 _CANDIDATES = f"""{_REFS}, sole AS (SELECT event_key, min(segment_key) AS segment_key FROM refs GROUP BY 1 HAVING count(*) = 1),
-candidates AS (SELECT segment_key, event_key FROM sole WHERE CAST(segment_key AS INTEGER) % 3 = 0 AND event_key NOT IN (SELECT 'k' || CAST(event_id AS VARCHAR) FROM events WHERE event_type = 'error'))"""
+candidates AS (SELECT segment_key, event_key FROM sole WHERE CAST(segment_key AS BIGINT) % 3 = 0 AND event_key NOT IN (SELECT 'k' || CAST(event_id AS VARCHAR) FROM events WHERE event_type = 'error'))"""
 
 
 def _refs(spark, sf_dir):
-    e = D.table(spark, sf_dir, "events")
-    return e.select((F.col("user_id") % 40).cast("string").alias("segment_key"), F.concat(F.lit("k"), (F.col("event_id") % 4000).cast("string")).alias("event_key")).distinct()
+    """A segment for each user and day, holding the day's events; every fourth event is in the next user's segment too."""
+    users = F.when(F.col("event_id") % 4 == 0, F.array("user_id", F.col("user_id") + 1)).otherwise(F.array("user_id"))
+    e = D.table(spark, sf_dir, "events").withColumn("u", F.explode(users))
+    return e.select((F.col("u") * 1000 + F.dayofyear("ts")).cast("string").alias("segment_key"), F.concat(F.lit("k"), F.col("event_id").cast("string")).alias("event_key")).distinct()
 
 
 def _candidates(spark, sf_dir):
     segments = _refs(spark, sf_dir).select("segment_key").distinct()
     before = segments.select("segment_key", F.lit("h").alias("content_sha256"), F.lit("1").alias("parser_version"))
-    after = segments.select("segment_key", F.lit("h").alias("content_sha256"), F.when(F.col("segment_key").cast("int") % 3 == 0, "2").otherwise("1").alias("parser_version"))
+    after = segments.select("segment_key", F.lit("h").alias("content_sha256"), F.when(F.col("segment_key").cast("bigint") % 3 == 0, "2").otherwise("1").alias("parser_version"))
     adopted = D.table(spark, sf_dir, "events").where("event_type = 'error'").select(F.concat(F.lit("k"), F.col("event_id").cast("string")).alias("event_key"))
     return sync.invalidation_candidates(_refs(spark, sf_dir), before, after, adopted)
 
@@ -138,11 +141,11 @@ def invalidate(spark, sf_dir):
     return sync.invalidate(current, _candidates(spark, sf_dir), nothing)[0]
 
 
-@_query("replace_references", f"""WITH {_REFS} SELECT * FROM refs WHERE CAST(segment_key AS INTEGER) % 3 <> 0
-UNION SELECT segment_key, event_key || 'x' FROM refs WHERE CAST(segment_key AS INTEGER) % 3 = 0""")
+@_query("replace_references", f"""WITH {_REFS} SELECT * FROM refs WHERE CAST(segment_key AS BIGINT) % 3 <> 0
+UNION SELECT segment_key, event_key || 'x' FROM refs WHERE CAST(segment_key AS BIGINT) % 3 = 0""")
 def replace_references(spark, sf_dir):
     refs = _refs(spark, sf_dir)
-    again = refs.where(F.col("segment_key").cast("int") % 3 == 0)
+    again = refs.where(F.col("segment_key").cast("bigint") % 3 == 0)
     return sync.replace_references(refs, again, again.withColumn("event_key", F.concat("event_key", F.lit("x"))))
 
 

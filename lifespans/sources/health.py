@@ -1,6 +1,6 @@
 """Health data points: pages of JSON whose points hold one of many payloads, normalized to base-table rows.
 
-Every scalar is read as text, so that the rules here decide what is valid.  A normalizer returns the table's columns
+Scalars are read as text, numbers and booleans as variants, so that the rules here decide what is valid.  A normalizer returns the table's columns
 and reject_reason; rejected rows keep what could be read.
 """
 
@@ -8,19 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import ntz, provider_date
-from ..functions.values import alias_conflict, alias_value, date_parts, duration_seconds, identity, json_identity, only_payload, point_id, point_id_malformed, reject_if, strict_integer, strict_number, timestamp_text, utc_offset
+from ..functions.values import alias_conflict, alias_value, date_parts, duration_seconds, identity, json_boolean, json_given, json_identity, json_number, only_payload, point_id, point_id_malformed, reject_if, strict_integer, timestamp_text, utc_offset
 
 _DATE = "struct<year:string,month:string,day:string>"
 _CIVIL = f"struct<date:{_DATE}>"
 _INTERVAL = f"struct<startTime:string,endTime:string,startUtcOffset:string,endUtcOffset:string,civilStartTime:{_CIVIL},civilEndTime:{_CIVIL}>"
 _SAMPLE = f"struct<physicalTime:string,utcOffset:string,civilTime:{_CIVIL}>"
 _CHILD = "array<struct<startTime:string,endTime:string,startUtcOffset:string,endUtcOffset:string,type:string>>"
-_STATS = "struct<breathsPerMinute:string,standardDeviation:string,signalToNoise:string>"
+_STATS = "struct<breathsPerMinute:variant,standardDeviation:variant,signalToNoise:variant>"
 
 #: Payload field and its shape, by kind.
 PAYLOADS = {
@@ -28,15 +30,15 @@ PAYLOADS = {
     "active-zone-minutes": ("activeZoneMinutes", f"struct<interval:{_INTERVAL},activeZoneMinutes:string,heartRateZone:string>"),
     "sleep": ("sleep", f"struct<interval:{_INTERVAL},type:string,stages:{_CHILD},shortAwakenings:{_CHILD},outOfBedSegments:{_CHILD},"
               "summary:struct<minutesAsleep:string,minutesAwake:string,minutesInSleepPeriod:string,minutesToFallAsleep:string,minutesAfterWakeUp:string>,"
-              "metadata:struct<mainSleep:string,main:string>>"),
+              "metadata:struct<mainSleep:variant,main:variant>>"),
     "daily-resting-heart-rate": ("dailyRestingHeartRate", f"struct<date:{_DATE},beatsPerMinute:string>"),
-    "daily-heart-rate-variability": ("dailyHeartRateVariability", f"struct<date:{_DATE},averageHeartRateVariabilityMilliseconds:string,"
-                                     "deepSleepRootMeanSquareOfSuccessiveDifferencesMilliseconds:string,nonRemHeartRateBeatsPerMinute:string,entropy:string>"),
-    "daily-respiratory-rate": ("dailyRespiratoryRate", f"struct<date:{_DATE},breathsPerMinute:string>"),
-    "daily-oxygen-saturation": ("dailyOxygenSaturation", f"struct<date:{_DATE},averagePercentage:string,lowerBoundPercentage:string,upperBoundPercentage:string,standardDeviationPercentage:string>"),
-    "daily-sleep-temperature-derivations": ("dailySleepTemperatureDerivations", f"struct<date:{_DATE},nightlyTemperatureCelsius:string,baselineTemperatureCelsius:string,relativeNightlyStddev30dCelsius:string>"),
-    "daily-vo2-max": ("dailyVo2Max", f"struct<date:{_DATE},vo2Max:string,estimated:string,cardioFitnessLevel:string,vo2MaxCovariance:string>"),
-    "heart-rate-variability": ("heartRateVariability", f"struct<sampleTime:{_SAMPLE},rootMeanSquareOfSuccessiveDifferencesMilliseconds:string,standardDeviationMilliseconds:string>"),
+    "daily-heart-rate-variability": ("dailyHeartRateVariability", f"struct<date:{_DATE},averageHeartRateVariabilityMilliseconds:variant,"
+                                     "deepSleepRootMeanSquareOfSuccessiveDifferencesMilliseconds:variant,nonRemHeartRateBeatsPerMinute:string,entropy:variant>"),
+    "daily-respiratory-rate": ("dailyRespiratoryRate", f"struct<date:{_DATE},breathsPerMinute:variant>"),
+    "daily-oxygen-saturation": ("dailyOxygenSaturation", f"struct<date:{_DATE},averagePercentage:variant,lowerBoundPercentage:variant,upperBoundPercentage:variant,standardDeviationPercentage:variant>"),
+    "daily-sleep-temperature-derivations": ("dailySleepTemperatureDerivations", f"struct<date:{_DATE},nightlyTemperatureCelsius:variant,baselineTemperatureCelsius:variant,relativeNightlyStddev30dCelsius:variant>"),
+    "daily-vo2-max": ("dailyVo2Max", f"struct<date:{_DATE},vo2Max:variant,estimated:variant,cardioFitnessLevel:string,vo2MaxCovariance:variant>"),
+    "heart-rate-variability": ("heartRateVariability", f"struct<sampleTime:{_SAMPLE},rootMeanSquareOfSuccessiveDifferencesMilliseconds:variant,standardDeviationMilliseconds:variant>"),
     "respiratory-rate-sleep-summary": ("respiratoryRateSleepSummary", f"struct<sampleTime:{_SAMPLE},fullSleepStats:{_STATS},deepSleepStats:{_STATS},lightSleepStats:{_STATS},remSleepStats:{_STATS}>"),
     "exercise": ("exercise", f"struct<interval:{_INTERVAL},exerciseType:string,displayName:string,activeDuration:string>"),
     "sedentary-period": ("sedentaryPeriod", f"struct<interval:{_INTERVAL}>"),
@@ -44,7 +46,16 @@ PAYLOADS = {
     "time-in-heart-rate-zone": ("timeInHeartRateZone", f"struct<interval:{_INTERVAL},heartRateZoneType:string>"),
 }
 POINT = "struct<name:string,dataPointName:string,heartRate:string," + ",".join(f"{field}:{shape}" for field, shape in PAYLOADS.values()) + ">"
-_ROLLUP = "struct<startTime:string,endTime:string,heartRate:struct<beatsPerMinuteAvg:string,beatsPerMinuteMin:string,beatsPerMinuteMax:string>>"
+#: The other types that a rollup point can hold, by their field.
+ROLLUP_OTHERS = (
+    "steps", "floors", "weight", "altitude", "distance", "bodyFat", "totalCalories", "activeZoneMinutes", "sedentaryPeriod", "runVo2Max",
+    "caloriesInHeartRateZone", "activityLevel", "nutritionLog", "hydrationLog", "timeInHeartRateZone", "activeMinutes", "swimLengthsData",
+    "coreBodyTemperature", "activeEnergyBurned", "bloodGlucose",
+)
+_ROLLUP = (
+    "struct<startTime:string,endTime:string,heartRate:struct<beatsPerMinuteAvg:variant,beatsPerMinuteMin:variant,beatsPerMinuteMax:variant>,"
+    + ",".join(f"{field}:string" for field in ROLLUP_OTHERS) + ">"
+)
 #: Zones and sleep stages that exist; other categories of exercise and zone time pass through.
 AZM_ZONES = ("fat_burn", "cardio", "peak", "heart_rate_zone_unspecified")
 SLEEP_STAGES = ("awake", "light", "deep", "rem", "asleep", "restless", "sleep_stage_type_unspecified")
@@ -57,9 +68,18 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_rollups(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each minute rollup that has a heart rate."""
+    """A row for each minute rollup that has a heart rate or, wrongly, another type's value."""
     pages = spark.read.schema(f"rollupDataPoints array<{_ROLLUP}>").option("multiLine", True).json(path)
-    return pages.select(F.explode("rollupDataPoints").alias("point")).where("point.heartRate IS NOT NULL")
+    return pages.select(F.explode("rollupDataPoints").alias("point")).where(F.col("point.heartRate").isNotNull() | _other_type())
+
+
+def parse_rollups(df: DataFrame, text: str = "body") -> DataFrame:
+    """Minute rollups from a column of JSON texts, one each; kept and skipped as ``read_rollups`` does."""
+    return df.withColumn("point", F.explode(F.array(F.from_json(text, _ROLLUP)))).where(F.col("point.heartRate").isNotNull() | _other_type())
+
+
+def _other_type() -> Column:
+    return F.coalesce(*[F.col(f"point.{field}") for field in ROLLUP_OTHERS]).isNotNull()
 
 
 def parse_points(df: DataFrame, text: str = "body") -> DataFrame:
@@ -72,7 +92,10 @@ def parse_points(df: DataFrame, text: str = "body") -> DataFrame:
 
 @dataclass
 class _Reading:
-    """What a kind reads from a point: times, columns, and rules that reject it."""
+    """What a kind reads from a point: times, columns, and rules that reject it.
+
+    Rules and identity parts name what was read (``_read``), so that a value is parsed once, not once for every rule.
+    """
 
     times: dict[str, Column]
     columns: dict[str, Column]
@@ -80,6 +103,10 @@ class _Reading:
     parts: list[Column]
 
 
+def _read(name: str) -> Column:
+    return F.col(f"_r_{name}")
+
+
 def _text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
@@ -97,53 +124,54 @@ def _interval(p: Column, dated_by: str = "start") -> _Reading:
     day = provider_date(start, o1) if dated_by == "start" else provider_date(end, o2)
     given = _civil_date(civil)
     rules = [
-        ("time_malformed", start.isNull() | end.isNull()), ("interval_not_positive", end <= start), ("offset_malformed", o1.isNull() | o2.isNull()),
-        ("civil_date_differs", civil.isNotNull() & ~given.eqNullSafe(day)),
+        ("time_malformed", _read("start_at").isNull() | _read("end_at").isNull()), ("interval_not_positive", _read("end_at") <= _read("start_at")),
+        ("offset_malformed", _read("offset_seconds").isNull() | _read("end_offset_seconds").isNull()), ("civil_date_differs", civil.isNotNull() & ~given.eqNullSafe(_read("source_date"))),
     ]
-    return _Reading({"start_at": start, "end_at": end, "source_date": day, "offset_seconds": o1, "end_offset_seconds": o2}, {}, rules, [_text(start), _text(end)])
+    times = {"start_at": start, "end_at": end, "source_date": day, "offset_seconds": o1, "end_offset_seconds": o2}
+    return _Reading(times, {}, rules, [_text(_read("start_at")), _text(_read("end_at"))])
 
 
 def _sample(p: Column) -> _Reading:
     s = p["sampleTime"]
     at, offset = timestamp_text(s["physicalTime"]), utc_offset(s["utcOffset"])
     day, given = provider_date(at, offset), _civil_date(s["civilTime"])
-    rules = [("time_malformed", at.isNull()), ("offset_malformed", offset.isNull()), ("civil_date_differs", s["civilTime"].isNotNull() & ~given.eqNullSafe(day))]
-    return _Reading({"sample_at": at, "source_date": day, "offset_seconds": offset}, {}, rules, [_text(at)])
+    rules = [("time_malformed", _read("sample_at").isNull()), ("offset_malformed", _read("offset_seconds").isNull()), ("civil_date_differs", s["civilTime"].isNotNull() & ~given.eqNullSafe(_read("source_date")))]
+    return _Reading({"sample_at": at, "source_date": day, "offset_seconds": offset}, {}, rules, [_text(_read("sample_at"))])
 
 
 def _daily(p: Column) -> _Reading:
     day = date_parts(p["date"]["year"], p["date"]["month"], p["date"]["day"])
-    return _Reading({"source_date": day}, {}, [("date_malformed", day.isNull())], [day.cast("string")])
+    return _Reading({"source_date": day}, {}, [("date_malformed", _read("source_date").isNull())], [_read("source_date").cast("string")])
 
 
-def _take(r: _Reading, name: str, raw: Column, value: Column, required: bool = False, default: str | None = None) -> _Reading:
+def _take(r: _Reading, name: str, given: Column, value: Column, required: bool = False) -> _Reading:
     """Add a column; a given value that does not parse rejects the row, and a missing one if it is required."""
     r.columns[name] = value
-    r.rules.append((f"{name}_invalid", raw.isNotNull() & value.isNull() if not required else value.isNull()))
+    r.rules.append((f"{name}_invalid", _read(name).isNull() if required else given & _read(name).isNull()))
     return r
 
 
 def _integers(r: _Reading, p: Column, names: dict[str, str], least=0, most=2**63 - 1, required=False, kind="double") -> _Reading:
     for name, field in names.items():
-        _take(r, name, p[field], strict_integer(p[field], least, most).cast(kind), required)
+        _take(r, name, p[field].isNotNull(), strict_integer(p[field], least, most).cast(kind), required)
     return r
 
 
 def _numbers(r: _Reading, p: Column, names: dict[str, str], least=None, most=None, required: tuple[str, ...] = ()) -> _Reading:
     for name, field in names.items():
-        _take(r, name, p[field], strict_number(p[field], least, most), name in required)
+        _take(r, name, json_given(p[field]), json_number(p[field], least, most), name in required)
     return r
 
 
 def _steps(p: Column) -> _Reading:
     raw = F.coalesce(p["count"], F.lit("0"))  # an observed zero comes without a count
-    return _take(_interval(p), "steps", raw, strict_integer(raw, 0, 1_000_000).cast("double"), True)
+    return _take(_interval(p), "steps", raw.isNotNull(), strict_integer(raw, 0, 1_000_000).cast("double"), True)
 
 
 def _active_zone(p: Column) -> _Reading:
     r = _integers(_interval(p), p, {"active_zone_minutes": "activeZoneMinutes"}, required=True)
     zone = F.lower(p["heartRateZone"])
-    return _take(r, "category", p["heartRateZone"], F.when(zone.isin(*AZM_ZONES), zone), True)
+    return _take(r, "category", zone.isNotNull(), F.when(zone.isin(*AZM_ZONES), zone), True)
 
 
 def _sleep(p: Column) -> _Reading:
@@ -152,9 +180,10 @@ def _sleep(p: Column) -> _Reading:
     r.columns["sleep_type"] = F.lower(p["type"])
     _integers(r, s, {"sleep_minutes": "minutesAsleep", "awake_minutes": "minutesAwake", "sleep_period_minutes": "minutesInSleepPeriod",
                      "sleep_latency_minutes": "minutesToFallAsleep", "after_wake_minutes": "minutesAfterWakeUp"})
-    main = alias_value(m["mainSleep"], m["main"])
-    _take(r, "is_main_sleep", main, F.when(main.isin("true", "false"), main == "true"))
-    r.rules.append(("main_conflict", alias_conflict(m["mainSleep"], m["main"])))
+    names = [m["mainSleep"], m["main"]]
+    r.columns["is_main_sleep"] = F.coalesce(*[json_boolean(x) for x in names])
+    r.rules.append(("is_main_sleep_invalid", reduce(or_, [json_given(x) & json_boolean(x).isNull() for x in names])))
+    r.rules.append(("main_conflict", alias_conflict(*[json_boolean(x) for x in names])))
     r.rules.append(("stages_overlap", _overlap(p["stages"])))
     return r
 
@@ -174,7 +203,7 @@ def _daily_hrv(p: Column) -> _Reading:
     r = _numbers(_daily(p), p, {"hrv_rmssd_ms": "averageHeartRateVariabilityMilliseconds", "deep_sleep_hrv_rmssd_ms": "deepSleepRootMeanSquareOfSuccessiveDifferencesMilliseconds",
                                 "hrv_entropy": "entropy"}, 0)
     _integers(r, p, {"non_rem_heart_rate_bpm": "nonRemHeartRateBeatsPerMinute"}, kind="bigint")
-    r.rules.append(("hrv_empty", F.coalesce(*[c.cast("double") for c in r.columns.values()]).isNull()))
+    r.rules.append(("hrv_empty", F.coalesce(*[_read(c).cast("double") for c in r.columns]).isNull()))
     return r
 
 
@@ -196,14 +225,14 @@ def _temperature(p: Column) -> _Reading:
 
 def _vo2(p: Column) -> _Reading:
     r = _numbers(_daily(p), p, {"vo2_max_ml_kg_min": "vo2Max"}, 0, 100, ("vo2_max_ml_kg_min",))
-    _take(r, "vo2_max_estimated", p["estimated"], F.when(p["estimated"].isin("true", "false"), p["estimated"] == "true"))
+    _take(r, "vo2_max_estimated", json_given(p["estimated"]), json_boolean(p["estimated"]))
     r.columns["cardio_fitness_level"] = p["cardioFitnessLevel"]
     return _numbers(r, p, {"vo2_max_covariance": "vo2MaxCovariance"}, 0)
 
 
 def _hrv_sample(p: Column) -> _Reading:
     r = _numbers(_sample(p), p, {"rmssd_ms": "rootMeanSquareOfSuccessiveDifferencesMilliseconds", "sdnn_ms": "standardDeviationMilliseconds"}, 0)
-    r.rules.append(("hrv_empty", F.coalesce(*r.columns.values()).isNull()))
+    r.rules.append(("hrv_empty", F.coalesce(*[_read(c) for c in r.columns]).isNull()))
     return r
 
 
@@ -214,7 +243,7 @@ def _respiratory_summary(p: Column) -> _Reading:
         breaths = f"{stage}_breaths_per_minute"
         _numbers(r, s, {breaths: "breathsPerMinute", f"{stage}_standard_deviation": "standardDeviation"}, 0)
         _numbers(r, s, {f"{stage}_signal_to_noise": "signalToNoise"})
-        r.rules.append((f"{breaths}_missing", r.columns[breaths].isNull() & (s.isNotNull() if stage != "full" else F.lit(True))))
+        r.rules.append((f"{breaths}_missing", _read(breaths).isNull() & (s.isNotNull() if stage != "full" else F.lit(True))))
     return r
 
 
@@ -222,17 +251,17 @@ def _exercise(p: Column) -> _Reading:
     r = _interval(p)
     r.columns |= {"exercise_type": p["exerciseType"], "exercise_name": p["displayName"]}
     r.rules.append(("exercise_unnamed", p["exerciseType"].isNull() | p["displayName"].isNull()))
-    return _take(r, "active_seconds", p["activeDuration"], duration_seconds(p["activeDuration"]))
+    return _take(r, "active_seconds", p["activeDuration"].isNotNull(), duration_seconds(p["activeDuration"]))
 
 
 def _distance(p: Column) -> _Reading:
     raw = F.coalesce(p["millimeters"], F.lit("0"))
-    return _take(_interval(p), "distance_meters", raw, strict_integer(raw, 0, 1_000_000_000) / 1000, True)
+    return _take(_interval(p), "distance_meters", raw.isNotNull(), strict_integer(raw, 0, 1_000_000_000) / 1000, True)
 
 
 def _zone_time(p: Column) -> _Reading:
-    r = _take(_interval(p), "zone", p["heartRateZoneType"], p["heartRateZoneType"], True)
-    r.parts.append(F.coalesce(p["heartRateZoneType"], F.lit("")))
+    r = _take(_interval(p), "zone", p["heartRateZoneType"].isNotNull(), p["heartRateZoneType"], True)
+    r.parts.append(F.coalesce(_read("zone"), F.lit("")))
     return r
 
 
@@ -268,16 +297,17 @@ def normalize(points: DataFrame, kind: str, subject: str = "owner") -> DataFrame
     payload = point[field]
     r = reader(payload)
     name = alias_value(point["dataPointName"], point["name"])
-    given = point_id(name, kind)
+    given = _read("given")
     stem = kind == "respiratory-rate-sleep-summary"  # such summaries can come with their collection's name alone
     rules = [
         ("payload_missing", payload.isNull()), ("payload_conflict", ~only_payload(*[point[f] for f, _ in PAYLOADS.values()], point["heartRate"])),
         ("name_conflict", alias_conflict(point["dataPointName"], point["name"])), ("id_malformed", point_id_malformed(name, kind, stem)), *([("id_missing", given.isNull())] if named else []), *r.rules,
     ]
-    out = points.select("*", *[c.alias(n) for n, c in (r.times | r.columns).items()], reject_if(*rules).alias("reject_reason"))
-    if key:
-        out = out.select(F.coalesce(given, identity(F.lit(subject), F.lit(kind), *r.parts)).alias(key), *[F.col(c) for c in out.columns])
-    return out.drop("point")
+    values = r.times | r.columns
+    read = points.select("*", *[c.alias(f"_r_{n}") for n, c in (values | {"given": point_id(name, kind)}).items()])
+    ids = [F.coalesce(given, identity(F.lit(subject), F.lit(kind), *r.parts)).alias(key)] if key else []
+    others = [F.col(c) for c in points.columns if c != "point"]
+    return read.select(*ids, *others, *[_read(n).alias(n) for n in values], reject_if(*rules).alias("reject_reason"))
 
 
 def normalize_sleep_details(points: DataFrame) -> DataFrame:
@@ -313,9 +343,9 @@ def normalize_minutes(points: DataFrame, subject: str = "owner", version: str =
     """Rows of the minute heart-rate table from rollup points, with reject_reason; a minute must be whole."""
     start, end = timestamp_text(F.col("point.startTime")), timestamp_text(F.col("point.endTime"))
     h = F.col("point.heartRate")
-    mean, low, high = (strict_number(h[f"beatsPerMinute{x}"], 0) for x in ("Avg", "Min", "Max"))
+    mean, low, high = (json_number(h[f"beatsPerMinute{x}"], 0) for x in ("Avg", "Min", "Max"))
     reason = reject_if(
-        ("time_malformed", start.isNull() | end.isNull()), ("minute_misaligned", (F.date_trunc("minute", start) != start) | (F.timestamp_diff("MICROSECOND", start, end) != 60_000_000)),
+        ("payload_conflict", _other_type()), ("time_malformed", start.isNull() | end.isNull()), ("minute_misaligned", (F.date_trunc("minute", start) != start) | (F.timestamp_diff("MICROSECOND", start, end) != 60_000_000)),
         ("value_malformed", mean.isNull() | low.isNull() | high.isNull()), ("order", (low > mean) | (mean > high)),
     )
     return points.select(json_identity(F.lit(subject), F.lit("heart-rate"), _text(start)).alias("heart_rate_minute_id"), ntz(start).alias("start_at"), mean.alias("mean_bpm"), low.alias("min_bpm"),

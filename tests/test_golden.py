@@ -11,11 +11,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from lifespans.functions import time as T
 from lifespans.functions import values as V
 from lifespans.operators import intervals, pairing, quality, rollup, sync
 from lifespans.plans import marts
 from lifespans.schemas import COLUMNS, KEYS, schema
 from lifespans.sources import health, location, tables
+from lifespans.sources import usage as usage_source
 from lifespans.streaming import files, notify
 
 EVENT = "event_key string, device_key string, bundle_id string, event_at timestamp, state string, is_valid boolean"
@@ -168,7 +170,12 @@ def test_monotonic_time_and_consecutive_duplicates(spark):
 def test_strict_values(spark):
     df = spark.createDataFrame([("12",), ("1.5",), ("-3",), ("x",), (None,), ("99999999999999999999",), ("NaN",)], "t string")
     assert [r[0] for r in df.select(V.strict_integer(F.col("t"), 0)).collect()] == [12, None, None, None, None, None, None]
-    assert [r[0] for r in df.select(V.strict_number(F.col("t"))).collect()] == [12.0, 1.5, -3.0, None, None, 1e20, None]
+    texts = ["12", "1.5", "-3e2", '"1.5"', "true", '"true"', "null", "1e400", "[1]", "123456789012345678901234567890"]
+    typed = spark.createDataFrame([(t,) for t in texts], "t string").select(F.parse_json("t").alias("v"))
+    got = typed.select(V.json_number(F.col("v")), V.json_boolean(F.col("v")), V.json_given(F.col("v")), V.json_number(F.col("v"), 0, 12)).collect()
+    assert [r[0] for r in got] == [12.0, 1.5, -300.0, None, None, None, None, None, None, 123456789012345678901234567890.0]
+    assert [r[1] for r in got] == [None, None, None, None, True, None, None, None, None, None] and [r[2] for r in got] == [True] * 6 + [False] + [True] * 3
+    assert [r[3] for r in got][:3] == [12.0, 1.5, None]
     stamps = spark.createDataFrame([("2026-01-01T00:00:00.123456Z",), ("2026-01-01T00:00:00.1234567Z",), ("2026-01-01T09:00:00+09:00",), ("2026-13-01T00:00:00Z",)], "t string")
     assert [r[0] for r in stamps.select(V.timestamp_text(F.col("t"))).collect()] == [at("2026-01-01 00:00:00.123456"), None, at("2026-01-01 00:00:00"), None]
     objects = spark.createDataFrame([('{"a":1}',), ('{"a":1,"a":2}',), ("[1]",), ('{"a":NaN}',), (None,)], "t string")
@@ -354,3 +361,68 @@ def test_usage_stream_does_not_depend_on_batches(spark, tmp_path):
         last = files.last_batch(spark, f"{root}/cp")
         out.append(sorted(map(tuple, spark.read.parquet(f"{root}/events/batch={last}").collect())))
     assert out[0] == out[1] == sorted(map(tuple, sync.adopt_records(df).withColumn("is_valid", F.lit(True)).collect()))
+
+
+def test_pages_of_points_and_rollups(spark, tmp_path):
+    """Points of every page are read; rollups of another type are rejected, those without any value skipped."""
+    (tmp_path / "points").mkdir()
+    (tmp_path / "rollups").mkdir()
+    point = '{"name": "users/u/dataTypes/daily-vo2-max/dataPoints/%d", "dailyVo2Max": {"date": {"year": 2026, "month": "1", "day": 2}, "vo2Max": %s, "estimated": %s}}'
+    pages = [[point % (1, "41.5", "true"), point % (2, '"41.5"', "false")], [point % (3, "40", '"true"'), point % (4, "101", "false"), point % (5, "40", "null")]]
+    for k, page in enumerate(pages):
+        (tmp_path / "points" / f"{k}.json").write_text('{"dataPoints": [\n%s], "nextPageToken": ""}' % ",\n".join(page))
+    got = health.normalize(health.read_points(spark, str(tmp_path / "points")), "daily-vo2-max").orderBy("page", "vo2_max_ml_kg_min").collect()
+    assert sorted((r.page[-6], str(r.vo2_max_ml_kg_min), str(r.reject_reason)) for r in got) == [
+        ("0", "41.5", "None"), ("0", "None", "vo2_max_ml_kg_min_invalid"), ("1", "40.0", "None"), ("1", "40.0", "vo2_max_estimated_invalid"), ("1", "None", "vo2_max_ml_kg_min_invalid")]
+    rollup_ = '{"startTime": "2026-01-01T00:0%d:00Z", "endTime": "2026-01-01T00:0%d:00Z"%s}'
+    rate = ', "heartRate": {"beatsPerMinuteAvg": %s, "beatsPerMinuteMin": 50, "beatsPerMinuteMax": 70.5}'
+    points = [(1, 2, rate % "60"), (2, 3, ""), (3, 4, rate % "60" + ', "steps": {"countSum": "4"}'), (4, 5, ', "floors": {}'), (5, 6, rate % '"60"'), (6, 7, rate % "80")]
+    (tmp_path / "rollups" / "0.json").write_text('{"rollupDataPoints": [%s]}' % ",".join(rollup_ % p for p in points))
+    got = health.normalize_minutes(health.read_rollups(spark, str(tmp_path / "rollups"))).orderBy("start_at").collect()
+    assert [(r.start_at.minute, r.reject_reason) for r in got] == [(1, None), (3, "payload_conflict"), (4, "payload_conflict"), (5, "value_malformed"), (6, "order")]
+
+
+def test_usage_records_are_read_and_applied(spark, tmp_path):
+    """Decoded records from Parquet, changed observations, and a batch of records put into the event table."""
+    columns = [c.split()[0] for c in usage_source.RECORD.split(", ")]
+    base = dict.fromkeys(columns) | {"device_key": "d", "segment_key": "s", "record_state": "WRITTEN", "bundle_id": "app", "in_foreground": True, "crc_passed": True, "record_kind": "event"}
+    rows = [base | {"event_key": k, "record_offset": o, "record_metadata_offset": m, "event_at": at("2026-01-01 00:00:00")} for k, o, m in (("a", 1, 1), ("b", 2, 2))]
+    spark.createDataFrame([tuple(r[c] for c in columns) for r in rows], usage_source.RECORD).write.parquet(str(tmp_path / "r"))
+    records = usage_source.read_usage_records(spark, str(tmp_path / "r"))
+    assert records.columns == columns and records.count() == 2
+    known = spark.createDataFrame([("a", "d", "app", at("2026-01-01 00:00:00"), "end", False), ("z", "d", "app", at("2026-01-01 00:00:00"), "end", True)], EVENT)
+    after = usage_source.apply_records(known, records, spark.createDataFrame([("z",)], "event_key string"))
+    assert sorted((r.event_key, r.state, r.is_valid) for r in after.collect()) == [("a", "start", True), ("b", "start", True), ("z", "end", False)]
+    states = spark.createDataFrame([("s", at(f"2026-01-0{n} 00:00:00"), h, "1") for n, h in ((1, "x"), (2, "x"), (3, "y"), (4, "x"))], "segment_key string, observed_at timestamp, content_sha256 string, parser_version string")
+    assert [r.observed_at.day for r in usage_source.changed_observations(states).orderBy("observed_at").collect()] == [1, 3, 4]
+
+
+def test_allowed_keys_must_match(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, n int")
+    assert [r.n for r in rollup.allowed(df, spark.createDataFrame([("a",), ("a",), ("c",)], "k string"), "k").collect()] == [1]
+    with pytest.raises(ValueError, match="allowed"):
+        rollup.allowed(df, spark.createDataFrame([("c",)], "k string"), "k", required=True)
+
+
+def test_event_identity_times_and_digests(spark):
+    parts = [F.lit(x) for x in ("d", "s", "app")] + [F.lit(800000000.5).cast("double"), F.lit("in"), F.lit(1)]
+    row = spark.range(1).select(V.event_identity(*parts), T.apple_time(F.lit(0.25)), T.apple_time(F.lit(-978307200.0)),
+                                *[V.interval_digest(F.array(*[F.struct(F.lit(x).alias("a"), F.lit(x + 1).alias("z")) for x in order])) for order in ((1, 5), (5, 1), (1, 6))]).first()
+    assert row[0] == hashlib.sha256("\x1f".join(["d", "s", "app", "8.000000005E8", "in", "1"]).encode()).hexdigest()
+    assert row[1] == at("2001-01-01 00:00:00.250000") and row[2] == at("1970-01-01 00:00:00")
+    assert row[3] == row[4] != row[5]
+
+
+def test_health_and_state_rules(spark):
+    names = [c.split()[0] for c in COLUMNS["health_daily"].replace("!", "").split(", ")]
+    day = dt.date(2026, 1, 1)
+    good = {"spo2_average_percent": 97.0, "vo2_max_ml_kg_min": 40.0, "nightly_skin_temperature_celsius": -0.5}
+    cases = [good, good | {"spo2_lower_bound_percent": 100.5}, good | {"vo2_max_ml_kg_min": 101.0}, good | {"hrv_rmssd_ms": -1.0}, good | {"respiratory_rate_breaths_per_minute": float("nan")}]
+    rows = [tuple({"source_date": day + dt.timedelta(n)} .get(c, case.get(c)) for c in names) for n, case in enumerate(cases)]
+    plain = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema("health_daily").fields)
+    got = {(r.source_date.day, r.rule) for r in quality.check_rows(spark.createDataFrame(rows, plain), quality.health_rules(), "source_date").collect()}
+    assert got == {(2, "spo2_lower_bound_percent_range"), (3, "vo2_max_range"), (4, "hrv_rmssd_ms_invalid"), (5, "respiratory_rate_breaths_per_minute_invalid")}
+    hrv = spark.createDataFrame([("a", 1.0, None), ("b", None, None), ("c", None, -2.0)], "id string, rmssd_ms double, sdnn_ms double")
+    assert {tuple(r) for r in quality.check_rows(hrv, quality.hrv_rules(), "id").collect()} == {("b", "hrv_empty"), ("c", "sdnn_ms_invalid")}
+    states = spark.createDataFrame([("a", "start"), ("b", "on"), ("c", None)], "id string, state string")
+    assert {tuple(r) for r in quality.check_rows(states, quality.state_rules(), "id").collect()} == {("b", "state_unknown"), ("c", "state_unknown")}
