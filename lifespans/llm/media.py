@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import Scratch, bounded_batches, open_fs, write_file
+from .storage import FileWriter, Scratch, bounded_batches, open_fs
 
 # Fixed values of the PNG format and of the layout used here: RGB rows of 64 pixels, so 192 samples of 8 bits a row.
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
@@ -72,23 +72,26 @@ def decode_png(media: bytes) -> bytes:
 def store(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write every text of ``docs`` to tar shards and return its pointer: doc_id, digest, shard, offset, length.
 
-    Texts never shuffle.  A task writes its own shards (deterministic names, complete or absent) and stores equal
-    texts of a shard once; across shards, all rows of a digest point to the first copy.  Null texts are empty ones.
+    Texts never shuffle.  A task writes its own shards (deterministic names, complete or absent), each payload as soon as
+    it is made, and stores equal texts of a shard once; across shards, all rows of a digest point to the first copy.  A
+    task holds one payload and the digests of its open shard, of which each stands for 1 KB of the shard or more.  Null
+    texts are empty ones.
     """
     bounded_batches(docs.sparkSession)
     folder = scratch.path("shards")
 
     def per_partition(batches):
         task = TaskContext.get().partitionId()
-        state = {"shard": 0, "at": 0, "known": {}, "pending": []}
+        state = {"shard": 0, "known": {}, "writer": None}
 
         def name() -> str:
             return f"{folder}/shard-{task:06d}-{state['shard']:05d}.tar"
 
         def close():
-            if state["pending"]:
-                write_file(name(), [*state["pending"], b"\0" * 1024])
-            state.update(shard=state["shard"] + 1, at=0, known={}, pending=[])
+            if state["writer"]:
+                state["writer"].write(b"\0" * 1024)
+                state["writer"].close()
+            state.update(shard=state["shard"] + 1, known={}, writer=None)
 
         for batch in batches:
             rows = []
@@ -96,15 +99,15 @@ def store(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
                 media = encode_png(text or b"")
                 digest = hashlib.sha256(media).digest()
                 if digest not in state["known"]:
-                    if state["at"] and state["at"] + len(media) > shard_bytes:
+                    if state["writer"] and state["writer"].size + len(media) > shard_bytes:
                         close()
+                    if not state["writer"]:
+                        state["writer"] = FileWriter(name())
                     info = tarfile.TarInfo(f"{digest.hex()}.png")
                     info.size = len(media)
                     head = info.tobuf(tarfile.GNU_FORMAT)
-                    state["known"][digest] = (state["at"] + len(head), len(media))
-                    piece = head + media + b"\0" * (-len(media) % 512)
-                    state["pending"].append(piece)
-                    state["at"] += len(piece)
+                    state["known"][digest] = (state["writer"].size + len(head), len(media))
+                    state["writer"].write(head + media + b"\0" * (-len(media) % 512))
                 rows.append((key, digest, name(), *state["known"][digest]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, (pa.int64(), pa.binary(), pa.string(), pa.int64(), pa.int64()))],

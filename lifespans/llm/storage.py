@@ -73,17 +73,32 @@ def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
-def write_file(uri: str, chunks) -> int:
-    """Write the byte chunks to a file that appears under its name only when complete; the bytes written.
+class FileWriter:
+    """A file that appears under its name only when it is closed; what is written goes out as it comes.
 
     A task that runs again writes the same bytes under the same name, so retries and speculation are harmless.
     """
-    system, path = open_fs(uri)
-    system.create_dir(path.rpartition("/")[0], recursive=True)
-    part, n = f"{path}.{uuid.uuid4().hex}.tmp", 0
-    with system.open_output_stream(part) as out:
-        for chunk in chunks:
-            out.write(chunk)
-            n += len(chunk)
-    system.move(part, path)
-    return n
+
+    def __init__(self, uri: str):
+        self.system, self.path = open_fs(uri)
+        self.system.create_dir(self.path.rpartition("/")[0], recursive=True)
+        self.part, self.size = f"{self.path}.{uuid.uuid4().hex}.tmp", 0
+        self.out = self.system.open_output_stream(self.part)
+
+    def write(self, chunk: bytes) -> None:
+        self.out.write(chunk)
+        self.size += len(chunk)
+
+    def close(self) -> int:
+        """Give the file its name; the bytes written."""
+        self.out.close()
+        self.system.move(self.part, self.path)
+        return self.size
+
+
+def write_file(uri: str, chunks) -> int:
+    """Write the byte chunks to a file that appears under its name only when complete; the bytes written."""
+    writer = FileWriter(uri)
+    for chunk in chunks:
+        writer.write(chunk)
+    return writer.close()
