@@ -21,6 +21,7 @@ SLOTS = (WORDS + RARE) // CLASSES  # tokens of a class
 MORE = 1 << 17  # words after the first WORDS whose shares of their buckets are sent to the tasks
 OFFSETS = [d for d in range(-SIDE, SIDE + 1) if d]
 BLOCKS = 64
+ONES, TINY = np.ones(max(CLASSES, SLOTS), np.float32), np.float32(1e-30)
 
 
 def segments(data: bytes):
@@ -130,14 +131,19 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary.build(top, {r["b"]: r["n"] for r in rare}) if rare else words
 
 
-def _exponentials(logits: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(log-probabilities of the column ``own`` of each row, row sums); ``logits`` then holds its exponentials."""
+def _softmax(logits: np.ndarray, own: tuple[np.ndarray, np.ndarray], chosen: np.ndarray, total: np.ndarray, slopes: bool) -> None:
+    """Fill ``chosen`` with each row's logit at ``own`` (row, column) and ``total`` with its sum of exponentials.
+
+    With ``slopes`` the loss's slopes then stand in ``logits``: probabilities, less one at ``own``.
+    """
     if len(logits) and logits.max() > 60:  # beyond float32's range only after a shift
         logits -= logits.max(axis=1, keepdims=True)
-    mine = logits[np.arange(len(own)), own]
+    chosen[:] = logits[own]
     np.exp(logits, out=logits)
-    total = np.maximum(logits @ np.ones(logits.shape[1], np.float32), np.float32(1e-30))
-    return mine - np.log(total), total
+    np.matmul(logits, ONES[: logits.shape[1]], out=total)
+    if slopes:
+        logits /= np.maximum(total, TINY)[:, None]
+        logits[own] -= 1
 
 
 @dataclass
@@ -180,13 +186,13 @@ class Network:
         ends = np.cumsum([p.size for p in parts])
         return Network(*(flat[z - p.size : z].reshape(p.shape).astype(np.float32) for p, z in zip(parts, ends)))
 
-    def hidden(self, stream: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The summed embeddings of both sides, and a last column of ones for the biases."""
-        out = np.ones((len(at), WIDTH + 1), np.float32)
-        h = out[:, :-1]
-        h[:] = self.embedding[0][stream[at + OFFSETS[0]]]
-        for k, d in enumerate(OFFSETS[1:], 1):
-            h += self.embedding[k][stream[at + d]]
+    def hidden(self, around: list[np.ndarray]) -> np.ndarray:
+        """The summed embeddings of the ids ``around`` (an array for each offset), and a last column of ones for the biases."""
+        out = np.ones((len(around[0]), WIDTH + 1), np.float32)
+        total = self.embedding[0].take(around[0], axis=0)
+        for k, near in enumerate(around[1:], 1):
+            total += self.embedding[k].take(near, axis=0)
+        out[:, :-1] = total
         return out
 
     def log_probabilities(self, stream: np.ndarray, at: np.ndarray, words: Vocabulary, rate: float = 0.0) -> np.ndarray:
@@ -194,38 +200,36 @@ class Network:
         group = words.group[stream[at]]
         order = np.argsort(group, kind="stable")  # a class's positions together
         at, group = at[order], group[order]
-        slot = words.slot[stream[at]]
-        h = self.hidden(stream, at)
+        slot, row = words.slot[stream[at]], np.arange(len(at))
+        around = [stream[at + d].astype(np.intp) for d in OFFSETS]
+        h, rate = self.hidden(around), np.float32(rate)
+        chosen, total = np.empty((2, len(at)), np.float32), np.empty((2, len(at)), np.float32)  # class, word
         p = h @ self.to_class
-        logs, total = _exponentials(p, group)
+        _softmax(p, (row, group), chosen[0], total[0], rate > 0)
         if rate:
-            p[np.arange(len(at)), group] -= total
-            back = (p @ self.to_class[:-1].T) / total[:, None]
-            slope = (h[:, :-1] / total[:, None]).T @ p
+            back, slopes = p @ self.to_class[:-1].T, np.zeros_like(self.squares_word)
+            slope = h[:, :-1].T @ p
             self.squares_class += slope * slope
             self.to_class[:-1] -= rate * slope / np.sqrt(self.squares_class)
         edges = np.flatnonzero(np.diff(group)) + 1
         for a, z in zip([0, *edges.tolist()], [*edges.tolist(), len(at)] if len(at) else []):
-            c, mine = group[a], h[a:z]
-            p = mine @ self.to_word[c]
-            some, total = _exponentials(p, slot[a:z])
-            logs[a:z] += some
+            c = group[a]
+            p = h[a:z] @ self.to_word[c]
+            _softmax(p, (row[: z - a], slot[a:z]), chosen[1, a:z], total[1, a:z], rate > 0)
             if rate:
-                p[np.arange(z - a), slot[a:z]] -= total
-                back[a:z] += (p @ self.to_word[c, :-1].T) / total[:, None]
-                slope = (mine[:, :-1] / total[:, None]).T @ p
-                self.squares_word[c] += slope * slope
-                self.to_word[c, :-1] -= rate * slope / np.sqrt(self.squares_word[c])
+                back[a:z] += p @ self.to_word[c, :-1].T
+                np.matmul(h[a:z, :-1].T, p, out=slopes[c])
+        logs = (chosen - np.log(np.maximum(total, TINY))).sum(axis=0)
         if rate:
+            self.squares_word += slopes * slopes
+            self.to_word[:, :-1] -= rate * slopes / np.sqrt(self.squares_word)
             square = np.einsum("ij,ij->i", back, back) / np.float32(WIDTH)
-            for k, d in enumerate(OFFSETS):
-                near = stream[at + d]
-                by = np.argsort(near, kind="stable")
-                near = near[by]
-                first = np.r_[0, np.flatnonzero(near[1:] != near[:-1]) + 1]
-                ids = near[first]
-                self.squares_embedding[k, ids] += np.add.reduceat(square[by], first)
-                self.embedding[k, ids] -= np.add.reduceat(back[by], first, axis=0) * (rate / np.sqrt(self.squares_embedding[k, ids]))[:, None]
+            columns = back.T.astype(np.float64, order="C")
+            for k, near in enumerate(around):
+                ids = np.flatnonzero(np.bincount(near))
+                self.squares_embedding[k, ids] += np.bincount(near, square)[ids].astype(np.float32)
+                slope = np.array([np.bincount(near, c)[ids] for c in columns], np.float32).T
+                self.embedding[k, ids] -= slope * (rate / np.sqrt(self.squares_embedding[k, ids]))[:, None]
         out = np.empty(len(at), np.float32)
         out[order] = logs
         return out

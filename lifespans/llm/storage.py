@@ -33,12 +33,14 @@ def shared_base(spark: SparkSession) -> str:
 def bounded_batches(spark: SparkSession, megabytes: int = 8) -> None:
     """Bound the Arrow batches sent to Python tasks by bytes, so that very long texts don't pile up in one batch.
 
-    Tasks also get the folder that the driver imported this package from on their path, whatever their working folder.
+    Tasks also get the folder that the driver imported this package from on their path, whatever their working folder,
+    and one thread for numpy's products each: a task has one core, and threads that wait for one another would take more.
     """
     home, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if home not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, home])
+    environment.setdefault("OPENBLAS_NUM_THREADS", "1")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
 
