@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -9,10 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import bounded_batches
+from .storage import Scratch, bounded_batches, open_fs, write_file
 from .textual import SEGMENT, spaced_words
 
 WINDOW = 10
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 @dataclass
@@ -37,22 +40,50 @@ class Block:
         return cls(vocab, np.array(stream, np.int32), np.array(item, np.int32), np.array(need, np.int32), [i for i, _ in items])
 
 
-def benchmark_blocks(items: DataFrame, id_col: str, text_col: str, window: int, block_words: int):
-    """Blocks of at most ``block_words`` words (or one longer item), streamed through the driver one after another."""
-    held, n = [], 0
-    # a null text has no words; repeated rows of an item give the same windows twice and count once
-    rows = items.select(F.col(id_col), F.col(text_col).cast("binary")).where(F.col(text_col).isNotNull())
-    for key, text in rows.toLocalIterator(prefetchPartitions=False):
-        words = spaced_words(bytes(text)).split()
-        if not words:
-            continue
-        if held and n + len(words) > block_words:
-            yield Block.build(held, window)
-            held, n = [], 0
-        held.append((key, words))
-        n += len(words)
-    if held:
-        yield Block.build(held, window)
+def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_words: int) -> list[str]:
+    """Files of the benchmark's blocks in the shared folder, built by tasks; the driver gets their names.
+
+    Items fall into blocks by a hash, so many that a block holds half of ``block_words`` words on average, or into one
+    block if all fit.  A null text has no words; repeated rows of an item give the same windows twice and count once.
+    """
+    spark, scratch = benchmark.sparkSession, Scratch(benchmark.sparkSession, "benchmark")
+    items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).cast("string").alias("text")).where("text is not null").distinct()
+    total = items.agg(F.sum(F.regexp_count("text", F.lit(WORD)))).first()[0] or 0
+    if not total:
+        return []
+    n = 1 if total <= block_words else math.ceil(2 * total / block_words)
+    root = scratch.path("blocks")
+
+    def built(batches):
+        block, held = None, []
+
+        def done():
+            path = f"{root}/{block:08d}"
+            write_file(path, [pickle.dumps(Block.build(held, window), 5)])
+            return pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "path": [path]})
+
+        for batch in batches:
+            for k, item, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if held and k != block:
+                    yield done()
+                    held.clear()
+                block = k
+                if words := spaced_words(text).split():
+                    held.append((item, words))
+        if held:
+            yield done()
+
+    bounded_batches(spark)
+    dealt = items.select(F.pmod(F.xxhash64("item", "text"), F.lit(n)).cast("int").alias("block"), "item", F.col("text").cast("binary").alias("text"))
+    dealt = dealt.repartition(min(n, 4096), "block").sortWithinPartitions("block", "item", "text")
+    return [r["path"] for r in dealt.mapInArrow(built, "block int, path string").orderBy("block").collect()]
+
+
+def read_block(path: str) -> Block:
+    """A block that ``benchmark_blocks`` wrote."""
+    system, name = open_fs(path)
+    with system.open_input_stream(name) as f:
+        return pickle.loads(f.read())
 
 
 def suffix_array(stream: np.ndarray, depth: int) -> np.ndarray:
@@ -200,74 +231,61 @@ def benchmark_matches(
     verbatim matches).  Null and empty texts have no words and no match; an empty benchmark matches nothing; repeated
     rows give equal rows; other columns are not read.
 
-    The benchmark is taken in blocks of at most ``block_words`` words; each is broadcast by itself, and the documents
-    pass through one search a block.  A shard is what a task gathers up to ``shard_words`` words, so memory is bounded
-    by the two parameters and the longest text.
+    A shard is what a task gathers up to ``shard_words`` words; the benchmark's blocks of about ``block_words`` words at
+    most are read from the shared folder and searched in it one after another, so a task holds two blocks at most (the
+    first stays) and memory is bounded by the two parameters, the longest item and the longest text, whatever the size
+    of the benchmark.
     """
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    item_type = benchmark.schema[item_col].dataType.simpleString()
-    match = MATCH.format(item=item_type)
-    schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, text binary, n_words bigint, n_hit bigint, item_ids array<string>, matches {match}"
-    current = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.col(text_col).cast("binary").alias("text"),
-        F.lit(0).cast("bigint").alias("n_words"),
-        F.lit(0).cast("bigint").alias("n_hit"),
-        F.array().cast("array<string>").alias("item_ids"),
-        F.array().cast(match).alias("matches"),
-    )
-    blocks = list(_sent(spark, benchmark_blocks(benchmark, item_col, item_text_col, window, block_words)))
-    for k, sent in enumerate(blocks or [spark.sparkContext.broadcast(Block.build([], window))]):
-        current = current.mapInArrow(_scan(sent, shard_words, last=k + 1 >= len(blocks)), schema)
-    return current.drop("text")
-
-
-def _sent(spark, blocks):
-    for block in blocks:
-        yield spark.sparkContext.broadcast(block)
-
-
-def _scan(sent, shard_words: int, last: bool):
-    """A task: number the words, gather a shard, search it, and add its matches to the rows."""
-
-    def flush(held: list[pa.RecordBatch], texts: list[np.ndarray], names: list[str]):
-        block: Block = sent.value
-        shortest = int(block.need[block.need > 0].min(initial=WINDOW + 1))
+    bounded_batches(docs.sparkSession)
+    paths = benchmark_blocks(benchmark, item_col, item_text_col, window, block_words)
+    match = MATCH.format(item=benchmark.schema[item_col].dataType.simpleString())
+    schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_words bigint, n_hit bigint, item_ids array<string>, matches {match}"
+    pairs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"), F.array().cast(match).alias("matches"))
+    return pairs.mapInArrow(_scan(paths, window, shard_words), schema)
+
+
+def _scan(paths: list[str], window: int, shard_words: int):
+    """A task: number the words, gather a shard, search each block in it, and describe its rows."""
+
+    def flush(held: list[pa.RecordBatch], first: Block, ids: list[np.ndarray]):
         found: dict[int, list] = {}
-        for doc, start, n, item, item_start in _matches(texts, block, shortest):
-            found.setdefault(doc, []).append({"start": start, "words": n, "item_id": block.ids[item], "item_start": item_start})
+        for k in range(max(1, len(paths))):
+            if k:
+                texts = (x for batch in held for x in batch.column(1).to_pylist())
+                block = read_block(paths[k])
+                numbered = [_word_ids(x or b"", block.vocab) for x in texts]
+            else:
+                block, numbered = first, ids
+            shortest = int(block.need[block.need > 0].min(initial=window))
+            for doc, start, n, item, item_start in _matches(numbered, block, shortest):
+                found.setdefault(doc, []).append({"start": start, "words": n, "item_id": block.ids[item], "item_start": item_start})
         row = 0
         for batch in held:
-            arrays = {n: batch.column(i) for i, n in enumerate(names)}
-            matches, hits, items, words = [], [], [], []
-            older = arrays["matches"].to_pylist() if batch.num_rows else []
-            for i in range(batch.num_rows):
-                mine = older[i] + found.get(row, [])
-                words.append(len(texts[row]))
-                hits.append(_covered(mine) if mine else 0)
-                items.append(sorted({str(x["item_id"]) for x in mine if x["item_id"] is not None}))
-                matches.append(sorted(mine, key=lambda x: (x["start"], -x["words"], str(x["item_id"]), x["item_start"])))
-                row += 1
-            text = pa.nulls(batch.num_rows, pa.binary()) if last else arrays["text"]
-            columns = [arrays["doc_id"], text, pa.array(words, pa.int64()), pa.array(hits, pa.int64()),
-                       pa.array(items, pa.list_(pa.string())), pa.array(matches, batch.schema.field("matches").type)]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            matches = [found.get(k, []) for k in range(row, row + batch.num_rows)]
+            for mine in matches:
+                mine.sort(key=lambda x: (x["start"], -x["words"], str(x["item_id"]), x["item_start"]))
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column(0),
+                "n_words": pa.array([len(x) for x in ids[row : row + batch.num_rows]], pa.int64()),
+                "n_hit": pa.array(map(_covered, matches), pa.int64()),
+                "item_ids": pa.array([sorted({str(x["item_id"]) for x in mine if x["item_id"] is not None}) for mine in matches], pa.list_(pa.string())),
+                "matches": pa.array(matches, batch.schema.field("matches").type),
+            })
+            row += batch.num_rows
 
     def per_partition(batches):
-        held, texts, n = [], [], 0
-        names = ["doc_id", "text", "n_words", "n_hit", "item_ids", "matches"]
+        first = read_block(paths[0]) if paths else Block.build([], window)
+        held, ids, n = [], [], 0
         for batch in batches:
-            vocab = sent.value.vocab
-            new = [_word_ids(x or b"", vocab) for x in batch.column(1).to_pylist()]
+            new = [_word_ids(x or b"", first.vocab) for x in batch.column(1).to_pylist()]
             held.append(batch)
-            texts += new
+            ids += new
             n += sum(map(len, new))
             if n >= shard_words:
-                yield from flush(held, texts, names)
-                held, texts, n = [], [], 0
+                yield from flush(held, first, ids)
+                held, ids, n = [], [], 0
         if held:
-            yield from flush(held, texts, names)
+            yield from flush(held, first, ids)
 
     return per_partition
 
