@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SEGMENT_ROWS = 50_000  # rows of an Arrow batch that a task makes itself
 _local_base: list[str] = []
+_made: list[Scratch] = []
 
 
 def shared_base(spark: SparkSession) -> str:
@@ -51,6 +52,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_base(spark)}/lifespans-{name}-{uuid.uuid4().hex}"
+        _made.append(self)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -66,6 +68,15 @@ class Scratch:
         target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def release() -> None:
+    """Delete the scratch folders that this driver's operators have made so far: intermediate tables, shards, files.
+
+    Results that have not been read yet are computed from them, so call it when those are read or written elsewhere.
+    """
+    while _made:
+        _made.pop().drop()
+
+
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a URI, for use inside tasks."""
     if "://" not in uri and not uri.startswith("file:"):
