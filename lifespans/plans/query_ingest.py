@@ -174,7 +174,7 @@ def stream_locations(spark, sf_dir):
     root = scratch_root(spark)
     location.write_location_raw(location.raw_objects(_messages(spark, sf_dir)), f"{root}/raw")
     files.run_locations(files.stream_location_objects(spark, f"{root}/raw"), root, f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/points").select("device_key", "observed_at", "latitude", "longitude", "accuracy_meters")
+    return files.read_points(spark, root).select("device_key", "observed_at", "latitude", "longitude", "accuracy_meters")
 
 
 @_query("stream_usage", f"""WITH {D.SLOT_RECORDS}, tops AS (SELECT *, rank() OVER (PARTITION BY segment_key, record_offset ORDER BY record_metadata_offset DESC) AS rk FROM slot_records),

@@ -8,6 +8,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.sync import adopt_records, latest_slots
 from ..sources.location import location_points
+from .notify import exists
+
+_POINT = (
+    "location_point_id string, device_key string, observed_at timestamp_ntz, latitude double, longitude double, accuracy_meters double, "
+    "speed_kmh double, motion_activities array<string>, day date, batch int"
+)
 
 
 def stream_location_objects(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
@@ -16,25 +22,33 @@ def stream_location_objects(spark: SparkSession, path: str, max_files: int = 100
 
 
 def run_locations(stream: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Objects into ``root``/points by batch; a point that is there already is kept, bad objects go to ``root``/failed.
+    """Objects into ``root``/points by day and batch; a point that is there already is kept, bad objects go to ``root``/failed.
 
-    A batch writes a folder of its own and compares with the folders of earlier batches only, so running it again
-    gives the same folder.
+    A point's id holds its time, so a batch meets only the days that it touches, and of those the rows of earlier
+    batches; running it again gives the same folders.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         rows = location_points(batch)
-        good = rows.where("reject_reason is null").drop("reject_reason", "object_key").dropDuplicates(["location_point_id"])
-        earlier = [f"{root}/points/batch={k}" for k in range(batch_id)]
-        if earlier:
-            known = batch.sparkSession.read.schema("location_point_id string").parquet(*earlier)
-            good = good.join(known, "location_point_id", "left_anti")
-        good.write.mode("overwrite").parquet(f"{root}/points/batch={batch_id}")
         rows.where("reject_reason is not null").select("object_key", "reject_reason").write.mode("overwrite").parquet(f"{root}/failed/batch={batch_id}")
+        good = rows.where("reject_reason is null").drop("reject_reason", "object_key").dropDuplicates(["location_point_id"])
+        good = good.withColumn("day", F.col("observed_at").cast("date")).withColumn("batch", F.lit(batch_id))
+        days = [f"{root}/points/day={r['day']}" for r in good.select("day").distinct().collect()]  # calendar days
+        there = [path for path in days if exists(spark, path)]
+        if there:
+            known = spark.read.schema("location_point_id string, batch int").option("basePath", f"{root}/points").parquet(*there)
+            good = good.join(known.where(F.col("batch") < batch_id).select("location_point_id"), "location_point_id", "left_anti")
+        good.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(f"{root}/points")
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def read_points(spark: SparkSession, root: str) -> DataFrame:
+    """The points that ``run_locations`` wrote, with their day and batch; none if nothing landed."""
+    return spark.read.schema(_POINT).parquet(f"{root}/points")
+
+
 def run_usage(stream: DataFrame, root: str, checkpoint: str, slot: tuple[str, ...] = ("segment_key", "record_offset"), version: str = "record_metadata_offset") -> StreamingQuery:
     """Usage records into adopted events: the table after batch k is ``root``/events/batch=k.
 

@@ -115,7 +115,7 @@ def run_drain(stream: DataFrame, root: str, checkpoint: str, now: str, zone: str
         own.write.mode("overwrite").partitionBy("day").parquet(f"{root}/pieces/batch={batch_id}")
         pieces = spark.read.schema(_PIECE).parquet(f"{root}/pieces")
         touched = pieces.where(F.col("batch") == batch_id).select("day")
-        if batch_id and _exists(spark, f"{root}/pending/batch={batch_id - 1}"):
+        if batch_id and exists(spark, f"{root}/pending/batch={batch_id - 1}"):
             touched = touched.unionByName(spark.read.schema("day date").parquet(f"{root}/pending/batch={batch_id - 1}"))
         days = [r["day"] for r in touched.distinct().collect()]  # calendar days
         of_days = pieces.where((F.col("batch") <= batch_id) & F.col("day").isin(days)) if days else pieces.where("false")
@@ -143,7 +143,7 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 

@@ -347,6 +347,26 @@ def test_spread_merging_gives_the_rows_of_plain_merging(spark):
     assert sorted(map(key, got)) == sorted(map(key, want))
 
 
+def test_location_stream_keeps_a_point_once(spark, tmp_path):
+    """Objects that land again, in the same batch or a later one, change nothing; other days and bad objects stay."""
+    text = '{"_type":"location","tst":%d,"lat":%d,"lon":2}'
+    rows = [("d", text % (1_767_225_600 + 3600 * k, k)) for k in range(40)] + [("d", "{}")]
+    objects = location.raw_objects(spark.createDataFrame(rows, "device_key string, body string")).where("body is not null").select("object_key", "body", "date")
+    out = []
+    for n in (1, 100):
+        root = str(tmp_path / str(n))
+        for _ in range(2):
+            objects.repartition(3).write.mode("append").json(f"{root}/raw")
+        files.run_locations(files.stream_location_objects(spark, f"{root}/raw", n), root, f"{root}/cp").awaitTermination()
+        out.append(sorted(map(str, files.read_points(spark, root).drop("batch", "day").collect())))
+        assert spark.read.parquet(f"{root}/failed").count() == 2
+    assert out[0] == out[1] and len(out[0]) == len(set(out[0])) == 40
+    root = str(tmp_path / "none")
+    objects.where("false").write.json(f"{root}/raw")
+    files.run_locations(files.stream_location_objects(spark, f"{root}/raw"), root, f"{root}/cp").awaitTermination()
+    assert files.read_points(spark, root).isEmpty()
+
+
 def test_usage_stream_does_not_depend_on_batches(spark, tmp_path):
     rows = [("s", i % 3, i, "WRITTEN" if i % 4 else "DELETED", f"k{i % 5}") for i in range(24)]
     df = spark.createDataFrame(rows, "segment_key string, record_offset int, record_metadata_offset int, record_state string, event_key string").select(
