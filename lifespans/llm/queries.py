@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licences, media, mixing, oracle, pseudo_lm, quality, simhash, tokens, toxicity, urlgraph
+from . import decontaminate, infill, licences, media, minhash, mixing, oracle, pseudo_lm, quality, simhash, tokens, toxicity, urlgraph
 
 RULES = [
     urlgraph.Rule("allow", "org", "/"),
@@ -78,6 +78,18 @@ def op10_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudo_lm.pseudo_likelihood(_read(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = infill.fill_in_middle(_read(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.edited_fingerprints(_read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,7 +99,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash, op2_decontamination, op3_media, op4_quality, op5_toxicity, op6_urls, op7_mixing, op8_licences, op9_tokens,
-        op10_pseudo_likelihood, pipeline,
+        op10_pseudo_likelihood, op11_fill_in_middle, op12_fingerprints, pipeline,
     )}
 
 
@@ -95,4 +107,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_decontamination": oracle.DECONTAMINATION, "op6_urls": oracle.urls(RULES), "op7_mixing": oracle.mixing(MIX.repeats),
         "op8_licences": oracle.licences(licences.TEMPLATES),
+        "op11_fill_in_middle": oracle.INFILL,
     }

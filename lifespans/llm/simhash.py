@@ -160,21 +160,17 @@ def near_duplicates(
     of at most ``distance`` differing bits, itself included.  One row per input row: repeated rows give equal rows;
     null and empty texts have fingerprint zero and link like any other; a null doc_id keeps a null doc_id and never
     names a component (a component of null ids only has a null component_id).  An empty table gives no rows.
-    Equal fingerprints are one class, so a group of copies of any size is one row of the link search.
+    Equal fingerprints are one class with a number of its own, so a group of copies of any size is one row of the link
+    search and ids may be any 64-bit integers.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
     prints = scratch.table(fingerprints(docs, id_col, text_col), "prints")
     classes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
-    classes = scratch.table(classes, "classes")
-    # a class of null ids only still carries links between others: it gets a negative stand-in of its own
-    stand_in = F.when(F.col("least").isNull(), F.col("fingerprint").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62))
-    named = classes.select("fingerprint", F.coalesce("least", stand_in).alias("rep"))
-    roots = connected_components(links(named, distance, blocks), scratch)
-    placed = named.join(roots, F.col("rep") == F.col("node"), "left").select(
-        "fingerprint", F.coalesce("root", "rep").alias("component")
-    )
-    bare = F.col("component") >= F.lit(1 << 62)
-    placed = placed.select("fingerprint", F.when(~bare, F.col("component")).alias("component_id"))
+    classes = scratch.table(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    roots = connected_components(links(classes.select("fingerprint", "rep"), distance, blocks), scratch)
+    placed = classes.join(roots, F.col("rep") == F.col("node"), "left").select("fingerprint", "least", F.coalesce("root", "rep").alias("root"))
+    named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    placed = placed.join(named, "root").select("fingerprint", "component_id")
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return prints.join(placed, "fingerprint").select("doc_id", digits.alias("fingerprint"), "component_id")
 
