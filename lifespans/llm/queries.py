@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, infill, licences, media, minhash, mixing, oracle, pseudo_lm, quality, simhash, tokens, toxicity, urlgraph
+from . import align, decontaminate, infill, licences, media, minhash, mixing, oracle, pseudo_lm, quality, simhash, tokens, toxicity, urlgraph
 
 RULES = [
     urlgraph.Rule("allow", "org", "/"),
@@ -90,6 +90,10 @@ def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.edited_fingerprints(_read(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(_read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -99,7 +103,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash, op2_decontamination, op3_media, op4_quality, op5_toxicity, op6_urls, op7_mixing, op8_licences, op9_tokens,
-        op10_pseudo_likelihood, op11_fill_in_middle, op12_fingerprints, pipeline,
+        op10_pseudo_likelihood, op11_fill_in_middle, op12_fingerprints, op13_alignment, pipeline,
     )}
 
 

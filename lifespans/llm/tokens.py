@@ -100,10 +100,11 @@ class Encoder:
 
     Texts are cut into pieces with numpy, Arrow finds the different ones, and the library encodes those that are new:
     single words and numbers through its model, other pieces whole.  Texts that name a special token go to the library
-    whole, and so does every text if the tokenizer's preparation is another one.
+    whole (unless ``plain_special`` makes them plain text), and so does every text if the tokenizer's preparation is
+    another one.
     """
 
-    def __init__(self, path: str, kept: int = 800_000):
+    def __init__(self, path: str, kept: int = 800_000, plain_special: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -116,7 +117,8 @@ class Encoder:
         self.by_piece = (
             isinstance(before, pre_tokenizers.ByteLevel) and not before.add_prefix_space and before.use_regex and self.library.normalizer is None
         )
-        self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        self.library.encode_special_tokens = plain_special
+        self.special = [] if plain_special else [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.dtype = np.uint16 if self.library.get_vocab_size() <= 1 << 16 else np.uint32
         self.letters, self.pieces = byte_letters(), Kept(kept)
 
@@ -124,6 +126,9 @@ class Encoder:
         decoded = [t.decode(errors="replace") for t in texts]
         return [np.array(e.ids, self.dtype).tobytes() for e in self.library.encode_batch_fast(decoded, add_special_tokens=False)]
 
+    def _cuts(self, data: bytes, starts: np.ndarray) -> np.ndarray:
+        return piece_starts(data, starts)
+
     def _learn(self, pieces: list[bytes]) -> None:
         plain = [p for p in pieces if _PLAIN.fullmatch(p)]
         tokenize, letters = self.library.model.tokenize, self.letters
@@ -138,7 +143,7 @@ class Encoder:
         """The ids of texts that are not empty, by their pieces."""
         data = b"".join(texts)
         starts = np.cumsum([0] + [len(t) for t in texts[:-1]])
-        at = piece_starts(data, starts)
+        at = self._cuts(data, starts)
         offsets = np.append(at, len(data)).astype(np.int32)
         pieces = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
         different = pieces.dictionary.to_pylist()
