@@ -15,29 +15,55 @@ from .storage import Scratch, bounded_batches, open_fs, write_file
 from .textual import SEGMENT, spaced_words
 
 WINDOW = 10
+ITEMS = 500_000  # item ids of the rows that are put out at once
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 @dataclass
 class Block:
-    """Benchmark items as word ids: ``stream`` holds the items one after another, each closed by a 0."""
+    """Benchmark items as word ids: ``stream`` holds the items one after another, each closed by a 0.
+
+    Equal windows are one: ``places`` has a position of each different window, ``sizes`` its words, and its items are
+    ``members[bounds[k] : bounds[k + 1]]``.  ``order`` is the suffix array of the stream.
+    """
 
     vocab: dict[bytes, int]
     stream: np.ndarray
     item: np.ndarray  # at each position: number of its item
-    need: np.ndarray  # at each position: length of a window that starts there, 0 where none starts
+    begin: np.ndarray  # of each item: where it starts
+    places: np.ndarray
+    sizes: np.ndarray
+    bounds: np.ndarray
+    members: np.ndarray
+    order: np.ndarray
     ids: list
 
     @classmethod
     def build(cls, items: list[tuple[object, list[bytes]]], window: int) -> Block:
         vocab: dict[bytes, int] = {}
-        stream, item, need = [], [], []
-        for k, (_, words) in enumerate(items):
-            w = min(window, len(words))
-            stream += [vocab.setdefault(x, len(vocab) + 1) for x in words] + [0]
-            item += [k] * (len(words) + 1)
-            need += [w if i + w <= len(words) else 0 for i in range(len(words) + 1)]
-        return cls(vocab, np.array(stream, np.int32), np.array(item, np.int32), np.array(need, np.int32), [i for i, _ in items])
+        ids = [np.array([vocab.setdefault(x, len(vocab) + 1) for x in words] + [0], np.int32) for _, words in items]
+        long = np.array([len(x) for x in ids], np.int64)
+        begin = np.cumsum(long) - long
+        stream = np.concatenate([*ids, np.zeros(0, np.int32)])
+        item = np.repeat(np.arange(len(items), dtype=np.int32), long)
+        places, sizes, of, owner = [], [], [], []
+        words = np.minimum(long - 1, window)
+        for w in np.unique(words[words > 0]).tolist():
+            starts = np.concatenate([np.arange(b, b + n - w) for b, n in zip(begin[words == w], long[words == w])])
+            rows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(stream, w)[starts])
+            _, first, which = np.unique(rows.view(f"V{4 * w}").ravel(), return_index=True, return_inverse=True)
+            of.append(which + sum(map(len, places)))
+            owner.append(item[starts])
+            places.append(starts[first])
+            sizes.append(np.full(len(first), w))
+        none = np.zeros(0, np.int64)
+        n = sum(map(len, places))
+        both = np.unique(np.concatenate([none, *of]) * (len(items) + 1) + np.concatenate([none, *owner]))
+        of_, members = np.divmod(both, len(items) + 1)
+        return cls(
+            vocab, stream, item, begin, np.concatenate([none, *places]), np.concatenate([none, *sizes]), np.searchsorted(of_, np.arange(n + 1)),
+            members.astype(np.int32), suffix_array(stream, len(stream)).astype(np.int32), [i for i, _ in items],
+        )
 
 
 def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_words: int) -> list[str]:
@@ -87,7 +113,7 @@ def read_block(path: str) -> Block:
 
 
 def suffix_array(stream: np.ndarray, depth: int) -> np.ndarray:
-    """Positions of ``stream`` sorted by the ``depth`` (or a few more) ids that follow, by prefix doubling."""
+    """Positions of ``stream`` sorted by the ``depth`` (or more) ids that follow, by prefix doubling."""
     rank, k, n = stream.astype(np.int64), 1, len(stream)
     order = np.argsort(rank, kind="stable")
     while k < min(depth, n):
@@ -104,16 +130,18 @@ def suffix_array(stream: np.ndarray, depth: int) -> np.ndarray:
 
 
 def search(stream: np.ndarray, order: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """(training position, benchmark position) of every occurrence of a benchmark window.
+    """(training position, window) of every occurrence of a different benchmark window.
 
-    All benchmark suffixes are searched at once: step d halves, for each suffix still alive, the interval of training
-    suffixes that share its first d words until those that also share the next one are left.
+    All windows are searched at once: step d halves, for each window still alive, the interval of training suffixes that
+    share its first d words until those that also share the next one are left.  Windows of one size have intervals
+    apart from each other, so a position meets at most one window of each of the few sizes.
     """
-    start = np.flatnonzero(block.need)
+    which, start = np.arange(len(block.places)), block.places
     lo, hi = np.zeros(len(start), np.int64), np.full(len(start), len(order), np.int64)
-    padded = np.r_[stream, np.zeros(int(block.need.max(initial=0)) + 1, stream.dtype)]
-    got_t, got_b = [], []
-    for d in range(int(block.need.max(initial=0))):
+    most = int(block.sizes.max(initial=0))
+    padded = np.r_[stream, np.zeros(most + 1, stream.dtype)]
+    found = []
+    for d in range(most):
         if not len(start):
             break
         want = block.stream[start + d]
@@ -129,15 +157,81 @@ def search(stream: np.ndarray, order: np.ndarray, block: Block) -> tuple[np.ndar
             return a
 
         lo, hi = bound(False), bound(True)
-        done = (block.need[start] == d + 1) & (lo < hi)
-        for s, a, z in zip(start[done], lo[done], hi[done]):
-            got_t.append(order[a:z])
-            got_b.append(np.full(z - a, s, np.int64))
-        live = (lo < hi) & (block.need[start] > d + 1)
-        start, lo, hi = start[live], lo[live], hi[live]
-    if not got_t:
+        size = block.sizes[which]
+        done = (size == d + 1) & (lo < hi)
+        found.append((which[done], lo[done], hi[done]))
+        live = (lo < hi) & (size > d + 1)
+        which, start, lo, hi = which[live], start[live], lo[live], hi[live]
+    if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(got_t), np.concatenate(got_b)
+    which, lo, hi = (np.concatenate(x) for x in zip(*found))
+    n = hi - lo
+    return order[np.arange(int(n.sum())) + np.repeat(lo - np.cumsum(n) + n, n)], np.repeat(which, n)
+
+
+class Sums:
+    """Sums by which any two pieces of two streams can be compared: words times powers of a base, by two primes."""
+
+    PRIMES, BASES = (4294967291, 4294967279), (2654435761, 1597334677)
+
+    def __init__(self, streams: list[np.ndarray]):
+        n = max(map(len, streams)) + 1
+        self.powers = []
+        for p, base in zip(self.PRIMES, self.BASES):
+            power = np.ones(1, np.uint64)
+            while len(power) < n:
+                step = np.uint64(pow(base, len(power), p))
+                power = np.r_[power, power * step % np.uint64(p)]
+            self.powers.append(power[:n])
+        self.sums = [[np.r_[np.uint64(0), np.cumsum(s.astype(np.uint64) * w[: len(s)] % np.uint64(p)) % np.uint64(p)] for s in streams] for p, w in zip(self.PRIMES, self.powers)]
+
+    def same(self, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Whether the ``n`` words at ``a`` in the first and at ``b`` in the second stream are the same (but for chances of 2**-60)."""
+        out = np.ones(len(a), bool)
+        for p, w, (x, y) in zip(self.PRIMES, self.powers, self.sums):
+            p = np.uint64(p)
+            left, right = (x[a + n] + p - x[a]) % p, (y[b + n] + p - y[b]) % p
+            low = np.minimum(a, b)
+            out &= left * w[b - low] % p == right * w[a - low] % p
+        return out
+
+
+def longest(stream: np.ndarray, at: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """(words, benchmark position) of the longest match that starts at each training position ``at``.
+
+    The position's suffix is placed among the benchmark's suffixes by a binary search; one of its two neighbours there
+    has the longest match.  Two suffixes are compared by the length of their common beginning, found by halving, so the
+    work is that of the positions whatever repeats.
+    """
+    left, right = np.r_[stream, 0].astype(np.int64), np.r_[block.stream, 0].astype(np.int64)
+    right[right == 0] = len(block.vocab) + 1  # the end of an item equals no word and no end of a run
+    sums = Sums([left, right])
+    ends = np.flatnonzero(left == 0)
+    room_t = ends[np.searchsorted(ends, at)] - at
+
+    def common(b: np.ndarray) -> np.ndarray:
+        lo, hi = np.zeros(len(at), np.int64), np.minimum(room_t, len(block.stream) - b)
+        while (lo < hi).any():
+            mid = (lo + hi + 1) // 2
+            ok = sums.same(at, b, mid)
+            lo, hi = np.where(ok, mid, lo), np.where(ok, hi, mid - 1)
+        return lo
+
+    a, z = np.zeros(len(at), np.int64), np.full(len(at), len(block.order), np.int64)
+    while (a < z).any():
+        mid = (a + z) // 2
+        b = block.order[np.minimum(mid, len(block.order) - 1)].astype(np.int64)
+        n = common(b)
+        here = np.r_[block.stream, 0][b + n]  # the order was made with ends of items before all words
+        less = (a < z) & (here < np.r_[stream, 0][at + n])
+        a, z = np.where(less, mid + 1, a), np.where((a < z) & ~less, mid, z)
+    best, place = np.full(len(at), -1, np.int64), np.zeros(len(at), np.int64)
+    for k in (a - 1, a):
+        ok = (k >= 0) & (k < len(block.order))
+        b = block.order[np.clip(k, 0, len(block.order) - 1)].astype(np.int64)
+        n = np.where(ok, common(b), -1)
+        place, best = np.where(n > best, b, place), np.maximum(best, n)
+    return best, place
 
 
 def _word_ids(data: bytes, vocab: dict[bytes, int]) -> np.ndarray:
@@ -163,10 +257,20 @@ class _Zeros:
 ZEROS = _Zeros()
 
 
-def _matches(texts: list[np.ndarray], block: Block, shortest: int) -> list[tuple[int, int, int, int, int]]:
-    """Maximal verbatim matches of a shard: (text, start word, words, item, item's start word)."""
-    if not texts or not len(block.stream):
-        return []
+@dataclass
+class Found:
+    """What one block shows of a shard: covered words, (text, window) that occur, and longest matches by rows."""
+
+    cover: np.ndarray  # changes of the number of windows that cover a word of the shard
+    text: np.ndarray
+    window: np.ndarray
+    matches: list[tuple[int, int, int, int, int]]  # text, start word, words, number of the item, item's start word
+
+
+def _matches(texts: list[np.ndarray], block: Block) -> Found | None:
+    """Search a shard for a block; memory and time grow with the words of both, however often they repeat."""
+    if not texts or not len(block.places):
+        return None
     sizes = np.array([len(x) for x in texts])
     base = np.r_[0, np.cumsum(sizes + 1)]
     whole = np.zeros(int(base[-1]), np.int32)
@@ -176,37 +280,31 @@ def _matches(texts: list[np.ndarray], block: Block, shortest: int) -> list[tuple
     known = np.r_[False, whole != 0, False]
     edge = np.flatnonzero(known[1:] != known[:-1])
     begin, end = edge[::2], edge[1::2]
-    long_enough = end - begin >= shortest
+    long_enough = end - begin >= block.sizes.min()
     begin, end = begin[long_enough], end[long_enough]
     if not len(begin):
-        return []
+        return None
     length = end - begin + 1  # with the 0 that closes the run
     at = np.r_[0, np.cumsum(length)]
     place = np.arange(int(at[-1])) + np.repeat(begin - at[:-1], length)
     stream = np.where(place < np.repeat(end, length), np.r_[whole, 0][place], 0).astype(np.int32)
-    order = suffix_array(stream, int(block.need.max(initial=1)))
-    t, b = search(stream, order, block)
+    t, which = search(stream, suffix_array(stream, int(block.sizes.max())), block)
     if not len(t):
-        return []
-    # A pair whose predecessors also pair continues that match; the rest start one, which is followed to its end.
-    wide = np.int64(len(block.stream) + 1)
-    keys = np.sort(t * wide + b)
-    before = (t - 1) * wide + (b - 1)
-    at_key = np.minimum(np.searchsorted(keys, before), len(keys) - 1)
-    first = (keys[at_key] != before) | (t == 0) | (b == 0) | (block.item[b] != block.item[b - 1])
-    t, b = t[first], b[first]
-    n, live = block.need[b].astype(np.int64), np.ones(len(t), bool)
-    ends_t, ends_b = np.r_[stream, 0], np.r_[block.stream, 0]
-    while live.any():
-        i = np.flatnonzero(live)
-        x = ends_t[np.minimum(t[i] + n[i], len(stream))]
-        more = (x != 0) & (x == ends_b[np.minimum(b[i] + n[i], len(block.stream))])
-        n[i[more]] += 1
-        live[i[~more]] = False
-    where = place[t]
+        return None
+    where, n = place[t], block.sizes[which]
     doc = np.searchsorted(base, where, side="right") - 1
-    item_start = np.searchsorted(block.item, block.item[b])
-    return list(zip(doc.tolist(), (where - base[doc]).tolist(), n.tolist(), block.item[b].tolist(), (b - item_start).tolist()))
+    cover = np.bincount(where, minlength=len(whole) + 1) - np.bincount(where + n, minlength=len(whole) + 1)
+    pairs = np.unique(doc * (len(block.places) + 1) + which)
+    starts = np.unique(t)
+    words, source = longest(stream, starts, block)
+    spot = place[starts]
+    stop = spot + words
+    outer = np.r_[True, stop[1:] > np.maximum.accumulate(stop)[:-1]]  # not inside a match that starts before
+    spot, words, source = spot[outer], words[outer], source[outer]
+    of = np.searchsorted(base, spot, side="right") - 1
+    number = block.item[source]
+    rows = zip(of.tolist(), (spot - base[of]).tolist(), words.tolist(), number.tolist(), (source - block.begin[number]).tolist())
+    return Found(cover, *np.divmod(pairs, len(block.places) + 1), list(rows))
 
 
 MATCH = "array<struct<start:bigint,words:bigint,item_id:{item},item_start:bigint>>"
@@ -227,14 +325,16 @@ def benchmark_matches(
 
     Words are runs of letters and digits after lower-casing A-Z (anything beyond ASCII is a letter).  Returns a row per
     input row: doc_id, n_words, n_hit (words inside an occurrence of a window of ``window`` item words; an item of
-    fewer words is one window), item_ids (sorted, as strings) and matches (start, words, item_id, item_start: maximal
-    verbatim matches).  Null and empty texts have no words and no match; an empty benchmark matches nothing; repeated
-    rows give equal rows; other columns are not read.
+    fewer words is one window), item_ids (of every item with an occurring window; sorted, as strings) and matches
+    (start, words, item_id, item_start): at each start of an occurrence the longest verbatim match and one item that
+    holds it, but for those inside a match that starts before.  Null and empty texts have no words and no match; an
+    empty benchmark matches nothing; repeated rows give equal rows; other columns are not read.
 
     A shard is what a task gathers up to ``shard_words`` words; the benchmark's blocks of about ``block_words`` words at
     most are read from the shared folder and searched in it one after another, so a task holds two blocks at most (the
-    first stays) and memory is bounded by the two parameters, the longest item and the longest text, whatever the size
-    of the benchmark.
+    first stays).  Equal windows of a block are one, with a list of their items, and every position of a shard meets at
+    most one window of each size, so memory is bounded by the two parameters, the longest item and the longest text,
+    whatever repeats and however large the benchmark is, and by one row's item ids.
     """
     bounded_batches(docs.sparkSession)
     paths = benchmark_blocks(benchmark, item_col, item_text_col, window, block_words)
@@ -248,7 +348,10 @@ def _scan(paths: list[str], window: int, shard_words: int):
     """A task: number the words, gather a shard, search each block in it, and describe its rows."""
 
     def flush(held: list[pa.RecordBatch], first: Block, ids: list[np.ndarray]):
-        found: dict[int, list] = {}
+        sizes = np.array([len(x) for x in ids])
+        base = np.r_[0, np.cumsum(sizes + 1)]
+        covered, matches = np.zeros(int(base[-1]), bool), [[] for _ in ids]
+        items: list[list[list[str]]] = [[] for _ in ids]
         for k in range(max(1, len(paths))):
             if k:
                 texts = (x for batch in held for x in batch.column(1).to_pylist())
@@ -256,21 +359,39 @@ def _scan(paths: list[str], window: int, shard_words: int):
                 numbered = [_word_ids(x or b"", block.vocab) for x in texts]
             else:
                 block, numbered = first, ids
-            shortest = int(block.need[block.need > 0].min(initial=window))
-            for doc, start, n, item, item_start in _matches(numbered, block, shortest):
-                found.setdefault(doc, []).append({"start": start, "words": n, "item_id": block.ids[item], "item_start": item_start})
+            found = _matches(numbered, block)
+            if found is None:
+                continue
+            covered |= np.cumsum(found.cover)[: len(covered)] > 0
+            for doc, start, n, item, item_start in found.matches:
+                matches[doc].append({"start": start, "words": n, "item_id": block.ids[item], "item_start": item_start})
+            lists: dict[bytes, list[str]] = {}  # texts with the same windows share their items
+            edges = np.flatnonzero(np.r_[True, found.text[1:] != found.text[:-1], True])
+            for a, z in zip(edges, edges[1:]):
+                own = found.window[a:z]
+                if own.tobytes() not in lists:
+                    numbers = np.unique(np.concatenate([block.members[block.bounds[w] : block.bounds[w + 1]] for w in own]))
+                    lists[own.tobytes()] = sorted({str(block.ids[i]) for i in numbers if block.ids[i] is not None})
+                items[int(found.text[a])].append(lists[own.tobytes()])
+        hit = np.diff(np.r_[0, np.cumsum(covered)][base])
         row = 0
         for batch in held:
-            matches = [found.get(k, []) for k in range(row, row + batch.num_rows)]
-            for mine in matches:
-                mine.sort(key=lambda x: (x["start"], -x["words"], str(x["item_id"]), x["item_start"]))
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0),
-                "n_words": pa.array([len(x) for x in ids[row : row + batch.num_rows]], pa.int64()),
-                "n_hit": pa.array(map(_covered, matches), pa.int64()),
-                "item_ids": pa.array([sorted({str(x["item_id"]) for x in mine if x["item_id"] is not None}) for mine in matches], pa.list_(pa.string())),
-                "matches": pa.array(matches, batch.schema.field("matches").type),
-            })
+            at = 0
+            while at < batch.num_rows:  # a few rows if they have very many items
+                to, n = at, 0
+                while to < batch.num_rows and (to == at or n < ITEMS):
+                    n += sum(map(len, items[row + to]))
+                    to += 1
+                mine = [_outermost(x) for x in matches[row + at : row + to]]
+                named = [x[0] if len(x) == 1 else sorted({i for y in x for i in y}) for x in items[row + at : row + to]]
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": batch.column(0).slice(at, to - at),
+                    "n_words": pa.array(sizes[row + at : row + to], pa.int64()),
+                    "n_hit": pa.array(hit[row + at : row + to], pa.int64()),
+                    "item_ids": pa.array(named, pa.list_(pa.string())),
+                    "matches": pa.array(mine, batch.schema.field("matches").type),
+                })
+                at = to
             row += batch.num_rows
 
     def per_partition(batches):
@@ -290,13 +411,14 @@ def _scan(paths: list[str], window: int, shard_words: int):
     return per_partition
 
 
-def _covered(matches: list[dict]) -> int:
-    """Words inside the union of the matches."""
-    total, reach = 0, 0
-    for a, z in sorted((m["start"], m["start"] + m["words"]) for m in matches):
-        total += max(0, z - max(a, reach))
-        reach = max(reach, z)
-    return total
+def _outermost(matches: list[dict]) -> list[dict]:
+    """The matches of all blocks by start, without those inside another."""
+    out, reach = [], -1
+    for m in sorted(matches, key=lambda m: (m["start"], -m["words"])):
+        if m["start"] + m["words"] > reach:
+            out.append(m)
+            reach = m["start"] + m["words"]
+    return out
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", min_hit: int = 1, **options) -> DataFrame:
