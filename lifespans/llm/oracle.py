@@ -54,7 +54,7 @@ SELECT doc_id, source, tokens AS n_tokens, CAST(block AS INTEGER) AS block, roun
 
 
 def urls(rules: list[urlgraph.Rule], steps: int = 200, damping: float = 0.85) -> str:
-    """Rules by length, then as many power steps as any graph needs to settle."""
+    """Rules by length, then as many power steps as any graph needs to settle, then what links reach beyond them."""
     quote = lambda x: "'" + x.replace("'", "''") + "'"
     fits = [
         (r, f"(host = {quote(r.host)} OR ends_with(host, {quote('.' + r.host)})) AND starts_with(path, {quote(r.path)})")
@@ -76,9 +76,12 @@ r0 AS (SELECT kind, host, mass / sum(mass) OVER (PARTITION BY kind) AS rank FROM
 ranks(step, kind, host, rank) AS (SELECT 0, kind, host, rank FROM r0 UNION ALL SELECT step, kind, host, sum(rank) FROM (
   SELECT q.step + 1 AS step, r0.kind, r0.host, r0.rank * {1 - damping!r} AS rank FROM r0 CROSS JOIN (SELECT DISTINCT step FROM ranks) q UNION ALL
   SELECT r.step + 1, s.kind, s.dst, r.rank * s.share * {damping!r} FROM ranks r JOIN steps s ON s.kind = r.kind AND s.src = r.host) WHERE step <= {steps} GROUP BY step, kind, host),
-scores AS (SELECT host, sum(CASE WHEN kind = 'trust' THEN rank ELSE 0.0 END) AS trust, sum(CASE WHEN kind = 'distrust' THEN rank ELSE 0.0 END) AS distrust FROM ranks WHERE step = {steps} GROUP BY host)
-SELECT p.page_id, p.host, p.path, p.rule, coalesce(p.action, CASE WHEN coalesce(s.distrust, 0.0) > coalesce(s.trust, 0.0) * (1 + 1e-9) THEN 'block' ELSE 'allow' END) AS verdict,
-  round(coalesce(s.trust, 0.0), 9) AS trust, round(coalesce(s.distrust, 0.0), 9) AS distrust FROM ruled p LEFT JOIN scores s ON s.host = p.host"""
+scores AS (SELECT host, sum(CASE WHEN kind = 'trust' THEN rank ELSE 0.0 END) AS trust, sum(CASE WHEN kind = 'distrust' THEN rank ELSE 0.0 END) AS distrust FROM ranks WHERE step = {steps} GROUP BY host),
+reach(kind, host) AS (SELECT kind, host FROM r0 UNION SELECT s.kind, s.dst FROM reach r JOIN steps s ON s.kind = r.kind AND s.src = r.host),
+far AS (SELECT host FROM reach GROUP BY host HAVING max(kind) = 'distrust')
+SELECT p.page_id, p.host, p.path, p.rule, coalesce(p.action, CASE WHEN coalesce(s.distrust, 0.0) > coalesce(s.trust, 0.0) * (1 + 1e-9)
+    OR coalesce(s.distrust, 0.0) = 0 AND coalesce(s.trust, 0.0) = 0 AND far.host IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+  round(coalesce(s.trust, 0.0), 9) AS trust, round(coalesce(s.distrust, 0.0), 9) AS distrust FROM ruled p LEFT JOIN scores s ON s.host = p.host LEFT JOIN far ON far.host = p.host"""
 
 
 def licences(templates: list[tuple[str, str, str]], threshold: float = 0.8, file_share: float = 0.25, lead: int = 20) -> str:

@@ -37,3 +37,34 @@ def test_long_runs_take_linear_time(spark):
     began = time.time()
     edges = {(r.src, r.dst) for r in urlgraph.host_edges(df).collect()}
     assert edges == {("d.net", "www.x.com")} and time.time() - began < 30
+
+
+def test_a_chain_of_a_thousand_hosts_gives_verdicts(spark):
+    """Hosts that point at a blocked one over 999 links are blocked; one that trust reaches as well, beyond all ranks, is allowed."""
+    pages = [(k, f"https://h{k}.net/", f'<a href="//h{k + 1}.net/">') for k in range(999)] + [(999, "https://h999.net/", '<a href="//x.com/">'), (1000, "https://x.com/de/1", "")]
+    pages += [(2000 + k, f"https://t{k}.org/{'p' if k else ''}", f'<a href="//u{k}.net/">') for k in range(1)]
+    pages += [(3000 + k, f"https://u{k}.net/", f'<a href="//u{k + 1}.net/">') for k in range(300)] + [(3300, "https://u300.net/", '<a href="//h0.net/">')]
+    got = {r.page_id: (r.verdict, r.trust, r.distrust) for r in urlgraph.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), queries.RULES).collect()}
+    assert got[999][0] == got[900][0] == "block" and got[1000][0] == "block"
+    assert got[0][:1] == ("allow",) and got[500][0] == "allow"  # both reach it, neither has a rank there
+    assert got[3000][0] == "allow" and got[3000][1] > 0
+
+
+def test_far_hosts_against_a_plain_search(spark):
+    """Random graphs of chains, circles and joins beyond the ranks."""
+    import random
+
+    r = random.Random(3)
+    edges = {(f"n{k}", f"n{k + 1}") for k in range(60)} | {(f"n{r.randrange(61)}", f"m{r.randrange(20)}") for _ in range(15)}
+    edges |= {(f"m{r.randrange(20)}", f"m{r.randrange(20)}") for _ in range(25)} | {("c0", "c1"), ("c1", "c2"), ("c2", "c0"), ("c2", "d")}
+    edges = {(a, b) for a, b in edges if a != b}
+    steps = spark.createDataFrame([("trust", a, b) for a, b in edges] + [("distrust", b, a) for a, b in edges], "kind string, src string, dst string")
+    met = {("trust", "n0"), ("trust", "n1"), ("distrust", "m3")}
+    want = set(met)
+    while True:
+        more = {(k, b) for k, a, b in ((k, *(e if k == "trust" else e[::-1])) for e in edges for k in ("trust", "distrust")) if (k, a) in want} - want
+        if not more:
+            break
+        want |= more
+    got = urlgraph.reached_beyond(steps, spark.createDataFrame(sorted(met), "kind string, host string"), storage.Scratch(spark, "t")).collect()
+    assert len(got) == len(set(got)) and {tuple(x) for x in got} == want - met
