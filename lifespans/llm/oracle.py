@@ -6,6 +6,7 @@ import re
 from string import ascii_lowercase, ascii_uppercase
 
 from . import urlgraph
+from .licences import NOTICE
 
 _LOW = f"'{ascii_uppercase}', '{ascii_lowercase}'"
 
@@ -84,36 +85,50 @@ SELECT p.page_id, p.host, p.path, p.rule, coalesce(p.action, CASE WHEN coalesce(
   round(coalesce(s.trust, 0.0), 9) AS trust, round(coalesce(s.distrust, 0.0), 9) AS distrust FROM ruled p LEFT JOIN scores s ON s.host = p.host LEFT JOIN far ON far.host = p.host"""
 
 
-def licences(templates: list[tuple[str, str, str]], threshold: float = 0.8, file_share: float = 0.25, lead: int = 20) -> str:
-    """Every window of every text against the templates whose anchors it holds."""
+def licences(templates: list[tuple[str, str]], texts: list[tuple[str, str]], threshold: float = 0.8, file_share: float = 0.25, text_threshold: float = 0.95, margin: float = 0.003) -> str:
+    """Every window of every text against the templates whose anchors it holds, and every text against every whole licence."""
     quote = lambda x: "'" + x.replace("'", "''") + "'"
-    values = ", ".join(f"({k}, {quote(n)}, {quote(kind)}, {quote(t)})" for k, (n, kind, t) in enumerate(templates))
-    longest = max(len([w for w in re.split(r"[^a-z0-9]+", t.lower()) if w]) for _, _, t in templates)
+    values = lambda rows: ", ".join(f"({k}, {quote(n)}, {quote(t)})" for k, (n, t) in enumerate(rows))
+    longest = max(len([w for w in re.split(r"[^a-z0-9]+", t.lower()) if w]) for _, t in templates)
     terms = lambda x: f"regexp_extract_all(lower({x}), '[a-z0-9]+')"
+    bare = lambda x: terms(f"regexp_replace(lower({x}), '{NOTICE}', ' ', 'g')")
     return rf"""WITH files AS (SELECT row_number() OVER () AS r, doc_id, source || '/' || lang || '/' || CAST(doc_id // 100 AS VARCHAR) AS dir,
   source || '/' || lang || '/' || CAST(doc_id // 100 AS VARCHAR) || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, coalesce(text, '') AS text FROM documents),
-tpl(template, licence, kind, text) AS (VALUES {values}),
-tw AS (SELECT template, licence, kind, length, w, count(*) AS tf FROM (SELECT template, licence, kind, CAST(len({terms('text')}) AS INTEGER) AS length, unnest({terms('text')}) AS w FROM tpl) GROUP BY ALL),
+tpl(template, licence, text) AS (VALUES {values(templates)}),
+ftl(template, licence, text) AS (VALUES {values(texts)}),
+tw AS (SELECT template, licence, length, w, count(*) AS tf FROM (SELECT template, licence, CAST(len({terms('text')}) AS INTEGER) AS length, unnest({terms('text')}) AS w FROM tpl) GROUP BY ALL),
+fw AS (SELECT template, licence, w, 1 + ln(count(*)) AS tf FROM (SELECT template, licence, unnest({bare('text')}) AS w FROM ftl) GROUP BY ALL),
+tfs AS (SELECT r, w, 1 + ln(count(*)) AS tf FROM (SELECT r, unnest({bare('text')}) AS w FROM files) GROUP BY ALL),
 df AS (SELECT w, count(*) AS n FROM (SELECT DISTINCT r, w FROM (SELECT r, unnest({terms('text')}) AS w FROM files)) GROUP BY w),
-idf AS (SELECT w, ln((1 + (SELECT count(*) FROM files)) / (1.0::DOUBLE + coalesce(df.n, 0))) + 1 AS idf FROM (SELECT DISTINCT w FROM tw) LEFT JOIN df USING (w)),
+idf AS (SELECT w, ln((1 + (SELECT count(*) FROM files)) / (1.0::DOUBLE + coalesce(df.n, 0))) + 1 AS idf FROM (SELECT w FROM tw UNION SELECT w FROM fw) LEFT JOIN df USING (w)),
 tv AS (SELECT *, tf * idf AS v FROM tw JOIN idf USING (w)),
 tn AS (SELECT template, sqrt(sum(v * v)) AS norm FROM tv GROUP BY template),
+fv AS (SELECT *, tf * idf AS v FROM fw JOIN idf USING (w)),
+fn AS (SELECT template, sqrt(sum(v * v)) AS norm FROM fv GROUP BY template),
+dn AS (SELECT r, sqrt(sum(power(tf * coalesce(idf, ln(1 + (SELECT count(*) FROM files)) + 1), 2))) AS norm FROM tfs LEFT JOIN idf USING (w) GROUP BY r),
+whole AS (SELECT t.r, fv.licence, round(sum(t.tf * fv.idf * fv.v) / any_value(fn.norm) / any_value(dn.norm), 6) AS score FROM tfs t JOIN fv ON fv.w = t.w JOIN fn ON fn.template = fv.template JOIN dn ON dn.r = t.r GROUP BY t.r, fv.template, fv.licence),
+wranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, licence DESC) AS n, lead(score) OVER (PARTITION BY r ORDER BY score DESC, licence DESC) AS next FROM whole WHERE score >= {text_threshold - margin}),
 ranked AS (SELECT *, sum(v * v) OVER (PARTITION BY template) AS total, coalesce(sum(v * v) OVER (PARTITION BY template ORDER BY v DESC, w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM tv),
 anchors AS (SELECT * FROM ranked WHERE total - before >= {threshold} * {threshold} * total * 0.999),
 cut AS (SELECT r, list_filter(list_transform(regexp_split_to_array(lower(text), '
 |[.!?:;][ 	
 ]'), lambda p: regexp_extract_all(p, '[a-z0-9]+')), lambda p: len(p) > 0) AS parts FROM files),
 begun AS (SELECT r, parts, pos, list_slice(flatten(list_slice(parts, pos, pos + {longest} - 1)), 1, {longest}) AS words, len(flatten(parts)) AS n FROM (SELECT r, parts, unnest(generate_series(1, len(parts))) AS pos FROM cut)),
-held AS (SELECT r, pos, words, n, pos <= {lead + 1} AND len(flatten(list_slice(parts, 1, pos - 1))) <= {lead} AS first FROM begun WHERE list_has_any(words, (SELECT list(DISTINCT w) FROM anchors))),
+held AS (SELECT r, words, n FROM begun WHERE list_has_any(words, (SELECT list(DISTINCT w) FROM anchors))),
 distinct_ AS (SELECT words, row_number() OVER () AS window_ FROM (SELECT DISTINCT words FROM held)),
-pairs AS (SELECT DISTINCT d.window_, a.template, a.licence, a.kind, a.length, d.words FROM (SELECT window_, words, unnest(list_distinct(words)) AS w FROM distinct_) d JOIN anchors a ON a.w = d.w),
-counted AS (SELECT window_, template, licence, kind, length, w, count(*) AS tf FROM (SELECT window_, template, licence, kind, length, unnest(list_slice(words, 1, length)) AS w FROM pairs) GROUP BY ALL),
-sums AS (SELECT c.window_, c.template, c.licence, c.kind, c.length, sum(coalesce(c.tf * tv.v * tv.idf / tn.norm, 0)) AS dot, sqrt(sum(power(c.tf * coalesce(idf.idf, ln(1 + (SELECT count(*) FROM files)) + 1), 2))) AS norm
-  FROM counted c LEFT JOIN idf ON idf.w = c.w LEFT JOIN tv ON tv.template = c.template AND tv.w = c.w JOIN tn ON tn.template = c.template GROUP BY 1, 2, 3, 4, 5),
-good AS (SELECT d.words, s.licence, s.kind, s.length, round(s.dot / s.norm, 6) AS score FROM sums s JOIN distinct_ d USING (window_) WHERE round(s.dot / s.norm, 6) >= {threshold}),
-hits AS (SELECT h.r, g.licence, g.score, (h.first AND g.kind = 'text') OR least(g.length, h.n) >= {file_share} * h.n AS whole FROM held h JOIN good g ON g.words = h.words),
-own AS (SELECT r, licence AS own_licence, score AS own_score FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, licence DESC) AS n FROM hits) WHERE n = 1),
-licensed AS (SELECT dir, licence FROM (SELECT f.dir, h.licence, row_number() OVER (PARTITION BY f.dir ORDER BY h.score DESC, h.licence DESC) AS n FROM hits h JOIN files f ON f.r = h.r WHERE h.whole) WHERE n = 1),
+pairs AS (SELECT DISTINCT d.window_, a.template, a.licence, a.length, d.words FROM (SELECT window_, words, unnest(list_distinct(words)) AS w FROM distinct_) d JOIN anchors a ON a.w = d.w),
+counted AS (SELECT window_, template, licence, length, w, count(*) AS tf FROM (SELECT window_, template, licence, length, unnest(list_slice(words, 1, length)) AS w FROM pairs) GROUP BY ALL),
+sums AS (SELECT c.window_, c.template, c.licence, c.length, sum(coalesce(c.tf * tv.v * tv.idf / tn.norm, 0)) AS dot, sqrt(sum(power(c.tf * coalesce(idf.idf, ln(1 + (SELECT count(*) FROM files)) + 1), 2))) AS norm
+  FROM counted c LEFT JOIN idf ON idf.w = c.w LEFT JOIN tv ON tv.template = c.template AND tv.w = c.w JOIN tn ON tn.template = c.template GROUP BY 1, 2, 3, 4),
+good AS (SELECT window_, licence, round(dot / norm, 6) AS score, max(length) AS length FROM sums WHERE round(dot / norm, 6) >= {threshold} GROUP BY ALL),
+each AS (SELECT window_, licence, max(score) AS score FROM good GROUP BY ALL),
+eranked AS (SELECT *, row_number() OVER (PARTITION BY window_ ORDER BY score DESC, licence DESC) AS n, lead(score) OVER (PARTITION BY window_ ORDER BY score DESC, licence DESC) AS next FROM each),
+clear AS (SELECT d.words, g.licence, g.score, g.length FROM eranked e JOIN good g ON g.window_ = e.window_ AND g.licence = e.licence AND g.score = e.score JOIN distinct_ d ON d.window_ = e.window_
+  WHERE e.n = 1 AND (e.next IS NULL OR round(e.score - e.next, 6) >= {margin})),
+hits AS (SELECT h.r, 0 AS whole, c.licence, c.score, least(c.length, h.n) >= {file_share} * h.n AS file FROM held h JOIN clear c ON c.words = h.words UNION ALL
+  SELECT r, 1, licence, score, true FROM wranked WHERE n = 1 AND score >= {text_threshold} AND (next IS NULL OR round(score - next, 6) >= {margin})),
+own AS (SELECT r, licence AS own_licence, score AS own_score FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY whole DESC, score DESC, licence DESC) AS n FROM hits) WHERE n = 1),
+licensed AS (SELECT dir, licence FROM (SELECT f.dir, h.licence, row_number() OVER (PARTITION BY f.dir ORDER BY h.whole DESC, h.score DESC, h.licence DESC) AS n FROM hits h JOIN files f ON f.r = h.r WHERE h.file) WHERE n = 1),
 above AS (SELECT d.dir, l.licence, l.dir AS from_dir, row_number() OVER (PARTITION BY d.dir ORDER BY length(l.dir) DESC) AS n FROM (SELECT DISTINCT dir FROM files) d
   JOIN licensed l ON d.dir = l.dir OR starts_with(d.dir, l.dir || '/'))
 SELECT f.doc_id, f.path, own.own_licence, own.own_score, coalesce(own.own_licence, a.licence) AS licence, CASE WHEN own.own_licence IS NOT NULL THEN 'own'

@@ -110,6 +110,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_decontamination": oracle.DECONTAMINATION, "op6_urls": oracle.urls(RULES), "op7_mixing": oracle.mixing(MIX.repeats),
-        "op8_licences": oracle.licences(licences.TEMPLATES),
+        "op8_licences": oracle.licences(licences.TEMPLATES, licences.whole_texts()),
         "op11_fill_in_middle": oracle.INFILL,
     }

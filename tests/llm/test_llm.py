@@ -312,8 +312,8 @@ def test_licences(spark):
 
 
 def test_anchors_lose_nothing():
-    idf = {w: 1.0 + len(w) for _, _, t in licences.TEMPLATES for w in licences._python_terms(t)}
-    for (_, _, text), anchors in zip(licences.TEMPLATES, licences.anchor_terms(licences.TEMPLATES, idf, 0.8)):
+    idf = {w: 1.0 + len(w) for _, t in licences.TEMPLATES for w in licences._python_terms(t)}
+    for (_, text), anchors in zip(licences.TEMPLATES, licences.anchor_terms(licences.TEMPLATES, idf, 0.8)):
         words = licences._python_terms(text)
         square = {w: (words.count(w) * idf[w]) ** 2 for w in set(words)}
         assert sum(v for w, v in square.items() if w not in anchors) < 0.64 * sum(square.values())
