@@ -20,17 +20,17 @@ from .tokens import Encoder, Kept, byte_letters, larger_batches
 
 SPACE = "▁"  # what stands for a space in pieces
 BUCKETS = 64  # of ids of the first tokenizer; a bucket's pairs are bounded by the two vocabularies
-BATCH = 4 << 20  # bytes of text that are aligned at once
+BATCH = 1 << 20  # bytes of text that are aligned at once
 WIDE = 4096  # links of a group from which on its ids are counted first
-SLICE = 4_000_000  # links that are made at once
+SLICE = 1_000_000  # links that are made at once
 ENTRIES = 16 << 20  # bytes of postings that a scoring task reads
 
 
 class ByteTokens(Encoder):
     """The byte-level tokenizer, special strings as plain text, with the bytes of each id."""
 
-    def __init__(self, path: str):
-        super().__init__(path, plain_special=True)
+    def __init__(self, path: str, kept: int = 100_000):
+        super().__init__(path, kept, plain_special=True)
         back = {letter: byte for byte, letter in byte_letters().items()}
         entry = [self.library.id_to_token(k) or "" for k in range(self.library.get_vocab_size())]
         special = {t.content for t in self.library.get_added_tokens_decoder().values()}
@@ -44,7 +44,7 @@ class PieceTokens(Encoder):
     space after it: texts are cut there, and the ids of what stands between are kept.  Other models get whole texts.
     """
 
-    def __init__(self, path: str, kept: int = 400_000):
+    def __init__(self, path: str, kept: int = 100_000):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
@@ -226,6 +226,17 @@ def unpack(blob: bytes) -> tuple[np.ndarray, ...]:
     return tuple(out)
 
 
+def sized_batches(batches, size: int):
+    """Arrow batches of (id, text) put together or cut so that each holds about ``size`` bytes of text, or one longer text."""
+    for batch in larger_batches(batches, size):
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 _pairs: dict[tuple[str, str], Pair] = {}
 
 
@@ -252,7 +263,7 @@ def aligned_batches(docs: DataFrame, a: str, b: str, id_col: str = "doc_id", tex
 
     def per_partition(batches):
         both, number = pair(a, b), TaskContext.get().partitionId() << 36
-        for batch in larger_batches(batches, BATCH):
+        for batch in sized_batches(batches, BATCH):
             texts = [t or b"" for t in batch.column(1).to_pylist()]
             has, (left, right) = both.tokens(texts)
             found = groups(left, right, *both.size)
@@ -399,7 +410,7 @@ def aligned_groups(
 
     def per_partition(batches):
         both = pair(a, b)
-        for batch in larger_batches(batches, BATCH):
+        for batch in sized_batches(batches, BATCH):
             has, (left, right) = both.tokens([t or b"" for t in batch.column(1).to_pylist()])
             found = groups(left, right, *both.size)
             parts = [pa.ListArray.from_arrays(pa.array(np.r_[0, found[f"at_{k}"] + 1].astype(np.int32)), pa.array(found[k])) for k in "ab"]

@@ -68,7 +68,7 @@ def brute(rows):
 PARTS = [*"   \n\t.,()_-½éß×ñ—’…ªж", "  ", "    ", "\r\n", "\x00", "\xa0", "　", "▁", "a", "the", "don't", "'s", "1", "2345", "中文", "北京大学", "!!", "😀", "👍🏽", "<|endoftext|>", "</s>", "<unk>", "<0x41>", "word", "Straße", "ing"]
 
 
-@pytest.mark.parametrize("kept", [400_000, 40])
+@pytest.mark.parametrize("kept", [100_000, 40])
 def test_kept_pieces_give_the_ids_of_whole_texts(kept):
     r = random.Random(kept)
     texts = ["".join(r.choice(PARTS) for _ in range(r.randrange(1, r.choice([4, 12, 60])))) for _ in range(4000)] + [" ", "  ", "a ", "x" * 3000, " " * 50 + "y", "a " * 5000]
@@ -81,7 +81,7 @@ def test_kept_pieces_give_the_ids_of_whole_texts(kept):
                 assert np.frombuffer(ids, np.uint16).tolist() == B.encode(text), repr(text)
 
 
-@pytest.mark.parametrize(("batch", "wide", "piece"), [(4 << 20, 4096, 4_000_000), (300, 2, 3)])
+@pytest.mark.parametrize(("batch", "wide", "piece"), [(1 << 20, 4096, 1_000_000), (300, 2, 3)])
 def test_edge_cases_match_plain_loops(spark, monkeypatch, batch, wide, piece):
     for name, value in (("BATCH", batch), ("WIDE", wide), ("SLICE", piece)):
         monkeypatch.setattr(align, name, value)
