@@ -44,10 +44,12 @@ def daily_coverage(pieces: DataFrame, keys: list[str] | None = None, day: str =
     """Seconds covered by the union of pieces per day, and seconds that an observed piece covers.
 
     Pieces become +1/-1 marks that are summed per instant before the shuffle ends; a running sum over a day's instants
-    tells which stretches are covered.  Nothing is compared pairwise.
+    tells which stretches are covered.  Nothing is compared pairwise.  Without ``keys`` a day is one group of all pieces,
+    so its marks are swept hour by hour.
     """
     by = [*(keys or []), day]
-    return covered_seconds(pieces.select(*by, F.explode(F.array(*coverage_marks(start, end, observed))).alias("m")).select(*by, "m.*"), by).where("total_seconds is not null")
+    marks = pieces.select(*by, F.explode(F.array(*coverage_marks(start, end, observed))).alias("m")).select(*by, "m.*")
+    return covered_seconds(marks, by, spread=not keys).where("total_seconds is not null")
 
 
 def coverage_marks(start: str = "piece_start", end: str = "piece_end", observed: str = "observed") -> list[Column]:
@@ -56,15 +58,30 @@ def coverage_marks(start: str = "piece_start", end: str = "piece_end", observed:
     return [F.struct(ntz(at).alias("t"), F.lit(sign).cast("long").alias("d"), (seen * sign).alias("o")) for at, sign in ((start, 1), (end, -1))]
 
 
-def covered_seconds(marks: DataFrame, by: list[str], **sums: str) -> DataFrame:
+def covered_seconds(marks: DataFrame, by: list[str], spread: bool = False, **sums: str) -> DataFrame:
     """observed_seconds and total_seconds that the marks of each group cover, null where none do.
 
-    ``sums`` adds the sums of other columns of ``marks``; rows that carry nothing else have a null t.
+    ``sums`` adds the sums of other columns of ``marks``; rows that carry nothing else have a null t.  With ``spread`` no
+    window is wider than an hour of a group: changes are summed per hour, the hours' sums carried forward, and each hour
+    begins with a mark that opens with what covers it and ends with the hour.
     """
     marks = marks.groupBy(*by, "t").agg(F.sum("d").alias("d"), F.sum("o").alias("o"), *[F.sum(c).alias(n) for n, c in sums.items()])
-    w = Window.partitionBy(*by).orderBy("t")
+    group, until = by, F.lit(None).cast("timestamp_ntz")
+    if spread:
+        marks = marks.withColumn("hour", F.date_trunc("hour", "t").cast("timestamp_ntz"))
+        hours = marks.where("t is not null").groupBy(*by, "hour").agg(F.sum("d").alias("d"), F.sum("o").alias("o"))
+        forward = Window.partitionBy(*by).orderBy("hour")  # a row an hour
+        following = F.coalesce(F.lead("hour").over(forward), F.col("hour") + F.expr("INTERVAL 1 HOUR"))
+        covered = hours.select(*by, F.col("hour").alias("at"), following.alias("next"), *[F.sum(c).over(forward).alias(f"_{c}") for c in "do"], "d", "o")
+        later = F.filter(F.sequence("at", F.col("next") - F.expr("INTERVAL 1 HOUR"), F.expr("INTERVAL 1 HOUR")), lambda h: h > F.col("at"))
+        inside = covered.select(*by, F.col("at").alias("hour"), (F.col("_d") - F.col("d")).alias("d"), (F.col("_o") - F.col("o")).alias("o"))
+        between = covered.where("_d > 0").select(*by, F.explode(later).alias("hour"), F.col("_d").alias("d"), F.col("_o").alias("o"))
+        opening = inside.unionByName(between).select(*by, F.col("hour").alias("t"), "d", "o", *[F.lit(None).cast("long").alias(n) for n in sums], "hour")
+        group, until = [*by, "hour"], F.col("hour") + F.expr("INTERVAL 1 HOUR")
+        marks = marks.unionByName(opening).groupBy(*group, "t").agg(F.sum("d").alias("d"), F.sum("o").alias("o"), *[F.sum(n).alias(n) for n in sums])
+    w = Window.partitionBy(*group).orderBy("t")
     run = marks.select(
-        *by, *sums, micros_between("t", F.lead("t").over(w)).alias("us"), F.sum("d").over(w).alias("active"), F.sum("o").over(w).alias("seen")
+        *by, *sums, micros_between("t", F.coalesce(F.lead("t").over(w), until)).alias("us"), F.sum("d").over(w).alias("active"), F.sum("o").over(w).alias("seen")
     )
     return run.groupBy(*by).agg(
         (F.sum(F.when(F.col("seen") > 0, F.col("us"))) / 1e6).alias("observed_seconds"),

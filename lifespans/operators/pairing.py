@@ -10,26 +10,43 @@ from ..functions.time import DEFAULT_ZONE, local_date, ntz, seconds_between
 from .intervals import coverage_marks, covered_seconds, split_by_day
 
 
-def pair_events(events: DataFrame, device: str = "device_key", app: str = "bundle_id", at: str = "event_at", state: str = "state", key: str = "event_key", valid: str | None = "is_valid") -> DataFrame:
+def pair_events(
+    events: DataFrame, device: str = "device_key", app: str = "bundle_id", at: str = "event_at", state: str = "state", key: str = "event_key",
+    valid: str | None = "is_valid", block: str = "day",
+) -> DataFrame:
     """Usage intervals: each start is closed by the app's next end, or by the device's next start if that comes first.
 
     Order on a device is (time, ends before starts, key), and only later events count.  An interval closed by its own
     end is observed, by another start inferred; empty ones are dropped.  The look-ahead runs as a look-back over the
     reversed order, whose frame grows row by row, and carries time and key together, so no join follows.
+
+    Windows are as wide as a device's ``block`` of time.  What lies behind it comes from one row for each device, app
+    and block, the block's first start and first end: carried backwards over the blocks, the next ones are put behind
+    the block's own events as bounds.  So no task orders a device's whole history.
     """
     rows = events.where(valid) if valid else events
-    rank = F.when(F.col(state) == "end", 0).otherwise(1)
-    backwards = [F.desc(at), rank.desc(), F.desc(key)]
-    later = lambda *by: Window.partitionBy(*by).orderBy(*backwards).rowsBetween(Window.unboundedPreceding, -1)
-    mark = F.struct(ntz(at).alias("at"), F.col(key).alias("key"))
     rows = rows.select(
-        F.col(key).alias("start_event_key"), F.col(device).alias("device_key"), F.col(app).alias("bundle_id"), ntz(at).alias("started_at"), F.col(state).alias("_state"),
-        F.last(F.when(F.col(state) == "start", mark), ignorenulls=True).over(later(device)).alias("_start"),
-        F.last(F.when(F.col(state) == "end", mark), ignorenulls=True).over(later(device, app)).alias("_end"),
+        F.col(key).alias("key"), F.col(device).alias("device"), F.col(app).alias("app"), ntz(at).alias("at"), F.col(state).alias("state"),
+        F.date_trunc(block, ntz(at)).cast("timestamp_ntz").alias("block"),
+    )
+    mark = F.struct("at", "key")
+    firsts = rows.groupBy("device", "app", "block").agg(F.min(F.when(F.col("state") == "start", mark)).alias("start"), F.min(F.when(F.col("state") == "end", mark)).alias("end"))
+    behind = lambda *by: Window.partitionBy(*by).orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
+    ends = firsts.select("device", "app", "block", F.last("end", ignorenulls=True).over(behind("device", "app")).alias("m"), F.lit("end").alias("state"))
+    starts = firsts.groupBy("device", "block").agg(F.min("start").alias("start"))
+    starts = starts.select("device", F.lit(None).cast(rows.schema["app"].dataType).alias("app"), "block", F.last("start", ignorenulls=True).over(behind("device")).alias("m"), F.lit("start").alias("state"))
+    bounds = starts.unionByName(ends).where("m is not null").select("m.key", "device", "app", "m.at", "state", "block", F.lit(True).alias("bound"))
+    rank = F.when(F.col("state") == "end", 0).otherwise(1)
+    backwards = [F.desc("at"), rank.desc(), F.desc("key")]
+    later = lambda *by: Window.partitionBy(*by).orderBy(*backwards).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("bound", F.lit(False)).unionByName(bounds).select(
+        F.col("key").alias("start_event_key"), F.col("device").alias("device_key"), F.col("app").alias("bundle_id"), F.col("at").alias("started_at"), "state", "bound",
+        F.last(F.when(F.col("state") == "start", mark), ignorenulls=True).over(later("device", "block")).alias("_start"),
+        F.last(F.when(F.col("state") == "end", mark), ignorenulls=True).over(later("device", "block", "app")).alias("_end"),
     )
     own = F.col("_end").isNotNull() & (F.col("_start").isNull() | (F.col("_end.at") <= F.col("_start.at")))
-    bound = F.when(own, F.col("_end")).otherwise(F.col("_start"))
-    starts = rows.where("_state = 'start'").withColumn("_bound", bound).withColumn("is_inferred", ~own)
+    closing = F.when(own, F.col("_end")).otherwise(F.col("_start"))
+    starts = rows.where("state = 'start' and not bound").withColumn("_bound", closing).withColumn("is_inferred", ~own)
     return starts.where("_bound.at > started_at").select(
         "start_event_key", "device_key", "bundle_id", "started_at", F.col("_bound.at").alias("ended_at"),
         seconds_between("started_at", "_bound.at").alias("duration_seconds"), "is_inferred", F.col("_bound.key").alias("boundary_event_key"),
@@ -59,6 +76,7 @@ def daily_usage_total(intervals: DataFrame, events: DataFrame, zone: str = DEFAU
 
     ``intervals`` are those of ``events``.  Days with unresolved events only have null seconds; other days without
     events have no row.  Marks of coverage and counts of events go through one aggregate, so pairing is run once.
+    Without ``keys`` a day is one group of all devices, so its marks are swept hour by hour.
     """
     by = [*(keys or []), "activity_date"]
     pieces = split_by_day(intervals, "started_at", "ended_at", zone).withColumn("observed", ~F.col("is_inferred"))
@@ -70,7 +88,7 @@ def daily_usage_total(intervals: DataFrame, events: DataFrame, zone: str = DEFAU
     last = F.col("observed") & (F.col("piece_end") == F.col("ended_at"))
     marks = pieces.select(*(keys or []), F.explode(F.array_compact(F.array(*marks, F.when(last, closing)))).alias("m"))
     marks = marks.select(*(keys or []), F.col("m.day").alias("activity_date"), "m.t", "m.d", "m.o", "m.n")
-    both = covered_seconds(marks.unionByName(_counted(events, zone, keys).select(*by, *nothing, "n")), by, unresolved_event_count="n")
+    both = covered_seconds(marks.unionByName(_counted(events, zone, keys).select(*by, *nothing, "n")), by, spread=not keys, unresolved_event_count="n")
     seen = F.coalesce("observed_seconds", F.lit(0.0))
     known = F.col("total_seconds").isNotNull()
     out = both.where(known | (F.col("unresolved_event_count") > 0)).select(

@@ -85,13 +85,61 @@ def earliest_incomplete(windows: DataFrame, incomplete: Column, keys: list[str])
     return windows.where(incomplete).groupBy(*keys).agg(first.alias("_w")).select(*keys, "_w.start_at", "_w.data_type")
 
 
+def linear_quantiles(values: DataFrame, value: str, shares: list[float], keys: list[str] | None = None) -> DataFrame:
+    """(keys, n, quantiles array<double>): exact linear quantiles of the positive finite values of each group, by their digits.
+
+    A positive double's exponent and mantissa are in the order of the values.  They are looked at as three digits, one
+    after another: counts per digit are combined before the shuffle, a running sum over them tells which digits hold the
+    wanted ranks, and only rows with those digits go on.  So a task orders counts of one group's digits (the exponents in
+    use times 4096, then two times up to 2**20), never the group's values.  Rows with a null key are left out.
+    """
+    keys = keys or []
+    v = F.col(value).cast("double")
+    guess = F.floor(F.log2("_v"))  # may be off by one beside a power of two
+    half = F.floor(F.col("_e") / 2)  # two factors, so that neither leaves the range of doubles
+    rows = values.where((v > 0) & (v < float("inf"))).select(*keys, v.alias("_v")).withColumn("_g", guess)
+    rows = rows.withColumn("_e", F.when(F.pow(F.lit(2.0), "_g") > F.col("_v"), F.col("_g") - 1).when(F.pow(F.lit(2.0), F.col("_g") + 1) <= F.col("_v"), F.col("_g") + 1).otherwise(F.col("_g")))
+    rows = rows.withColumn("_m", ((F.col("_v") / F.pow(F.lit(2.0), half) / F.pow(F.lit(2.0), F.col("_e") - half) - 1) * float(1 << 52)).cast("long"))
+    digits = [(F.col("_e") + 1100) * 4096 + F.shiftright("_m", 40), F.shiftright("_m", 20).bitwiseAND(F.lit((1 << 20) - 1)), F.col("_m").bitwiseAND(F.lit((1 << 20) - 1))]
+    rows = rows.select(*keys, "_v", *[d.cast("long").alias(f"_d{k}") for k, d in enumerate(digits)])
+    chosen, by = None, list(keys)
+    for k in range(3):
+        here = rows if chosen is None else rows.join(chosen, by)
+        own = [] if chosen is None else [F.first("_n").alias("_n"), F.first("_ranks").alias("_ranks")]
+        counts = here.groupBy(*by, f"_d{k}").agg(F.count("*").alias("_c"), F.min("_v").alias("_least"), *own)
+        group = Window.partitionBy(*by)
+        before = F.coalesce(F.sum("_c").over(group.orderBy(f"_d{k}").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before")
+        if chosen is None:
+            counts = counts.withColumn("_n", F.sum("_c").over(group))
+            at = [(F.col("_n") - 1) * F.lit(float(q)) for q in shares]
+            ranks = F.array(*[F.struct(F.lit(2 * i + side).alias("of"), f(p).cast("long").alias("rank")) for i, p in enumerate(at) for side, f in enumerate((F.floor, F.ceil))])
+            counts = counts.withColumn("_ranks", ranks)
+        inside = F.filter("_ranks", lambda r: (r["rank"] >= F.col("_before")) & (r["rank"] < F.col("_before") + F.col("_c")))
+        left = F.transform(inside, lambda r: F.struct(r["of"].alias("of"), (r["rank"] - F.col("_before")).alias("rank")))
+        by = [*by, f"_d{k}"]
+        chosen = counts.select(*by, "_c", "_least", "_n", "_ranks", before).select(*by, "_least", "_n", left.alias("_ranks")).where(F.size("_ranks") > 0)
+        chosen = chosen if k == 2 else chosen.drop("_least")
+    found = chosen.select(*keys, "_n", "_least", F.explode("_ranks.of").alias("_of")).groupBy(*keys).agg(
+        F.first("_n").alias("n"), *[F.max(F.when(F.col("_of") == k, F.col("_least"))).alias(f"_q{k}") for k in range(2 * len(shares))]
+    )
+
+    def between(i: int, q: float) -> Column:
+        at = (F.col("n") - 1) * F.lit(float(q))
+        low, high = F.col(f"_q{2 * i}"), F.col(f"_q{2 * i + 1}")
+        return F.when(F.floor(at) == at, low).otherwise((F.ceil(at) - at) * low + (at - F.floor(at)) * high)
+
+    return found.select(*keys, "n", F.array(*[between(i, q) for i, q in enumerate(shares)]).alias("quantiles"))
+
+
 def upper_fence(values: DataFrame, value: str, keys: list[str] | None = None) -> DataFrame:
-    """Greatest positive value within Q3 + 1.5 IQR (linear quantiles); with fewer than four values the plain greatest."""
+    """Greatest positive value within Q3 + 1.5 IQR (linear quantiles); with fewer than four values the plain greatest.
+
+    The quantiles are exact and found by counting digits, so no task holds a group's values.
+    """
     keys = keys or []
     positive = values.where(F.col(value) > 0)
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.75)))
-    stats = positive.groupBy(*keys).agg(q.alias("_q"), F.count("*").alias("_n"))
-    fence = F.when(F.col("_n") >= 4, F.col("_q")[1] + 1.5 * (F.col("_q")[1] - F.col("_q")[0]))
+    stats = linear_quantiles(positive, value, [0.25, 0.75], keys)
+    fence = F.when(F.col("n") >= 4, F.col("quantiles")[1] + 1.5 * (F.col("quantiles")[1] - F.col("quantiles")[0]))
     stats = stats.select(*keys, fence.alias("_fence"))
     fenced = positive.join(stats, keys) if keys else positive.join(F.broadcast(stats))  # one row without keys
     return fenced.where(F.col("_fence").isNull() | (F.col(value) <= F.col("_fence"))).groupBy(*keys).agg(F.max(value).alias("top"))
