@@ -270,7 +270,7 @@ def fit(
     counts = scratch.table(word_counts(docs, text_col), "counts")
     words = vocabulary(counts)
     total = counts.agg(F.sum("n")).first()[0] or 0
-    tasks = max(1, min(16_384, math.ceil(total / task_tokens)))
+    tasks = max(1, math.ceil(total / task_tokens))
     net = Network.start(words)
     text = F.col(text_col)
     for turn in range(rounds if total else 0):
