@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from ..functions.values import any_distinct
 
 
-def _side_by_side(current: DataFrame, incoming: DataFrame, key: str, in_range: Column) -> DataFrame:
+def side_by_side(current: DataFrame, incoming: DataFrame, key: str, in_range: Column) -> DataFrame:
     """Full outer join of both sides as structs l and r, with the action on each key."""
     left = current.select(F.col(key).alias("_key"), F.struct(*current.columns).alias("l"), F.coalesce(in_range, F.lit(False)).alias("_in"))
     right = incoming.select(F.col(key).alias("_rkey"), F.struct(*incoming.columns).alias("r"))
@@ -22,7 +22,8 @@ def _side_by_side(current: DataFrame, incoming: DataFrame, key: str, in_range: C
     return both.select("l", "r", action.alias("action"))
 
 
-def _after(both: DataFrame, current: DataFrame, incoming: DataFrame) -> DataFrame:
+def after_side_by_side(both: DataFrame, current: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The table after the actions of ``side_by_side``."""
     given = set(incoming.columns)
     new = F.col("action").isin("insert", "update")
     columns = [
@@ -32,15 +33,15 @@ def _after(both: DataFrame, current: DataFrame, incoming: DataFrame) -> DataFram
 
 
 def reconcile_range(current: DataFrame, incoming: DataFrame, key: str, in_range: Column) -> tuple[DataFrame, DataFrame]:
-    """Replace a completely re-acquired range: (table after, changes).
+    """Replace a completely re-acquired range: (table after, changes).  ``sources.parts`` does it on stored days only.
 
     ``in_range`` is a predicate on ``current``.  Rows in range that are not incoming go; new keys and rows of which an
     incoming column differs are written; identical rows are left alone; a key may come in from outside the range.  Only
     the incoming columns are compared, so the same acquisition twice changes nothing.  Changes: key, action.
     """
-    both = _side_by_side(current, incoming, key, in_range)
+    both = side_by_side(current, incoming, key, in_range)
     changes = both.where("action in ('insert', 'update', 'delete')").select(F.coalesce(f"r.{key}", f"l.{key}").alias(key), "action")
-    return _after(both, current, incoming), changes
+    return after_side_by_side(both, current, incoming), changes
 
 
 def reconcile_children(
@@ -49,9 +50,9 @@ def reconcile_children(
     """Children of every parent that is incoming or was in range are replaced by the incoming children."""
     scope = incoming_parents.select(parent_key).union(parents.where(in_range).select(parent_key)).distinct().withColumn("_scope", F.lit(True))
     marked = children.join(scope, parent_key, "left").select(*children.columns, F.coalesce("_scope", F.lit(False)).alias("_scope"))
-    both = _side_by_side(marked, incoming_children, child_key, F.col("_scope"))
+    both = side_by_side(marked, incoming_children, child_key, F.col("_scope"))
     changes = both.where("action in ('insert', 'update', 'delete')").select(F.coalesce(f"r.{child_key}", f"l.{child_key}").alias(child_key), "action")
-    return _after(both, children, incoming_children), changes
+    return after_side_by_side(both, children, incoming_children), changes
 
 
 def upsert_distinct(current: DataFrame, incoming: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

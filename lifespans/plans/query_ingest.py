@@ -186,7 +186,7 @@ def stream_usage(spark, sf_dir):
     """Slot records landed as files, streamed in several batches; the events after the last one."""
     root = scratch_root(spark)
     D.slot_records(spark, sf_dir).write.parquet(f"{root}/landed")
-    landed = spark.readStream.schema(spark.read.parquet(f"{root}/landed").schema).option("maxFilesPerTrigger", 1000).parquet(f"{root}/landed")
+    shape = spark.read.parquet(f"{root}/landed").schema
+    landed = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1000).parquet(f"{root}/landed")
     files.run_usage(landed, root, f"{root}/checkpoint").awaitTermination()
-    last = files.last_batch(spark, f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/events/batch={last}").drop("is_valid")
+    return files.read_usage(spark, root, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shape)).drop("is_valid")

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import query_events, query_ingest, query_tables, query_windows
+from .plans import query_events, query_ingest, query_tables, query_units, query_windows
 
-_MODULES = (query_events, query_windows, query_tables, query_ingest)
+_MODULES = (query_events, query_windows, query_tables, query_units, query_ingest)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.sync import adopt_records, latest_slots
+from ..operators.sync import adopt_records, adoptable, latest_slots
 from ..sources.location import location_points
+from ..sources.parts import Parts
 from .notify import exists
 
 _POINT = (
@@ -49,25 +50,49 @@ def read_points(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(_POINT).parquet(f"{root}/points")
 
 
-def run_usage(stream: DataFrame, root: str, checkpoint: str, slot: tuple[str, ...] = ("segment_key", "record_offset"), version: str = "record_metadata_offset") -> StreamingQuery:
-    """Usage records into adopted events: the table after batch k is ``root``/events/batch=k.
+def run_usage(
+    stream: DataFrame, root: str, checkpoint: str, slot: tuple[str, ...] = ("segment_key", "record_offset"), version: str = "record_metadata_offset", parts: int = 64
+) -> StreamingQuery:
+    """Usage records into adopted events below ``root``, by hashes of slots and of event keys.
 
-    The latest record of every slot is carried from batch to batch, so that the result does not depend on how the
-    records were cut into batches.
+    The latest record of every slot is kept, and by event key what each slot's latest record says, so that the result
+    does not depend on how the records were cut into batches.  A batch reads and writes the parts of its own slots, and
+    of the events that these slots name or have named; all are published at once, and a batch that runs again publishes
+    the same.
     """
+    by_slot, by_event = (F.pmod(F.xxhash64(*c), F.lit(parts)).cast("string") for c in (slot, ("event_key",)))
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark, records = batch.sparkSession, batch
-        if batch_id:
-            records = records.unionByName(spark.read.schema(batch.schema).parquet(f"{root}/slots/batch={batch_id - 1}"))
-        latest_slots(records, list(slot), version).drop("duplicate_slot").write.mode("overwrite").parquet(f"{root}/slots/batch={batch_id}")
-        kept = spark.read.schema(batch.schema).parquet(f"{root}/slots/batch={batch_id}")
-        adopt_records(kept, slot, version).withColumn("is_valid", F.lit(True)).write.mode("overwrite").parquet(f"{root}/events/batch={batch_id}")
+        spark, schema, generation = batch.sparkSession, _ddl(batch), batch_id + 1
+        state = Parts(spark, f"{root}/state")
+        batch.write.mode("overwrite").parquet(f"{root}/landed-batch")
+        records = spark.read.schema(batch.schema).parquet(f"{root}/landed-batch")
+        last, slots = state.before(generation), records.select(*slot).distinct()
+        slot_parts = [r[0] for r in records.select(by_slot).distinct().collect()]  # at most ``parts``
+        known = state.read("slots", schema, last, slot_parts)
+        latest = latest_slots(known.unionByName(records), list(slot), version).drop("duplicate_slot")
+        state.write("slots", latest, by_slot, generation)
+        named = known.join(slots, list(slot), "left_semi").select("event_key").union(records.select("event_key"))
+        event_parts = [r[0] for r in named.select(by_event).distinct().collect()]
+        others = state.read("claims", schema, last, event_parts).join(slots, list(slot), "left_anti")
+        now = latest_slots(latest.join(slots, list(slot), "left_semi"), list(slot), version).where("not duplicate_slot").drop("duplicate_slot")
+        state.write("claims", others.unionByName(now.where(adoptable()).select(*batch.columns)), by_event, generation)
+        published = {"slots": slot_parts, "claims": event_parts}
+        state.publish(generation, published)
+        claims = state.read("claims", schema, generation, event_parts)
+        state.write("events", adopt_records(claims, slot, version).withColumn("is_valid", F.lit(True)), by_event, generation)
+        state.publish(generation, published | {"events": event_parts})
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def last_batch(spark: SparkSession, checkpoint: str) -> int:
-    """The number of the last batch that a checkpoint has committed."""
-    commits = spark.read.format("binaryFile").load(f"{checkpoint}/commits").select(F.regexp_extract("path", r"(\d+)$", 1).alias("n"))
-    return commits.where("n <> ''").agg(F.max(F.col("n").cast("int"))).first()[0]
+def read_usage(spark: SparkSession, root: str, records: str) -> DataFrame:
+    """The events that ``run_usage`` has adopted so far from records of the schema ``records`` (DDL)."""
+    state = Parts(spark, f"{root}/state")
+    known = state.generations()
+    shape = adopt_records(spark.createDataFrame([], records)).withColumn("is_valid", F.lit(True))
+    return state.read("events", _ddl(shape), known[-1] if known else None)
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
