@@ -102,7 +102,7 @@ def _normalized(kind: str):
         field = health.PAYLOADS[kind][0]
         name = F.concat(F.lit(f"users/u/dataTypes/{kind}/dataPoints/p-"), _text(F.col("event_id")))
         body = F.to_json(F.struct(name.alias("dataPointName"), F.struct(*payload()).alias(field)))
-        points = health.parse_points(D.table(spark, sf_dir, "events").select("event_id", body.alias("body")))
+        points = health.parse_points(D.table(spark, sf_dir, "events").select("event_id", body.alias("body")), kind=kind)
         rows = health.normalize(points, kind).where("reject_reason is null")
         times = [c for c in ("start_at", "end_at", "sample_at", "source_date", "offset_seconds") if c in rows.columns]
         return rows.select("event_id", *times, *columns)
@@ -136,7 +136,7 @@ def normalize_sleep_details(spark, sf_dir):
     sleep = F.struct(i.alias("interval"), F.array(stage).alias("stages"), F.array(wake).alias("shortAwakenings"))
     name = F.concat(F.lit("users/u/dataTypes/sleep/dataPoints/"), _text(F.col("event_id")))
     body = F.to_json(F.struct(name.alias("dataPointName"), sleep.alias("sleep")))
-    points = health.parse_points(D.table(spark, sf_dir, "events").select(body.alias("body")))
+    points = health.parse_points(D.table(spark, sf_dir, "events").select(body.alias("body")), kind="sleep")
     rows = health.normalize_sleep_details(points).where("reject_reason is null")
     return rows.select(F.col("sleep_session_id").cast("bigint").alias("event_id"), "kind", "category", "start_at", "end_at")
 

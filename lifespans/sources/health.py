@@ -45,7 +45,14 @@ PAYLOADS = {
     "distance": ("distance", f"struct<interval:{_INTERVAL},millimeters:string>"),
     "time-in-heart-rate-zone": ("timeInHeartRateZone", f"struct<interval:{_INTERVAL},heartRateZoneType:string>"),
 }
-POINT = "struct<name:string,dataPointName:string,heartRate:string," + ",".join(f"{field}:{shape}" for field, shape in PAYLOADS.values()) + ">"
+
+
+def point_shape(kind: str | None = None) -> str:
+    """The shape of a point; with ``kind`` the payloads of other kinds are not read but kept as text, which tells that they are there."""
+    shapes = [f"{field}:{shape if kind in (None, other) else 'string'}" for other, (field, shape) in PAYLOADS.items()]
+    return "struct<name:string,dataPointName:string,heartRate:string," + ",".join(shapes) + ">"
+
+
 #: The other types that a rollup point can hold, by their field.
 ROLLUP_OTHERS = (
     "steps", "floors", "weight", "altitude", "distance", "bodyFat", "totalCalories", "activeZoneMinutes", "sedentaryPeriod", "runVo2Max",
@@ -61,9 +68,9 @@ AZM_ZONES = ("fat_burn", "cardio", "peak", "heart_rate_zone_unspecified")
 SLEEP_STAGES = ("awake", "light", "deep", "rem", "asleep", "restless", "sleep_stage_type_unspecified")
 
 
-def read_points(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each point of every page: point, and the page's path."""
-    pages = spark.read.schema(f"dataPoints array<{POINT}>, nextPageToken string").option("multiLine", True).json(path)
+def read_points(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
+    """A row for each point of every page: point, and the page's path; for one ``kind`` only its payload is read."""
+    pages = spark.read.schema(f"dataPoints array<{point_shape(kind)}>, nextPageToken string").option("multiLine", True).json(path)
     return pages.select(F.explode("dataPoints").alias("point"), F.col("_metadata.file_path").alias("page"))
 
 
@@ -82,12 +89,12 @@ def _other_type() -> Column:
     return F.coalesce(*[F.col(f"point.{field}") for field in ROLLUP_OTHERS]).isNotNull()
 
 
-def parse_points(df: DataFrame, text: str = "body") -> DataFrame:
-    """Points from a column of JSON texts, one point each.
+def parse_points(df: DataFrame, text: str = "body", kind: str | None = None) -> DataFrame:
+    """Points from a column of JSON texts, one point each; for one ``kind`` only its payload is read.
 
     The explode of one element keeps the optimizer from parsing the text anew for every field that is read.
     """
-    return df.withColumn("point", F.explode(F.array(F.from_json(text, POINT))))
+    return df.withColumn("point", F.explode(F.array(F.from_json(text, point_shape(kind)))))
 
 
 @dataclass

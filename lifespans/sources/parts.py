@@ -62,6 +62,13 @@ class Parts:
         dealt = df.withColumn("_part", part.cast("string")).hint("rebalance", "_part")
         dealt.write.mode("overwrite").partitionBy("_part").parquet(f"{self.root}/{name}/gen={generation:012d}")
 
+    def written(self, name: str, schema: str, generation: int) -> DataFrame:
+        """The versions that were written for a generation, published or not."""
+        found = [c for c in _children(self.spark, f"{self.root}/{name}/gen={generation:012d}") if c.startswith("_part=")]
+        if not found:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{name}/gen={generation:012d}/{c}" for c in sorted(found)])
+
     def publish(self, generation: int, touched: dict[str, list[str]]) -> None:
         """Make ``generation``: the one before it, but for the ``touched`` parts, of which those not written are gone."""
         listed = {name: dict(parts) for name, parts in self.manifest(self.before(generation)).items()}

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.sync import adopt_records, adoptable, latest_slots
 from ..sources.location import location_points
 from ..sources.parts import Parts
-from .notify import exists
+from .notify import KEPT, exists
 
 _POINT = (
     "location_point_id string, device_key string, observed_at timestamp_ntz, latitude double, longitude double, accuracy_meters double, "
@@ -77,11 +77,10 @@ def run_usage(
         others = state.read("claims", schema, last, event_parts).join(slots, list(slot), "left_anti")
         now = latest_slots(latest.join(slots, list(slot), "left_semi"), list(slot), version).where("not duplicate_slot").drop("duplicate_slot")
         state.write("claims", others.unionByName(now.where(adoptable()).select(*batch.columns)), by_event, generation)
-        published = {"slots": slot_parts, "claims": event_parts}
-        state.publish(generation, published)
-        claims = state.read("claims", schema, generation, event_parts)
+        claims = state.written("claims", schema, generation)
         state.write("events", adopt_records(claims, slot, version).withColumn("is_valid", F.lit(True)), by_event, generation)
-        state.publish(generation, published | {"events": event_parts})
+        state.publish(generation, {"slots": slot_parts, "claims": event_parts, "events": event_parts})
+        state.forget(KEPT)
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

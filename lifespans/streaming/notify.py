@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.time import DEFAULT_ZONE, ceil_minute, floor_minute, ntz
 from ..functions.values import reject_if, timestamp_text
 from ..operators.intervals import coalesce_intervals, split_windows
+from ..sources.parts import Parts
 
 MESSAGE = (
     "message_id bigint, subject_key bigint, data_type string, time_basis string, start_at timestamp_ntz, end_at timestamp_ntz, received_at timestamp_ntz"
@@ -25,9 +26,10 @@ _DELIVERY = (
     "endDateTime:struct<date:struct<year:int,month:int,day:int>,time:struct<hours:int,minutes:int,seconds:int>>>>>>>>"
 )
 MINUTE_TYPES = ("heart-rate",)
+KEPT = 8  # generations that readers may still be reading
 _KEYS = ("subject_key", "data_type", "time_basis")
 _UNIT = "subject_key bigint, data_type string, time_basis string, start_at timestamp_ntz, end_at timestamp_ntz, messages array<bigint>, day date"
-_PIECE = "message_id bigint, subject_key bigint, data_type string, time_basis string, start_at timestamp_ntz, end_at timestamp_ntz, batch int, day date"
+_PIECE = "message_id bigint, subject_key bigint, data_type string, time_basis string, start_at timestamp_ntz, end_at timestamp_ntz, day date"
 
 
 def explode_deliveries(df: DataFrame, body: str = "body") -> DataFrame:
@@ -94,15 +96,19 @@ def stream_notifications(spark: SparkSession, path: str, max_files: int = 1000)
 def run_drain(stream: DataFrame, root: str, checkpoint: str, now: str, zone: str = DEFAULT_ZONE) -> StreamingQuery:
     """Drain the available notifications into units below ``root``.
 
-    A batch cuts its messages by day into ``pieces``/batch and then makes the units of the days that it or a waiting
-    unit touches anew, from all pieces of those days: complete ones replace ``units``/day, days with units that wait are
-    noted in ``pending``/batch.  So units do not depend on how messages fall into batches; a message that lands again
-    gives the same pieces and changes nothing, and so does a batch that runs again.  Messages that are malformed, lack
-    a field or start after their receipt go to ``rejected``/batch with a reason.  The checkpoint is the acknowledgement.
+    A batch cuts its messages by day into pieces, puts them to the pieces of the same days, and makes the units of the
+    days that it or a waiting unit touches anew: complete ones replace the day's units, days with units that wait are
+    noted.  Pieces, units and waiting days are parts by day, published together, so a batch reads and writes touched days
+    only, however many came before it.  Units do not depend on how messages fall into batches; a message that lands
+    again gives the same pieces and changes nothing, and so does a batch that runs again.  Messages that are malformed,
+    lack a field or start after their receipt go to ``rejected``/batch with a reason.  The checkpoint is the
+    acknowledgement.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, generation = batch.sparkSession, batch_id + 1
+        state = Parts(spark, f"{root}/state")
+        last, by_day = state.before(generation), F.col("day").cast("string")
         columns = [c for c in batch.columns if c != "_corrupt_record"]
         lacks = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
         late = (F.col("time_basis") == "utc") & (ntz("start_at") > ntz("received_at"))
@@ -112,21 +118,16 @@ def run_drain(stream: DataFrame, root: str, checkpoint: str, now: str, zone: str
         judged.where("reject_reason is not null").write.mode("overwrite").parquet(f"{root}/rejected/batch={batch_id}")
         windows = judged.where("reject_reason is null").select(columns)
         own = split_windows(windows, zone).select("message_id", "subject_key", "data_type", "time_basis", F.col("piece_start").alias("start_at"), F.col("piece_end").alias("end_at"), "day")
-        own.write.mode("overwrite").partitionBy("day").parquet(f"{root}/pieces/batch={batch_id}")
-        pieces = spark.read.schema(_PIECE).parquet(f"{root}/pieces")
-        touched = pieces.where(F.col("batch") == batch_id).select("day")
-        if batch_id and exists(spark, f"{root}/pending/batch={batch_id - 1}"):
-            touched = touched.unionByName(spark.read.schema("day date").parquet(f"{root}/pending/batch={batch_id - 1}"))
-        days = [r["day"] for r in touched.distinct().collect()]  # calendar days
-        of_days = pieces.where((F.col("batch") <= batch_id) & F.col("day").isin(days)) if days else pieces.where("false")
-        once = of_days.select(*_KEYS, "day", "message_id", "start_at", "end_at").distinct()
-        units = coalesce_intervals(once, [*_KEYS, "day"], collect="message_id").withColumnRenamed("sources", "messages")
+        came = [r[0] for r in own.select(by_day).distinct().collect()]  # calendar days
+        days = sorted({*came, *(r[0] for r in state.read("pending", "day date", last).select(by_day).collect())})
+        pieces = state.read("pieces", _PIECE, last, days).unionByName(own).distinct()
+        state.write("pieces", pieces, by_day, generation)
+        units = coalesce_intervals(state.written("pieces", _PIECE, generation), [*_KEYS, "day"], collect="message_id").withColumnRenamed("sources", "messages")
         ready, waiting = split_ready(units, F.lit(now))
-        ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{root}/units")
-        complete = {r["day"] for r in ready.select("day").distinct().collect()}
-        for day in set(days) - complete:
-            _delete(spark, f"{root}/units/day={day}")
-        waiting.select("day").distinct().write.mode("overwrite").parquet(f"{root}/pending/batch={batch_id}")
+        state.write("units", ready, by_day, generation)
+        state.write("pending", waiting.select("day").distinct(), F.lit("all"), generation)
+        state.publish(generation, {"pieces": days, "units": days, "pending": ["all"]})
+        state.forget(KEPT)
         delay = F.timestamp_diff("MICROSECOND", F.min("received_at"), F.lit(now).cast("timestamp_ntz"))
         windows.agg((delay / 1e6).alias("oldest_lag_seconds"), F.count("*").alias("messages")).write.mode("overwrite").parquet(f"{root}/metrics/batch={batch_id}")
 
@@ -135,12 +136,9 @@ def run_drain(stream: DataFrame, root: str, checkpoint: str, now: str, zone: str
 
 def read_units(spark: SparkSession, root: str) -> DataFrame:
     """The committed units: subject_key, data_type, time_basis, start_at, end_at, messages, day."""
-    return spark.read.schema(_UNIT).parquet(f"{root}/units")
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    state = Parts(spark, f"{root}/state")
+    known = state.generations()
+    return state.read("units", _UNIT, known[-1] if known else None)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -175,3 +175,32 @@ def test_units_that_acquire_ranges(spark, tmp_path):
     own.check, own.commit = units.acquisition(table, "subject", spark.createDataFrame([("a2", True), ("b", True)], "unit_key string, complete boolean"), make([("a2", None, "i2", 1, hour(0, 2), 5), ("b", None, "i3", 2, hour(0, 1), 1)]))
     own.turn(later, 2)
     assert {(r.id, r.value) for r in table.read().collect()} == {("i2", 5), ("i3", 1)}
+
+
+def test_a_drain_and_a_usage_stream_touch_their_own_parts(spark, tmp_path):
+    """However many batches came before, a batch writes the parts of its own days, slots and events, and old versions go."""
+    from lifespans.streaming import files, notify
+
+    root = str(tmp_path / "n")
+    for k in range(11):
+        at = START + timedelta(days=k % 3, hours=k)
+        frame = spark.createDataFrame([(k, 1, "steps", "utc", at, at + timedelta(minutes=30), START + timedelta(days=9))], notify.MESSAGE)
+        frame.coalesce(1).write.mode("append").json(f"{root}/landed")
+        notify.run_drain(notify.stream_notifications(spark, f"{root}/landed"), root, f"{root}/cp", "2024-02-01 00:00:00", zone="UTC").awaitTermination()
+    state = Parts(spark, f"{root}/state")
+    assert len(state.generations()) == notify.KEPT and state.generations()[-1] == 11
+    newest = state.manifest(11)["pieces"]
+    assert sorted(newest.values()) == [9, 10, 11] and len(newest) == 3
+    assert len(list((tmp_path / "n" / "state" / "pieces").glob("gen=*/_part=*"))) <= notify.KEPT + 3
+    assert notify.read_units(spark, root).count() == 11
+
+    shape = "segment_key string, record_offset int, record_metadata_offset int, record_state string, event_key string, device_key string, bundle_id string, event_at timestamp_ntz, in_foreground boolean, crc_passed boolean, record_kind string"
+    record = lambda s, v, e: ("s", s, v, "WRITTEN", e, "d", "a", START, True, None, "event")
+    root = str(tmp_path / "u")
+    for n, rows in enumerate([[record(k, 0, f"e{k}") for k in range(40)], [record(3, 1, "other")]]):
+        spark.createDataFrame(rows, shape).coalesce(1).write.mode("append").parquet(f"{root}/landed")
+        files.run_usage(spark.readStream.schema(shape).parquet(f"{root}/landed"), root, f"{root}/cp").awaitTermination()
+    state = Parts(spark, f"{root}/state")
+    second = {name: [p for p, g in parts.items() if g == 2] for name, parts in state.manifest(2).items()}
+    assert len(second["slots"]) == 1 and 1 <= len(second["events"]) <= 2 and len(second["claims"]) <= 2
+    assert {r.event_key for r in files.read_usage(spark, root, shape).collect()} == {f"e{k}" for k in range(40) if k != 3} | {"other"}
