@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from .storage import Scratch
 
 WORD = r"[^\x09-\x0d\x20]+"
+SENT, SALTS = 100_000, 64  # sources whose plan goes to every task; parts of a source beyond that
 FINE = 4096  # hash ranges a source is cut into
 
 
@@ -126,9 +127,19 @@ def plan_mix(weighed: DataFrame, target: Target, scratch: Scratch, budget: int |
 
 
 def realise(rows: DataFrame, plan: DataFrame, key: Column, seed: Column) -> DataFrame:
-    """``rows`` once for every block it is taken in, with _block and _position (0 to 1: order of the whole mix)."""
+    """``rows`` once for every block it is taken in, with _block and _position (0 to 1: order of the whole mix).
+
+    The plan has one row a source and is sent to all tasks up to ``SENT`` sources; with more of them rows are shuffled by
+    source and one of ``SALTS`` numbers, so that no task gets a large source whole.
+    """
     chosen = plan.select(F.col("key").alias("_key"), F.col("blocks").alias("_blocks"), F.col("cut").alias("_cut"), F.col("epochs").alias("_epochs"))
-    joined = rows.withColumn("_seed", seed).join(chosen, key == F.col("_key"))
+    seeded = rows.withColumn("_seed", seed)
+    if plan.count() <= SENT:
+        joined = seeded.join(F.broadcast(chosen), key == F.col("_key"))
+    else:
+        chosen = chosen.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = seeded.withColumn("_own", F.pmod(F.xxhash64("_seed"), F.lit(SALTS)).cast("int"))
+        joined = salted.join(chosen, (key == F.col("_key")) & (F.col("_own") == F.col("_salt"))).drop("_own", "_salt")
     each = joined.withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks")))).withColumn("_place", place(F.col("_seed"), F.col("_block")))
     taken = each.where((F.col("_block") < F.col("_blocks")) | (F.col("_place") <= F.col("_cut")))
     position = (F.col("_block") + F.col("_place") / F.lit(float(1 << 60))) / F.col("_epochs")
@@ -164,7 +175,8 @@ def mixture(docs: DataFrame, target: Target, budget: int | None = None) -> DataF
 def mixed_documents(docs: DataFrame, target: Target, budget: int | None = None) -> DataFrame:
     """The mixture as rows of ``docs``, all its columns: a document taken in k blocks appears k times.
 
-    Texts are never shuffled: the plan comes from a narrow table, and each document decides by itself.
+    The plan comes from a narrow table and each document decides by itself; texts are shuffled only beyond ``SENT`` sources.
+    ``docs`` needs the columns doc_id, text and source, once each; others may have any names.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     plan = plan_mix(_weighed(docs, scratch), target, scratch, budget)

@@ -94,16 +94,10 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.alignment(_read(spark, sf_dir, "documents"))
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, sf_dir)
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash, op2_decontamination, op3_media, op4_quality, op5_toxicity, op6_urls, op7_mixing, op8_licences, op9_tokens,
-        op10_pseudo_likelihood, op11_fill_in_middle, op12_fingerprints, op13_alignment, pipeline,
+        op10_pseudo_likelihood, op11_fill_in_middle, op12_fingerprints, op13_alignment,
     )}
 
 

@@ -68,12 +68,17 @@ class Scratch:
         target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def release() -> None:
-    """Delete the scratch folders that this driver's operators have made so far: intermediate tables, shards, files.
+def made() -> int:
+    """How many scratch folders this driver's operators hold."""
+    return len(_made)
+
+
+def release(since: int = 0) -> None:
+    """Delete the scratch folders that this driver's operators have made, from the ``since``-th on: intermediate tables, shards, files.
 
     Results that have not been read yet are computed from them, so call it when those are read or written elsewhere.
     """
-    while _made:
+    while len(_made) > since:
         _made.pop().drop()
 
 

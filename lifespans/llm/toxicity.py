@@ -118,6 +118,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 8000) -> tuple[np.nd
     """(weights, thresholds), fitted on at most about ``max_rows`` labelled documents, a quarter of them toxic.
 
     Executors turn the sampled texts into sparse rows; one task, whose input that parameter bounds, runs the updates.
+    Documents without a label, and labels without a document or of null value, take no part; without any label, or
+    without a toxic one, no bucket carries weight and all texts get the same severity.
     """
     bounded_batches(docs.sparkSession)
 
@@ -164,7 +166,8 @@ def severity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], id_col: str
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_rows: int = 8000) -> DataFrame:
     """The rows of ``docs``, all columns, whose expected severity stays below ``threshold``.
 
-    An id goes if any of its rows is toxic; rows with a null id are told apart by their text's hash.
+    An id goes if any of its rows is toxic; rows with a null id are told apart by their text's hash.  ``docs`` needs the
+    columns doc_id and text, once each; others may have any names.  An empty table stays empty.
     """
     model = fit(docs, labels, max_rows)
     key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), F.sha2(F.col("text"), 256)))

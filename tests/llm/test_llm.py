@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lifespans.llm import components, decontaminate, licences, media, mixing, pseudo_lm, quality, queries, simhash, storage, tokens, toxicity, urlgraph
+from lifespans.llm import components, decontaminate, licences, media, mixing, oracle, pseudo_lm, quality, queries, simhash, storage, tokens, toxicity, urlgraph
 
 from ..conftest import DATA
 
@@ -351,14 +352,34 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, DATA).collect()
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
-        after = stage(spark, docs, DATA)
+        before, after = docs, stage(spark, docs, DATA)
         assert set(after.columns) == {"doc_id", "text", "lang", "source", "n_chars"}
         docs = storage.Scratch(spark, "t").table(after, str(k))
-    assert len(out) == docs.count() and {r.doc_id for r in out} == {r.doc_id for r in docs.collect()}
+    # the mixing stage takes every document as often as plain SQL over its input does
+    con = duckdb.connect()
+    con.register("documents", before.toPandas())
+    taken = con.execute(f"SELECT doc_id, count(*) AS n FROM ({oracle.mixing(queries.MIX.repeats)}) GROUP BY 1").fetchall()
+    assert dict(taken) == collections.Counter(r.doc_id for r in docs.collect())
+    # the token stage has the library's ids of every copy, one after another
+    library, want, start = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), [], 0
+    for r in sorted(docs.collect(), key=lambda r: r.doc_id):
+        ids = np.array(library.encode(r.text or "", add_special_tokens=False).ids + [2], "<u4")
+        want.append((r.doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, out)) == sorted(want)
     empty = spark.read.parquet(f"{DATA}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, DATA).count() == 0
 
 
+def test_a_plan_of_many_sources_gives_the_same_mix(monkeypatch, docs):
+    want = sorted(map(tuple, mixing.mixture(docs, queries.MIX).collect()))
+    monkeypatch.setattr(mixing, "SENT", 2)
+    assert sorted(map(tuple, mixing.mixture(docs, queries.MIX).collect())) == want
+
+
 def test_every_query_is_registered():
-    assert sorted(n.split("_")[0] for n in queries.queries()) == sorted([*(f"op{i}" for i in range(1, 11)), "pipeline"])
+    import __spark_entry__
+
+    assert sorted(n.split("_")[0] for n in queries.queries()) == sorted(f"op{i}" for i in range(1, 14))
+    assert "pipeline" in __spark_entry__.queries()
