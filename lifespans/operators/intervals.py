@@ -107,11 +107,12 @@ def coalesce_intervals(df: DataFrame, keys: list[str], start: str = "start_at",
 def coalesce_spread(df: DataFrame, keys: list[str], start: str = "start_at", end: str = "end_at", collect: str | None = None) -> DataFrame:
     """The rows of ``coalesce_intervals`` for keys of few, large groups: no window is wider than a day of a group.
 
-    What reaches into a day from earlier ones, and the island that is open when it begins, come from one row for each
-    group and day.
+    Rows are merged within the day of their start first.  Of these islands, those that begin before everything earlier
+    has ended belong to the island that is open when their day begins; how far the earlier days reach, and which island
+    they leave open, comes from one row for each group and day.  Rows are shuffled once, and only islands after that.
     """
     by = [*keys, "_day"]
-    rows = df.withColumn("_day", F.date_trunc("day", F.col(start)))
+    islands = coalesce_intervals(df.withColumn("_day", F.date_trunc("day", F.col(start))), by, start, end, collect)
     earlier = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)  # over a row a day
 
     def carried(rows: DataFrame, value: Column, name: str) -> DataFrame:
@@ -120,14 +121,13 @@ def coalesce_spread(df: DataFrame, keys: list[str], start: str = "start_at", end
         same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)]
         return rows.join(days, same).drop(*[f"_k{i}" for i in range(len(by))])
 
-    inside = Window.partitionBy(*by).orderBy(start, end)
-    reached = carried(rows, F.col(end), "_before").withColumn("_reach", F.greatest("_before", F.max(end).over(inside.rowsBetween(Window.unboundedPreceding, -1))))
-    opened = reached.withColumn("_opens", F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach")), F.col(start)))
-    island = carried(opened, F.col("_opens"), "_open").withColumn("_island", F.greatest("_open", F.max("_opens").over(inside.rowsBetween(Window.unboundedPreceding, 0))))
+    opens = F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach")), F.col(start))
+    reached = carried(islands, F.col(end), "_reach").withColumn("_opens", opens)
+    placed = carried(reached, F.col("_opens"), "_open").withColumn("_island", F.coalesce("_opens", "_open"))
     out = [F.min(start).alias(start), F.max(end).alias(end)]
     if collect:
-        out.append(F.array_sort(F.collect_set(collect)).alias("sources"))
-    return island.groupBy(*keys, "_island").agg(*out).drop("_island")
+        out.append(F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))).alias("sources"))
+    return placed.groupBy(*keys, "_island").agg(*out).drop("_island")
 
 
 def merge_windows(windows: DataFrame, keys: tuple[str, ...] = ("data_type", "time_basis"), collect: str | None = None) -> DataFrame:
