@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .storage import Scratch, bounded_batches
-from .tokens import Encoder, Kept, byte_letters, larger_batches
+from .tokens import Encoder, Kept, byte_letters, sized_batches
 
 SPACE = "▁"  # what stands for a space in pieces
 BUCKETS = 64  # of ids of the first tokenizer; a bucket's pairs are bounded by the two vocabularies
@@ -226,17 +226,6 @@ def unpack(blob: bytes) -> tuple[np.ndarray, ...]:
     return tuple(out)
 
 
-def sized_batches(batches, size: int):
-    """Arrow batches of (id, text) put together or cut so that each holds about ``size`` bytes of text, or one longer text."""
-    for batch in larger_batches(batches, size):
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(), dtype=np.int64)
-        at = 0
-        while at < batch.num_rows:
-            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
-            yield batch.slice(at, to - at)
-            at = to
-
-
 _pairs: dict[tuple[str, str], Pair] = {}
 
 
@@ -263,7 +252,7 @@ def aligned_batches(docs: DataFrame, a: str, b: str, id_col: str = "doc_id", tex
 
     def per_partition(batches):
         both, number = pair(a, b), TaskContext.get().partitionId() << 36
-        for batch in sized_batches(batches, BATCH):
+        for batch in sized_batches(batches, BATCH, 1):
             texts = [t or b"" for t in batch.column(1).to_pylist()]
             has, (left, right) = both.tokens(texts)
             found = groups(left, right, *both.size)
@@ -410,7 +399,7 @@ def aligned_groups(
 
     def per_partition(batches):
         both = pair(a, b)
-        for batch in sized_batches(batches, BATCH):
+        for batch in sized_batches(batches, BATCH, 1):
             has, (left, right) = both.tokens([t or b"" for t in batch.column(1).to_pylist()])
             found = groups(left, right, *both.size)
             parts = [pa.ListArray.from_arrays(pa.array(np.r_[0, found[f"at_{k}"] + 1].astype(np.int32)), pa.array(found[k])) for k in "ab"]

@@ -10,6 +10,7 @@ from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,8 @@ from .storage import Scratch, bounded_batches, open_fs, write_file
 END = 2
 MAGIC = b"RANKTOK1"
 _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)  # by control byte
-SEGMENT = 8 << 20  # bytes of text that are cut into pieces at once
+SEGMENT = 8 << 20  # bytes of a text that are cut into pieces at once
+BATCH = 3 << 20  # bytes of texts that are encoded at once
 
 # Kinds of bytes.  BEYOND: of a character whose class is not looked up; nothing is cut beside it but before white space.
 LETTER, DIGIT, MARK, TICK, BEYOND, SPACE, BLANK = range(7)
@@ -104,7 +106,7 @@ class Encoder:
     another one.
     """
 
-    def __init__(self, path: str, kept: int = 800_000, plain_special: bool = False):
+    def __init__(self, path: str, kept: int = 300_000, plain_special: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -277,6 +279,17 @@ def larger_batches(batches, size: int):
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
+def sized_batches(batches, size: int, column: int):
+    """Arrow batches put together or cut so that each holds about ``size`` bytes of the texts of a column, or one longer text."""
+    for batch in larger_batches(batches, size):
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def encoded(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, tie, row, n, ids) of every row: a hash of the text, a number of the row, and its whole text's ids.
 
@@ -286,7 +299,7 @@ def encoded(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: s
 
     def per_partition(batches):
         coder, row, codec = encoder(tokenizer), TaskContext.get().partitionId() << 36, pa.Codec("zstd", 1)
-        for rows in larger_batches(batches, SEGMENT):
+        for rows in sized_batches(batches, BATCH, 2):
             ids = coder.encode([t or b"" for t in rows.column(2).to_pylist()])
             number = pa.array(np.arange(row, row + rows.num_rows))
             row += rows.num_rows
