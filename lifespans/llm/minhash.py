@@ -131,7 +131,7 @@ def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     starts = sorted(r["start"] for r in starts.collect()) or [0]
     n = len(starts)
     bucket = _bucket(F.col("doc_id"), starts)
-    first = F.array_contains(F.array(*[F.lit(x).cast("long") for x in starts]), F.col("doc_id"))
+    first = F.element_at(F.array(*[F.lit(x).cast("long") for x in starts]), bucket + 1) == F.col("doc_id")
     own = F.struct(bucket.alias("bucket"), F.lit(0).alias("after"))
     copy = F.struct(F.pmod(bucket + n - 1, F.lit(n)).alias("bucket"), F.lit(1).alias("after"))
     alone = F.struct(F.pmod(F.xxhash64("text"), F.lit(n)).cast("int").alias("bucket"), F.lit(-1).alias("after"))
