@@ -48,9 +48,8 @@ def json_boolean(value: Column) -> Column:
 
 def utc_offset(text: Column) -> Column:
     """Whole seconds of an offset like ``32400s`` or ``32400.0s``, up to 18 hours either way."""
-    shape = r"^(-?\d+)(?:\.0+)?s$"
-    value = F.when(text.rlike(shape), F.regexp_extract(text, shape, 1).try_cast("int"))
-    return F.when(F.abs(value) <= MAX_OFFSET, value)
+    value = F.regexp_extract(text, r"^(-?\d+)(?:\.0+)?s$", 1).try_cast("int")  # no match is an empty text, which is no number
+    return F.when(value.between(-MAX_OFFSET, MAX_OFFSET), value)
 
 
 def duration_seconds(text: Column) -> Column:

@@ -20,22 +20,23 @@ def pair_events(
     end is observed, by another start inferred; empty ones are dropped.  The look-ahead runs as a look-back over the
     reversed order, whose frame grows row by row, and carries time and key together, so no join follows.
 
-    Windows are as wide as a device's ``block`` of time.  What lies behind it comes from one row for each device, app
-    and block, the block's first start and first end: carried backwards over the blocks, the next ones are put behind
-    the block's own events as bounds.  So no task orders a device's whole history.
+    Windows are as wide as a device's ``block`` of time.  What lies behind it comes from one row for each device and
+    block, its first start, and one for each device, app and block, its first end: carried backwards over the blocks,
+    the next ones are put behind the block's own events as bounds.  So no task orders a device's whole history.
     """
     rows = events.where(valid) if valid else events
-    rows = rows.select(
+    rows = rows.where(F.col(state).isin("start", "end")).select(
         F.col(key).alias("key"), F.col(device).alias("device"), F.col(app).alias("app"), ntz(at).alias("at"), F.col(state).alias("state"),
         F.date_trunc(block, ntz(at)).cast("timestamp_ntz").alias("block"),
     )
     mark = F.struct("at", "key")
-    firsts = rows.groupBy("device", "app", "block").agg(F.min(F.when(F.col("state") == "start", mark)).alias("start"), F.min(F.when(F.col("state") == "end", mark)).alias("end"))
-    behind = lambda *by: Window.partitionBy(*by).orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
-    ends = firsts.select("device", "app", "block", F.last("end", ignorenulls=True).over(behind("device", "app")).alias("m"), F.lit("end").alias("state"))
-    starts = firsts.groupBy("device", "block").agg(F.min("start").alias("start"))
-    starts = starts.select("device", F.lit(None).cast(rows.schema["app"].dataType).alias("app"), "block", F.last("start", ignorenulls=True).over(behind("device")).alias("m"), F.lit("start").alias("state"))
-    bounds = starts.unionByName(ends).where("m is not null").select("m.key", "device", "app", "m.at", "state", "block", F.lit(True).alias("bound"))
+    own = F.struct(F.col("state"), F.when(F.col("state") == "end", F.col("app")).alias("app"), mark.alias("m"))
+    awaited = F.when(F.col("state") == "start", F.struct(F.lit("end").alias("state"), "app", F.lit(None).alias("m")))  # an app that starts here waits for its end
+    firsts = rows.select("device", "block", F.explode(F.array_compact(F.array(own, awaited))).alias("f"))
+    firsts = firsts.groupBy("device", "f.state", "f.app", "block").agg(F.min("f.m").alias("m"))
+    behind = Window.partitionBy("device", "state", "app").orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
+    bounds = firsts.withColumn("m", F.last("m", ignorenulls=True).over(behind)).where("m is not null")
+    bounds = bounds.select("m.key", "device", "app", "m.at", "state", "block", F.lit(True).alias("bound"))
     rank = F.when(F.col("state") == "end", 0).otherwise(1)
     backwards = [F.desc("at"), rank.desc(), F.desc("key")]
     later = lambda *by: Window.partitionBy(*by).orderBy(*backwards).rowsBetween(Window.unboundedPreceding, -1)

@@ -111,7 +111,7 @@ class _Reading:
 
 
 def _read(name: str) -> Column:
-    return F.col(f"_r_{name}")
+    return F.col(f"_r.{name}")
 
 
 def _text(ts: Column) -> Column:
@@ -311,7 +311,10 @@ def normalize(points: DataFrame, kind: str, subject: str = "owner") -> DataFrame
         ("name_conflict", alias_conflict(point["dataPointName"], point["name"])), ("id_malformed", point_id_malformed(name, kind, stem)), *([("id_missing", given.isNull())] if named else []), *r.rules,
     ]
     values = r.times | r.columns
-    read = points.select("*", *[c.alias(f"_r_{n}") for n, c in (values | {"given": point_id(name, kind)}).items()])
+    made = values | {"given": point_id(name, kind)}
+    read = points.select("*", *[c.alias(f"_r_{n}") for n, c in made.items()])
+    once = F.explode(F.array(F.struct(*[F.col(f"_r_{n}").alias(n) for n in made])))  # else a filter on the reason would parse anew for every rule
+    read = read.select(*points.columns, once.alias("_r"))
     ids = [F.coalesce(given, identity(F.lit(subject), F.lit(kind), *r.parts)).alias(key)] if key else []
     others = [F.col(c) for c in points.columns if c != "point"]
     return read.select(*ids, *others, *[_read(n).alias(n) for n in values], reject_if(*rules).alias("reject_reason"))

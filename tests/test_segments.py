@@ -7,7 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lifespans.functions.values import utc_offset
 from lifespans.operators import intervals, pairing, rollup
+from lifespans.sources import health
 
 START = datetime(2024, 1, 1)
 
@@ -92,3 +94,26 @@ def test_quantiles_by_digits_are_exact(spark, seed):
             assert value == (low if at == int(at) else (np.ceil(at) - at) * low + (at - np.floor(at)) * high), (g, q)
     plan = rollup.upper_fence(df, "x", ["g"])._jdf.queryExecution().optimizedPlan().toString()
     assert "percentile" not in plan.lower() and "collect" not in plan.lower()
+
+
+def test_other_states_neither_close_nor_bound(spark):
+    events = random_events(7)
+    paused = [(f"p{k}", d, a, at + timedelta(minutes=1), "pause", True) for k, (_, d, a, at, _, _) in enumerate(events)]
+    names = "event_key string, device_key string, bundle_id string, event_at timestamp_ntz, state string, is_valid boolean"
+    got = pairing.pair_events(spark.createDataFrame(events + paused, names)).collect()
+    assert sorted((r.start_event_key, r.ended_at, r.is_inferred, r.boundary_event_key) for r in got) == plain_pairs(events)
+
+
+def test_offsets_at_the_ends_of_integers(spark):
+    texts = ["-2147483648s", "2147483647s", "99999999999s", "-64800s", "64800.00s", "64801s", "s", "", "1.5s", None]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select("k", utc_offset(F.col("t")).alias("o")).orderBy("k").collect()
+    assert [r.o for r in rows] == [None, None, None, -64800, 64800, None, None, None, None, None]
+
+
+def test_values_of_a_point_are_read_once_however_it_is_filtered(spark):
+    body = '{"dataPointName":"users/u/dataTypes/steps/dataPoints/p-1","steps":{"interval":{"startTime":"2024-01-01T00:00:00Z","endTime":"2024-01-01T00:05:00Z","startUtcOffset":"0s","endUtcOffset":"0s"},"count":"7"}}'
+    points = health.parse_points(spark.createDataFrame([(1, body)], "k int, body string"), kind="steps")
+    good = health.normalize(points, "steps").where("reject_reason is null").select("k", "steps", "start_at")
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan and all("startTime" not in line for line in plan.splitlines() if "Filter" in line)
+    assert [(r.k, r.steps) for r in good.collect()] == [(1, 7.0)]
