@@ -150,7 +150,7 @@ def edited_fingerprints(
     all if it has fewer; the first document follows the last.  Returns doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next (likeness of the fingerprints), jaccard_edited, jaccard_next (of the
     shingle sets themselves) and bands_edited, bands_next: how many of ``bands`` bands of ``rows`` minima agree, so
-    whether ``near_copies`` would meet the two.
+    whether a join of the bands would meet the two.
 
     Null texts are empty.  A row without an id has no place in the order and is its own next document, as is the only
     document of a table.  Rows of one id follow one another by their texts' hash.  An empty table gives no rows; other

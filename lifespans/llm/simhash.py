@@ -50,6 +50,54 @@ def fingerprint(data: bytes | None, width: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * counts > n).view(np.int64)[0])
 
 
+def set_fingerprint(hashes: np.ndarray, words: int = 4) -> np.ndarray:
+    """SimHash of a set of 64-bit hashes in ``words`` x 64 bits, as bytes: a bit is 1 if set in over half the hashes.
+
+    The first 64 bits are those of the hashes themselves, the others those of the hashes mixed anew for each word.
+    """
+    counts = [_bit_counts(hashes)]
+    for word in range(1, words):
+        mixed = (hashes + np.uint64(word)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0xD6E8FEB86659FD93)
+        mixed ^= mixed >> np.uint64(29)
+        counts.append(_bit_counts(mixed))
+    return np.packbits(2 * np.concatenate(counts) > len(hashes))
+
+
+def near_forest(prints: np.ndarray, distance: int, step: int = 64) -> np.ndarray:
+    """Spanning edges (rows of two positions) of the graph that links prints (rows of 64-bit words) at most ``distance`` bits apart.
+
+    Most prints of a bucket are near no other; they are told by comparing ``step`` rows with all at a time.
+    """
+    columns = np.ascontiguousarray(prints.T)
+
+    def apart(some: np.ndarray, all_: np.ndarray) -> np.ndarray:
+        total = np.bitwise_count(some[0][:, None] ^ all_[0]).astype(np.uint16)
+        for x, y in zip(some[1:], all_[1:]):
+            total += np.bitwise_count(x[:, None] ^ y)
+        return total
+
+    near = np.zeros(len(prints), bool)
+    for k in range(0, len(prints), step):
+        linked = apart(columns[:, k : k + step], columns[:, k:]) <= distance
+        near[k : k + step] |= linked.sum(axis=1) > 1
+        near[k + step :] |= linked[:, step:].any(axis=0)
+    some = np.flatnonzero(near)
+    edges, left, held = [np.empty((0, 2), np.int64)], some, columns[:, some]
+    while len(left):
+        frontier, left, held = [left[0]], left[1:], held[:, 1:]
+        while frontier and len(left):
+            at = frontier.pop()
+            linked = apart(columns[:, [at]], held)[0] <= distance
+            if linked.any():
+                found = left[linked]
+                edges.append(np.column_stack([np.full(len(found), at), found]))
+                frontier += found.tolist()
+                left, held = left[~linked], held[:, ~linked]
+    return np.concatenate(edges)
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint long) per row of ``docs``; only the two named columns are read."""
     bounded_batches(docs.sparkSession)
