@@ -59,6 +59,13 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+class Numbers(dict):
+    """Numbers of words, 0 for a word without one."""
+
+    def __missing__(self, word: bytes) -> int:
+        return 0
+
+
 @dataclass
 class Vocabulary:
     """Ids of words: 0 is a border, then the most frequent words, then buckets shared by the others.
@@ -67,7 +74,7 @@ class Vocabulary:
     share buckets the most frequent, ``MORE`` at most, are known here with their shares; those of the rest are joined.
     """
 
-    known: dict[bytes, int]  # number of a known word, from 1
+    known: Numbers  # number of a known word, from 1
     ids: np.ndarray  # id of each known word
     share: np.ndarray  # log of its share of its id's count
     group: np.ndarray  # class of each id
@@ -88,7 +95,7 @@ class Vocabulary:
         counts[1 + WORDS :] += 0.5  # a word that is not in the corpus keeps some mass
         rank = np.zeros(len(counts), np.int64)
         rank[1 + np.argsort(-counts[1:], kind="stable")] = np.arange(len(counts) - 1)
-        return cls({w: k for k, (w, _) in enumerate(top, 1)}, ids, share, (rank // SLOTS).astype(np.int16), rank % SLOTS, counts, top[-1] if top else None)
+        return cls(Numbers((w, k) for k, (w, _) in enumerate(top, 1)), ids, share, (rank // SLOTS).astype(np.int16), rank % SLOTS, counts, top[-1] if top else None)
 
     def encode(self, data: bytes) -> np.ndarray:
         """Ids of the words of a text."""
@@ -98,18 +105,12 @@ class Vocabulary:
         """Ids of the words of a text and the sum of the known words' log-shares; ``rare`` counts the words not known."""
         parts, total = [], 0.0
         for words in segments(data):
-            found = list(map(self.known.get, words))
-            if None in found:
-                unknown = [w for k, w in zip(found, words) if k is None]
-                buckets = iter([1 + WORDS + zlib.crc32(w) % RARE for w in unknown])
-                for w in unknown:
-                    rare[w] = rare.get(w, 0) + 1
-                number = np.array([0 if k is None else k for k in found], np.int32)
-                ids = self.ids[number]
-                ids[number == 0] = list(buckets)
-            else:
-                number = np.array(found, np.int32)
-                ids = self.ids[number]
+            number = np.fromiter(map(self.known.__getitem__, words), np.int32, len(words))
+            ids = self.ids[number]
+            for k in np.flatnonzero(number == 0).tolist():
+                word = words[k]
+                ids[k] = 1 + WORDS + zlib.crc32(word) % RARE
+                rare[word] = rare.get(word, 0) + 1
             total += float(self.share[number].sum())  # number 0 has share 0
             parts.append(ids)
         return (np.concatenate(parts) if parts else np.empty(0, np.int16)), total
@@ -255,11 +256,35 @@ def masks(starts: np.ndarray, texts: list[np.ndarray], every: int, phase: int =
         yield np.concatenate(at) if at else np.empty(0, np.int64)
 
 
+def encoded(docs: DataFrame, words: Vocabulary, id_col: str = "doc_id", text_col: str = "text", rounds: int = 1) -> DataFrame:
+    """The texts as ids: row (a number of its own), doc_id, turn (a residue of a hash of the text), ids (16-bit numbers), share
+    (sum of the known words' log-shares) and the counts of the words that ``words`` doesn't know (rare, times)."""
+    bounded_batches(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(words)
+
+    def per_batch(batches):
+        known, row = sent.value, TaskContext.get().partitionId() << 36
+        for batch in batches:
+            rare: list[dict[bytes, int]] = [{} for _ in range(batch.num_rows)]
+            coded = [known.encode_shares(x or b"", r) for x, r in zip(batch.column(2).to_pylist(), rare)]
+            columns = [pa.array(np.arange(row, row + len(coded))), batch.column(0), batch.column(1), pa.array([t.tobytes() for t, _ in coded], pa.binary()), pa.array([x for _, x in coded], pa.float64()),
+                       pa.array([list(r) for r in rare], pa.list_(pa.binary())), pa.array([list(r.values()) for r in rare], pa.list_(pa.int64()))]
+            row += len(coded)
+            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "turn", "ids", "share", "rare", "times"])
+
+    text = F.col(text_col)
+    turn = F.pmod(F.xxhash64(text), F.lit(rounds)).cast("int").alias("turn")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), turn, text.cast("binary").alias("text"))
+    return rows.mapInArrow(per_batch, "row long, doc_id long, turn int, ids binary, share double, rare array<binary>, times array<long>")
+
+
 def fit(
-    docs: DataFrame, scratch: Scratch, text_col: str = "text", every: int = 8, rate: float = 0.2, batch_size: int = 8192, rounds: int = 4, task_tokens: int = 2_000_000
+    docs: DataFrame, scratch: Scratch, text_col: str = "text", id_col: str = "doc_id", every: int = 8, rate: float = 0.2, batch_size: int = 8192, rounds: int = 4, task_tokens: int = 2_000_000
 ) -> tuple[Vocabulary, Network]:
     """Train on all documents in ``rounds`` synchronous rounds, each over the texts of one residue of a text hash.
 
+    The texts are encoded once, into the table "coded" of ``scratch``, which the rounds (and the scoring) read.
+
     In a round every task goes on from the same network over its own texts; then the networks are averaged by the number
     of tokens and sent out again.  Every token is masked once and predicted from both sides, one in ``every`` of a text
     at a time.  Input partitions are put together until a task has about ``task_tokens`` in all, so that what a task
@@ -272,15 +297,14 @@ def fit(
     total = counts.agg(F.sum("n")).first()[0] or 0
     tasks = max(1, math.ceil(total / task_tokens))
     net = Network.start(words)
-    text = F.col(text_col)
+    coded = scratch.table(encoded(docs, words, id_col, text_col, rounds), "coded")
     for turn in range(rounds if total else 0):
-        mine = docs.where(F.pmod(F.xxhash64(text), F.lit(rounds)) == turn) if rounds > 1 else docs
-        net = _round(mine.select(text.cast("binary").alias("text")).coalesce(tasks), words, net, every, rate, batch_size)
+        net = _round(coded.where(F.col("turn") == turn).select("ids").coalesce(tasks), words, net, every, rate, batch_size)
     return words, net
 
 
 def _round(texts: DataFrame, words: Vocabulary, net: Network, every: int, rate: float, batch_size: int) -> Network:
-    """The mean of the networks that tasks train from ``net``, each on its partition of ``texts``."""
+    """The mean of the networks that tasks train from ``net``, each on its partition of ``texts`` (ids)."""
     bounded_batches(texts.sparkSession)
     sent = texts.sparkSession.sparkContext.broadcast((words, net))
 
@@ -288,7 +312,7 @@ def _round(texts: DataFrame, words: Vocabulary, net: Network, every: int, rate:
         known, start = sent.value
         net, seen, phase = start.filled(start.flat()), 0, 0
         for batch in batches:
-            texts = [known.encode(x or b"") for x in batch.column(0).to_pylist()]
+            texts = [np.frombuffer(x, np.int16) for x in batch.column(0).to_pylist()]
             stream, starts = joined_stream(texts)
             for at in masks(starts, texts, every, phase):
                 for k in range(0, len(at), batch_size):
@@ -340,41 +364,25 @@ def rare_shares(counts: DataFrame, words: Vocabulary) -> DataFrame:
     return rare.join(every, "b").select("word", F.log(F.col("n") / F.col("all")).alias("log_share"))
 
 
-def score(docs: DataFrame, words: Vocabulary, net: Network, id_col: str = "doc_id", text_col: str = "text", slice_size: int = 8192, keep_rare: bool = False) -> DataFrame:
-    """doc_id, n_tokens, log_likelihood (sum over the tokens) and mean_log_likelihood (null without tokens).
-
-    A word that the vocabulary doesn't know scores as its bucket.  With ``keep_rare`` each row also has a number of its
-    own (row) and the counts of such words (rare, times), by which their shares of the buckets are added.
-    """
-    bounded_batches(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast((words, net))
+def score(coded: DataFrame, words: Vocabulary, net: Network, slice_size: int = 8192) -> DataFrame:
+    """row, doc_id, n_tokens and log_likelihood (sum over the tokens) of ``encoded`` texts; a word that ``words`` doesn't know scores as its bucket."""
+    bounded_batches(coded.sparkSession)
+    sent = coded.sparkSession.sparkContext.broadcast((words, net))
 
     def per_batch(batches):
         known, model = sent.value
-        row = TaskContext.get().partitionId() << 36
         for batch in batches:
-            rare: list[dict[bytes, int]] = [{} for _ in range(batch.num_rows)]
-            coded = [known.encode_shares(x or b"", r) for x, r in zip(batch.column(1).to_pylist(), rare)]
-            texts = [t for t, _ in coded]
+            texts = [np.frombuffer(x, np.int16) for x in batch.column(2).to_pylist()]
             sizes = np.array([len(t) for t in texts], np.int64)
             stream, _ = joined_stream(texts)
             at = np.flatnonzero(stream)
             logs = [model.log_probabilities(stream, at[k : k + slice_size], known) for k in range(0, len(at), slice_size)]
             ends = np.cumsum(sizes)
             running = np.r_[0.0, np.cumsum(np.concatenate(logs, dtype=np.float64))] if logs else np.zeros(1)
-            sums = running[ends] - running[ends - sizes] + np.array([x for _, x in coded])
-            mean = pa.array(sums / np.maximum(sizes, 1), mask=sizes == 0)
-            columns = {"doc_id": batch.column(0), "n_tokens": pa.array(sizes), "log_likelihood": pa.array(sums), "mean_log_likelihood": mean}
-            if keep_rare:
-                columns["row"] = pa.array(np.arange(row, row + len(texts)))
-                columns["rare"] = pa.array([list(r) for r in rare], pa.list_(pa.binary()))
-                columns["times"] = pa.array([list(r.values()) for r in rare], pa.list_(pa.int64()))
-                row += len(texts)
-            yield pa.RecordBatch.from_pydict(columns)
+            sums = running[ends] - running[ends - sizes] + batch.column(3).to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes), pa.array(sums)], ["row", "doc_id", "n_tokens", "log_likelihood"])
 
-    pairs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    schema = "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double"
-    return pairs.mapInArrow(per_batch, schema + (", row long, rare array<binary>, times array<long>" if keep_rare else ""))
+    return coded.select("row", "doc_id", "ids", "share").mapInArrow(per_batch, "row long, doc_id long, n_tokens long, log_likelihood double")
 
 
 def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -386,12 +394,13 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     the next ``MORE`` words go to the tasks, those of all others are joined to the texts' rare words.
     """
     scratch = Scratch(docs.sparkSession, "lm")
-    words, net = fit(docs, scratch, text_col)
+    words, net = fit(docs, scratch, text_col, id_col)
     counts = docs.sparkSession.read.schema("word binary, n long").parquet(scratch.path("counts"))
-    scored = scratch.table(score(docs, words, net, id_col, text_col, keep_rare=True), "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("word"), F.col("w.times").alias("times"))
+    coded = docs.sparkSession.read.parquet(scratch.path("coded"))
+    scored = scratch.table(score(coded, words, net), "scored")
+    rare = coded.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("word"), F.col("w.times").alias("times"))
     shares = rare.join(rare_shares(counts, words), "word").groupBy("row").agg(F.sum(F.round(F.col("times") * F.col("log_share"), 9).cast("decimal(28,9)")).alias("more"))
     whole = F.col("log_likelihood") + F.coalesce(F.col("more").cast("double"), F.lit(0.0))
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_likelihood")
-    summed = scored.select("row", "doc_id", "n_tokens", "log_likelihood").join(shares, "row", "left").select("doc_id", "n_tokens", whole.alias("log_likelihood"))
+    summed = scored.join(shares, "row", "left").select("doc_id", "n_tokens", whole.alias("log_likelihood"))
     return summed.select("doc_id", "n_tokens", "log_likelihood", mean)

@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lifespans.llm import pseudo_lm, storage
 
@@ -135,3 +136,25 @@ def test_order_is_learned_where_it_tells(spark):
 
     natural = rows[7][1]
     assert mean(natural) > -1.0 and mean(natural) > mean(" ".join(r.sample(natural.split(), 100))) + 2
+
+
+def test_texts_are_read_for_counts_and_ids_only(spark):
+    """The rounds and the scores read ids; encoded scores are those of the texts."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def read(text):
+        reads.add(1)
+        return text
+
+    rows = [(k, " ".join(f"w{(k * j) % 97}" for j in range(k % 40))) for k in range(60)] + [(None, None), (None, "w1 never"), (3, "w1 never")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = pseudo_lm.pseudo_likelihood(docs.select("doc_id", F.udf(read, "string")("text").alias("text"))).collect()
+    assert reads.value == 2 * len(rows)
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens) for r in got) == sorted((k is None, k or 0, len((t or "").split())) for k, t in rows)
+    words, net = pseudo_lm.fit(docs, storage.Scratch(spark, "t"))
+    found = {r.doc_id: r.log_likelihood for r in pseudo_lm.score(pseudo_lm.encoded(docs.where("doc_id > 3"), words), words, net).collect()}
+    for k, text in rows[4:60]:
+        ids, share = words.encode_shares(text.encode(), {})
+        stream, _ = pseudo_lm.joined_stream([ids])
+        logs = net.log_probabilities(stream, np.flatnonzero(stream), words)
+        assert abs(found[k] - logs.sum() - share) < 1e-3
