@@ -60,11 +60,6 @@ def minima(shingles: np.ndarray, count: int = PERMUTATIONS, step: int = 1024) ->
     return least
 
 
-def band_keys(least: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """A signed 64-bit key for each band of ``rows`` minima."""
-    return np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in least.reshape(bands, rows)], np.uint64).view(np.int64)
-
-
 def fingerprint(shingles: np.ndarray, count: int = PERMUTATIONS) -> np.ndarray:
     """The last 16 bits of each minimum, big-endian; those of different minima agree once in 65,536 times."""
     return minima(shingles, count).astype(">u2")
